@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort.functions.expressions import pseudonymize
-from cohort.operators import blocking, consent, graph
+from cohort.operators import affinity, blocking, consent, graph, propensity, split
 from cohort.operators.evaluation import pairwise_prf
 from cohort.plans import identity
 from cohort.sources.contracts import contract_check
@@ -130,3 +130,75 @@ def q_graph_counts(spark, sf_dir):
     labels = graph.connected_components(g.nodes, det)
     return graph.graph_counts(g.nodes, g.truth, labels,
                               {"deterministic_edges": det, "candidate_pairs": cands})
+
+
+# ----------------------------- features ---------------------------------- #
+
+def _round(df: DataFrame, cols, digits: int = 6) -> DataFrame:
+    cols = set(cols)
+    return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register
+def q_affinity_long(spark, sf_dir):
+    g = _gated(spark, sf_dir)
+    return affinity.affinity_long(affinity.person_events(g.events, g.devices), "person_id")
+
+
+@register
+def q_affinity_wide(spark, sf_dir):
+    g = _gated(spark, sf_dir)
+    return affinity.person_affinity(g.events, g.devices)
+
+
+@register
+def q_interactions(spark, sf_dir):
+    g = _gated(spark, sf_dir)
+    return affinity.interactions(g.events, g.devices)
+
+
+@register
+def q_unit_vectors(spark, sf_dir):
+    g = _gated(spark, sf_dir)
+    return _round(affinity.unit_vectors_long(g.events), ["u"])
+
+
+def _candidate_features(g: identity.Gated) -> DataFrame:
+    det = blocking.deterministic_edges(g.signals)
+    cands = blocking.new_candidates(blocking.ip_candidates(g.signals), det)
+    return affinity.pair_features(cands, affinity.device_profiles(g.devices, g.events))
+
+
+@register
+def q_pair_cosine(spark, sf_dir):
+    f = _candidate_features(_gated(spark, sf_dir))
+    return _round(f.select("src", "dst", "cosine"), ["cosine"])
+
+
+@register
+def q_pair_features(spark, sf_dir):
+    return _round(_candidate_features(_gated(spark, sf_dir)), ["cosine"])
+
+
+def _person_affinity(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    persons = fx.persons()
+    g = identity.gate(persons, fx.devices(), fx.signals(), fx.events())
+    return persons, affinity.person_affinity(g.events, g.devices)
+
+
+@register
+def q_standardize(spark, sf_dir):
+    _, wide = _person_affinity(spark, sf_dir)
+    return _round(affinity.standardize(wide, affinity.CATS, keep=["person_id"]), affinity.CATS)
+
+
+@register
+def q_propensity_features(spark, sf_dir):
+    persons, wide = _person_affinity(spark, sf_dir)
+    return propensity.propensity_features(wide, persons)
+
+
+@register
+def q_hash_split(spark, sf_dir):
+    return split.hash_split(_fx(spark, sf_dir).persons().select("person_id"), "person_id")

@@ -152,3 +152,65 @@ union all select 'true_persons', count(distinct person_id) from gdev
 union all select 'resolved_entities', count(distinct component) from cc
 union all select 'deterministic_edges', count(*) from det
 union all select 'candidate_pairs', count(*) from newc"""
+
+# ----------------------------- features ---------------------------------- #
+
+CATS = [f"cat_{i:02d}" for i in range(12)]
+
+PEV = """
+pev AS (select e.*, d.person_id from gev e join gdev d using (device_id)),
+paff AS (select person_id, content_cat, (3 * sum(click) + count(*))::DOUBLE as w from pev group by 1, 2)"""
+
+WIDE = "wide AS (select person_id, " + ", ".join(
+    f"coalesce(sum(case when content_cat = '{c}' then w end), 0.0) as {c}" for c in CATS) + \
+    " from paff group by person_id)"
+
+UV = """
+dw AS (select device_id, content_cat, (3 * sum(click) + count(*))::DOUBLE as w from gev group by 1, 2),
+dn AS (select device_id, sqrt(sum(w * w)) as nrm from dw group by 1),
+uv AS (select device_id, content_cat, w / nrm as u from dw join dn using (device_id))"""
+
+FEAT = """
+cosv AS (select c.src, c.dst, sum(a.u * b.u) as cosine
+         from newc c join uv a on a.device_id = c.src
+                     join uv b on b.device_id = c.dst and b.content_cat = a.content_cat
+         group by 1, 2),
+feat AS (select c.src, c.dst, coalesce(v.cosine, 0.0) as cosine,
+                (ds.device_type = dd.device_type)::DOUBLE as same_type,
+                (ds.person_id = dd.person_id)::DOUBLE as label
+         from newc c left join cosv v on v.src = c.src and v.dst = c.dst
+              join gdev ds on ds.device_id = c.src join gdev dd on dd.device_id = c.dst)"""
+
+SQL["affinity_long"] = _with(FX_ID, GATE, PEV) + "select person_id, content_cat, w from paff"
+
+SQL["affinity_wide"] = _with(FX_ID, GATE, PEV, WIDE) + "select * from wide"
+
+SQL["interactions"] = _with(FX_ID, GATE, PEV) + """
+select person_id, content_cat, (3 * sum(click) + count(*))::BIGINT as weight, count(*) as impressions
+from pev group by 1, 2 having 3 * sum(click) + count(*) > 0"""
+
+SQL["unit_vectors"] = _with(FX_ID, GATE, UV) + "select device_id, content_cat, round(u, 6) as u from uv"
+
+SQL["pair_cosine"] = _with(FX_ID, GATE, DET, IP, NEW, UV, FEAT) + \
+    "select src, dst, round(cosine, 6) as cosine from feat"
+
+SQL["pair_features"] = _with(FX_ID, GATE, DET, IP, NEW, UV, FEAT) + \
+    "select src, dst, round(cosine, 6) as cosine, same_type, label from feat"
+
+SQL["standardize"] = _with(FX_ID, GATE, PEV, WIDE) + "select person_id, " + ", ".join(
+    f"round(case when stddev_samp({c}) over () > 0 then ({c} - avg({c}) over ()) / stddev_samp({c}) over () "
+    f"else 0.0 end, 6) as {c}" for c in CATS) + " from wide"
+
+SQL["propensity_features"] = _with(FX_ID, GATE, PEV, WIDE) + """
+select w.*, p.age, p.income_z, p.recency_days, p.converted_true::DOUBLE as label
+from wide w join fx_persons p using (person_id)
+where coalesce(p.gdpr_consent, false) and not coalesce(p.ccpa_opt_out, true)"""
+
+
+def bucket_sql(salt: str, expr: str) -> str:
+    return f"(('0x'||substr(md5(concat('{salt}|', cast({expr} as string))),1,8))::BIGINT % 100)"
+
+
+SQL["hash_split"] = _with(["fx_persons"]) + f"""
+select person_id, case when {bucket_sql('split', 'person_id')} < 70 then 'train' else 'test' end as split
+from fx_persons"""
