@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohort.functions.expressions import binary_entropy, choose2
+from cohort.session import materialize
 
 # Fixed values from the reference: precision target of the matcher and the
 # fallback threshold when no score reaches it.
@@ -118,7 +119,10 @@ def ordered_prefix_sums(groups: DataFrame, order_col: str, value_cols: list[str]
     key = F.col(order_col) * F.lit(sign)
     g = groups.withColumn("_k", key)
     n_parts = max(1, g.sparkSession.sparkContext.defaultParallelism)
-    g = g.repartitionByRange(n_parts, "_k").withColumn("_part", F.spark_partition_id())
+    # Range bounds come from a sample, so two scans of an unpinned range
+    # exchange can disagree; the assignment is checkpointed once and both
+    # consumers (range totals and in-range sums) read the same rows.
+    g = materialize(g.repartitionByRange(n_parts, "_k").withColumn("_part", F.spark_partition_id()))
     # Range ids follow key order, so offsets are running sums over range totals.
     totals = g.groupBy("_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
     w_off = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -206,12 +210,12 @@ def global_rank(df: DataFrame, score: str, key: str) -> DataFrame:
     key (so even one score shared by a third of the rows is split across
     ranges by ``key``), each range counts its rows, offsets come from the
     running total over the (few) range totals, and the in-range position is
-    a window partitioned by range. The range exchange is reused by both
-    consumers, so every row is counted in the range it is ranked in.
+    a window partitioned by range. The range assignment is checkpointed, so
+    every row is counted in exactly the range it is ranked in.
     """
     g = df.withColumn("_neg", -F.col(score))
     n_parts = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    g = g.repartitionByRange(n_parts, "_neg", key).withColumn("_part", F.spark_partition_id())
+    g = materialize(g.repartitionByRange(n_parts, "_neg", key).withColumn("_part", F.spark_partition_id()))
     totals = g.groupBy("_part").agg(F.count(F.lit(1)).alias("_t"))
     w_off = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_part", F.coalesce(F.sum("_t").over(w_off), F.lit(0)).alias("_off"),

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort.functions.expressions import pseudonymize
-from cohort.operators import affinity, blocking, consent, graph, propensity, split
+from cohort.operators import (affinity, blocking, campaign, consent, ctr, evaluation, graph, lookalike,
+                              propensity, segments, split)
 from cohort.operators.evaluation import pairwise_prf
 from cohort.plans import identity
 from cohort.sources.contracts import contract_check
@@ -202,3 +203,184 @@ def q_propensity_features(spark, sf_dir):
 @register
 def q_hash_split(spark, sf_dir):
     return split.hash_split(_fx(spark, sf_dir).persons().select("person_id"), "person_id")
+
+
+# ----------------------------- scores and ranking ------------------------- #
+
+@register
+def q_precision_threshold(spark, sf_dir):
+    f = _candidate_features(_gated(spark, sf_dir))
+    t = evaluation.precision_threshold(f, score="cosine", label="label")
+    return _round(t, ["threshold", "precision"])
+
+
+@register
+def q_auc(spark, sf_dir):
+    f = _candidate_features(_gated(spark, sf_dir))
+    return evaluation.auc(f, score="cosine", label="label")
+
+
+@register
+def q_log_loss(spark, sf_dir):
+    f = _candidate_features(_gated(spark, sf_dir))
+    return evaluation.log_loss(f, prob="cosine", label="label")
+
+
+def _impressions(spark, sf_dir):
+    g = _gated(spark, sf_dir)
+    return ctr.impressions(g.events, g.devices)
+
+
+@register
+def q_ctr_baseline(spark, sf_dir):
+    imp = split.hash_split(_impressions(spark, sf_dir), "device_id")
+    train = imp.where(F.col("split") == "train").withColumn("label", F.col("click").cast("double"))
+    return evaluation.base_rate_baseline(train)
+
+
+@register
+def q_adjusted_rand(spark, sf_dir):
+    g = _gated(spark, sf_dir)
+    labels = graph.connected_components(g.nodes, blocking.deterministic_edges(g.signals))
+    return evaluation.adjusted_rand(labels, g.truth, "id", "component", "person")
+
+
+def _segment_means(spark, sf_dir):
+    persons, wide = _person_affinity(spark, sf_dir)
+    z = affinity.standardize(wide, affinity.CATS, keep=["person_id"])
+    assign = persons.select("person_id", F.col("true_segment").cast("int").alias("cluster"))
+    return assign, segments.cluster_means(assign, z, "person_id", "cluster", affinity.CATS)
+
+
+@register
+def q_top2_per_group(spark, sf_dir):
+    _, means = _segment_means(spark, sf_dir)
+    t = evaluation.top_n_per_group(means, "cluster", "value", "idx", 2)
+    return _round(t.select("cluster", "dim", "value", "rank"), ["value"])
+
+
+@register
+def q_segment_names(spark, sf_dir):
+    assign, means = _segment_means(spark, sf_dir)
+    names = segments.segment_names(means, "cluster")
+    members = assign.join(_person_affinity(spark, sf_dir)[1].select("person_id"), "person_id", "left_semi")
+    sizes = segments.segment_sizes(members, 8, "cluster")
+    return names.join(sizes, "cluster", "right").select("cluster", "label", "size")
+
+
+# ----------------------------- lookalike ---------------------------------- #
+
+def _lookalike_inputs(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    persons = fx.persons()
+    g = identity.gate(persons, fx.devices(), fx.signals(), fx.events())
+    inter = affinity.interactions(g.events, g.devices)
+    users = inter.select("person_id").distinct()
+    labels = users.join(persons.select("person_id", "converted_true"), "person_id")
+    return inter, users, labels
+
+
+@register
+def q_ratings(spark, sf_dir):
+    inter, _, _ = _lookalike_inputs(spark, sf_dir)
+    return lookalike.ratings(inter)
+
+
+@register
+def q_seed_holdout(spark, sf_dir):
+    _, _, labels = _lookalike_inputs(spark, sf_dir)
+    return lookalike.seed_holdout(labels)
+
+
+@register
+def q_seed_overindex(spark, sf_dir):
+    inter, users, labels = _lookalike_inputs(spark, sf_dir)
+    roles = lookalike.seed_holdout(labels)
+    return _round(lookalike.seed_overindex(inter, users, roles), ["uplift"])
+
+
+def _observed_audience(spark, sf_dir):
+    inter, users, labels = _lookalike_inputs(spark, sf_dir)
+    roles = lookalike.seed_holdout(labels)
+    char = lookalike.seed_overindex(inter, users, roles)
+    return lookalike.expand(lookalike.observed_scores(inter, users, char), roles)
+
+
+@register
+def q_top_fraction(spark, sf_dir):
+    a = _observed_audience(spark, sf_dir)
+    return a.where("selected").select("person_id", "score", "rank")
+
+
+@register
+def q_lookalike_lift(spark, sf_dir):
+    return lookalike.lookalike_lift(_observed_audience(spark, sf_dir))
+
+
+# ----------------------------- campaign ----------------------------------- #
+
+def _stream(spark, sf_dir):
+    s = _fx(spark, sf_dir).campaign_stream()
+    return s.select(F.lit("fx").alias("test"), "round", "batch", F.col("creative").alias("arm"), "reward")
+
+
+def _posterior(spark, sf_dir):
+    return campaign.beta_posterior(campaign.arm_counts(_stream(spark, sf_dir)))
+
+
+@register
+def q_beta_posterior(spark, sf_dir):
+    return _round(_posterior(spark, sf_dir), ["posterior_mean", "posterior_sd"])
+
+
+def _grid(spark, sf_dir):
+    return campaign.grid_posterior(_posterior(spark, sf_dir))
+
+
+@register
+def q_credible_interval(spark, sf_dir):
+    return _round(_grid(spark, sf_dir).select("test", "arm", "ci_low", "ci_high", "grid_points"),
+                  ["ci_low", "ci_high"])
+
+
+@register
+def q_p_best(spark, sf_dir):
+    return _round(_grid(spark, sf_dir).select("test", "arm", "p_best"), ["p_best"])
+
+
+@register
+def q_ab_winner(spark, sf_dir):
+    return _round(campaign.winner(_grid(spark, sf_dir)), ["p_best"])
+
+
+@register
+def q_budget_share(spark, sf_dir):
+    return _round(_grid(spark, sf_dir).select("test", "arm", F.col("p_best").alias("share")), ["share"])
+
+
+@register
+def q_bandit_replay(spark, sf_dir):
+    r = campaign.bandit_replay(_stream(spark, sf_dir)).withColumn("batch", F.col("batch").cast("string"))
+    cols = ["policy_rate", "uniform_rate", "best_rate", "best_share", "thompson_regret", "uniform_regret",
+            "cum_thompson_regret", "cum_uniform_regret", "cum_best_share"]
+    return _round(r, cols)
+
+
+@register
+def q_uniform_regret(spark, sf_dir):
+    post = _posterior(spark, sf_dir)
+    n = post.groupBy("test").agg(F.sum("trials").alias("n_rounds"))
+    r = campaign.uniform_regret(post.join(n, "test"))
+    return _round(r, ["best_rate", "mean_rate", "uniform_regret"])
+
+
+@register
+def q_eb_pooling(spark, sf_dir):
+    """Empirical-Bayes pooled posteriors: campaign = test, creative = arm, click = reward."""
+    ev = _gated(spark, sf_dir).events
+    counts = campaign.arm_counts(ev.select(F.col("campaign").alias("test"), F.col("creative").alias("arm"),
+                                           F.col("click").alias("reward")))
+    prior = campaign.eb_prior(counts)
+    post = campaign.beta_posterior(counts.join(prior, "test"), F.col("prior_alpha"), F.col("prior_beta"))
+    return _round(post.select("test", "arm", "successes", "failures", "prior_alpha", "prior_beta",
+                              "posterior_mean"), ["prior_alpha", "prior_beta", "posterior_mean"])

@@ -214,3 +214,225 @@ def bucket_sql(salt: str, expr: str) -> str:
 SQL["hash_split"] = _with(["fx_persons"]) + f"""
 select person_id, case when {bucket_sql('split', 'person_id')} < 70 then 'train' else 'test' end as split
 from fx_persons"""
+
+# ----------------------------- scores and ranking ------------------------- #
+
+FEAT_ALL = [FX_ID, GATE, DET, IP, NEW, UV, FEAT]
+
+SQL["precision_threshold"] = _with(*FEAT_ALL[:1], *FEAT_ALL[1:], """
+sg AS (select cosine as score, count_if(label = 1)::BIGINT as pos, count_if(label <> 1)::BIGINT as neg
+       from feat group by 1),
+cum AS (select score, sum(pos) over (order by score desc) as cp, sum(neg) over (order by score desc) as cn
+        from sg),
+ok AS (select * from cum where cp / (cp + cn) >= 0.9 order by score limit 1)""") + """
+select round(coalesce((select score from ok), 0.5), 6) as threshold,
+       coalesce((select cp from ok), 0)::BIGINT as kept_pos, coalesce((select cn from ok), 0)::BIGINT as kept_neg,
+       round((select cp / (cp + cn) from ok), 6) as precision"""
+
+SQL["auc"] = _with(*FEAT_ALL[:1], *FEAT_ALL[1:]) + """
+select count_if(label = 1)::BIGINT as positives, count_if(label <> 1)::BIGINT as negatives,
+       round((select sum(case when p.cosine > n.cosine then 1.0 when p.cosine = n.cosine then 0.5 else 0.0 end)
+              from feat p join feat n on p.label = 1 and n.label <> 1)
+             / (count_if(label = 1) * count_if(label <> 1)), 6) as auc
+from feat"""
+
+SQL["log_loss"] = _with(*FEAT_ALL[:1], *FEAT_ALL[1:]) + """
+select count(*) as n,
+       round(avg(-(label * ln(least(greatest(cosine, 1e-15), 1 - 1e-15))
+                   + (1 - label) * ln(1 - least(greatest(cosine, 1e-15), 1 - 1e-15)))), 6) as log_loss
+from feat"""
+
+SQL["ctr_baseline"] = _with(FX_ID, GATE, f"""
+tr AS (select e.click::DOUBLE as label from gev e join gdev d using (device_id)
+       where {bucket_sql('split', 'e.device_id')} < 70),
+br AS (select avg(label) as p, count(*) as n from tr)""") + """
+select n, round(p, 6) as base_rate,
+       round(case when p <= 0 or p >= 1 then 0.0 else -(p * ln(p) + (1 - p) * ln(1 - p)) end, 6)
+         as baseline_log_loss
+from br"""
+
+SQL["adjusted_rand"] = _with(FX_ID, GATE, DET, CC, f"""
+truth AS (select device_id as id, person_id as person from gdev),
+cells AS (select component, person, count(*) as n from cc join truth using (id) group by 1, 2),
+t AS (select sum(n) as n, sum({c2('n')})::DOUBLE as s,
+             (select sum({c2('n')}) from (select component, sum(n) as n from cells group by 1))::DOUBLE as a,
+             (select sum({c2('n')}) from (select person, sum(n) as n from cells group by 1))::DOUBLE as b
+      from cells),
+e AS (select *, a * b / (n * (n - 1) / 2.0) as ex from t)""") + """
+select n::BIGINT as n,
+       round(case when (a + b) / 2 - ex = 0 then 1.0 else (s - ex) / ((a + b) / 2 - ex) end, 6) as ari
+from e"""
+
+ZSEG = "zs AS (select person_id, " + ", ".join(
+    f"case when stddev_samp({c}) over () > 0 then ({c} - avg({c}) over ()) / stddev_samp({c}) over () "
+    f"else 0.0 end as {c}" for c in CATS) + " from wide)"
+MEANS = """
+seg AS (select z.*, cast(p.true_segment as integer) as cluster from zs z join fx_persons p using (person_id)),
+means AS (""" + " union all ".join(
+    f"select cluster, '{c}' as dim, {i} as idx, avg({c}) as value from seg group by cluster"
+    for i, c in enumerate(CATS)) + """),
+top2 AS (select *, row_number() over (partition by cluster order by value desc, idx) as rank from means)"""
+
+SQL["top2_per_group"] = _with(FX_ID, GATE, PEV, WIDE, ZSEG, MEANS) + """
+select cluster, dim, round(value, 6) as value, rank from top2 where rank <= 2"""
+
+SQL["segment_names"] = _with(FX_ID, GATE, PEV, WIDE, ZSEG, MEANS) + """
+select k.cluster, string_agg(t.dim, ' + ' order by t.rank) || ' affinity' as label,
+       (select count(*) from seg where seg.cluster = k.cluster) as size
+from (select unnest(range(0, 8))::INTEGER as cluster) k left join top2 t on t.cluster = k.cluster and t.rank <= 2
+group by k.cluster"""
+
+# ----------------------------- lookalike ---------------------------------- #
+
+LK = f"""
+inter AS (select person_id, content_cat, (3 * sum(click) + count(*))::BIGINT as weight from pev group by 1, 2),
+users AS (select distinct person_id from inter),
+lab AS (select u.person_id, p.converted_true from users u join fx_persons p using (person_id)),
+roles AS (select person_id, case when {bucket_sql('seed', 'person_id')} < 50 then 'seed' else 'heldout' end as role
+          from lab where converted_true = 1),
+cnt AS (select count(*) as n_all, count_if(r.role = 'seed') as n_seed
+        from users u left join roles r using (person_id)),
+item AS (select content_cat, sum(weight) as s_all,
+                sum(case when r.role = 'seed' then weight end) as s_seed
+         from inter i left join roles r using (person_id) group by 1),
+up AS (select content_cat, coalesce(s_seed, 0) / (select n_seed from cnt) - s_all / (select n_all from cnt) as uplift
+       from item),
+chr AS (select *, row_number() over (order by uplift desc, content_cat) as rank from up qualify rank <= 2),
+score AS (select u.person_id, coalesce(sum(i.weight), 0)::DOUBLE as score
+          from users u left join inter i on i.person_id = u.person_id
+                                         and i.content_cat in (select content_cat from chr)
+          group by 1),
+pool AS (select s.*, case when r.role = 'heldout' then 1 else 0 end as heldout from score s
+         left join roles r using (person_id) where r.role is distinct from 'seed'),
+ranked AS (select *, row_number() over (order by score desc, person_id) as rank,
+                  greatest(1, floor(count(*) over () * 0.2))::BIGINT as k from pool)"""
+
+SQL["ratings"] = _with(FX_ID, GATE, PEV, LK) + """
+select person_id::INTEGER as user, cast(substr(content_cat, 5) as integer) as item, weight::FLOAT as rating
+from inter"""
+
+SQL["seed_holdout"] = _with(FX_ID, GATE, PEV, LK) + "select person_id, role from roles"
+
+SQL["seed_overindex"] = _with(FX_ID, GATE, PEV, LK) + \
+    "select content_cat, round(uplift, 6) as uplift, rank::INTEGER as rank from chr"
+
+SQL["top_fraction"] = _with(FX_ID, GATE, PEV, LK) + \
+    "select person_id, score, rank::BIGINT as rank from ranked where rank <= k"
+
+SQL["lookalike_lift"] = _with(FX_ID, GATE, PEV, LK) + """
+select count(*) as pool, count_if(rank <= k)::BIGINT as selected, round(avg(heldout), 6) as base_rate,
+       round(avg(case when rank <= k then heldout end), 6) as selected_rate,
+       round(avg(case when rank <= k then heldout end) / nullif(avg(heldout), 0), 6) as lift
+from ranked"""
+
+# ----------------------------- campaign ----------------------------------- #
+
+STREAM = """
+st AS (select 'fx' as test, round, batch, creative as arm, reward from fx_campaign_stream)"""
+
+
+def post_cte(name: str, counts: str, group: list[str], prior: tuple[str, str] = ("1.0", "1.0")) -> str:
+    return f"""
+{name} AS (select *, alpha / (alpha + beta) as posterior_mean,
+                 sqrt(alpha * beta / ((alpha + beta) * (alpha + beta) * (alpha + beta + 1))) as posterior_sd
+          from (select *, ({prior[0]} + successes)::DOUBLE as alpha, ({prior[1]} + failures)::DOUBLE as beta
+                from {counts}))"""
+
+
+def grid_cte(name: str, post: str, group: list[str], arm: str = "arm") -> str:
+    g = ", ".join(group)
+    on = " and ".join(f"p.{c} = s.{c}" for c in group)
+    return f"""
+{name}_sup AS (select {g}, greatest(0.0, min(posterior_mean - 8.0 * posterior_sd)) as lo,
+                      least(1.0, max(posterior_mean + 8.0 * posterior_sd)) as hi, min(posterior_sd) as min_sd
+               from {post} group by {g}),
+{name}_g AS (select p.*, s.lo, s.hi,
+                    least(1048576, greatest(4096, ceil(8.0 * (s.hi - s.lo) / s.min_sd)))::INTEGER as G
+             from {post} p join {name}_sup s on {on}),
+{name}_x AS (select *, lo + (j + 0.5) * (hi - lo) / G as x
+             from (select *, unnest(range(0, G)) as j from {name}_g)),
+{name}_f AS (select *, exp(logf - max(logf) over (partition by {g}, {arm})) as fu
+             from (select *, (alpha - 1) * ln(x) + (beta - 1) * ln(1 - x) as logf from {name}_x)),
+{name}_c AS (select *, sum(f) over (partition by {g}, {arm} order by j
+                                    rows between unbounded preceding and current row) as cdf
+             from (select *, fu / sum(fu) over (partition by {g}, {arm}) as f from {name}_f)),
+{name}_l AS (select *, sum(lnF) over (partition by {g}, j) as S
+             from (select *, ln(greatest(cdf - f / 2, 1e-300)) as lnF from {name}_c)),
+{name} AS (select {g}, {arm}, sum(f * exp(S - lnF)) as p_best,
+                  min(case when cdf >= 0.025 then x end) as ci_low,
+                  min(case when cdf >= 0.975 then x end) as ci_high, any_value(G) as grid_points
+           from {name}_l group by {g}, {arm})"""
+
+
+COUNTS = """
+cnt AS (select test, arm, count_if(reward = 1)::BIGINT as successes, count_if(reward = 0)::BIGINT as failures,
+               (count_if(reward = 1) + count_if(reward = 0))::BIGINT as trials
+        from st group by 1, 2)"""
+CAMP = [["fx_campaign_stream"], STREAM, COUNTS, post_cte("post", "cnt", ["test"]), grid_cte("gp", "post", ["test"])]
+
+SQL["beta_posterior"] = _with(*CAMP[:1], *CAMP[1:4]) + """
+select test, arm, successes, failures, trials, alpha, beta, round(posterior_mean, 6) as posterior_mean,
+       round(posterior_sd, 6) as posterior_sd from post"""
+
+SQL["credible_interval"] = _with(*CAMP[:1], *CAMP[1:]) + """
+select test, arm, round(ci_low, 6) as ci_low, round(ci_high, 6) as ci_high, grid_points from gp"""
+
+SQL["p_best"] = _with(*CAMP[:1], *CAMP[1:]) + "select test, arm, round(p_best, 6) as p_best from gp"
+
+SQL["ab_winner"] = _with(*CAMP[:1], *CAMP[1:]) + """
+select test, arg_min(arm, (-p_best, arm)) as winner, round(max(p_best), 6) as p_best from gp group by test"""
+
+SQL["budget_share"] = _with(*CAMP[:1], *CAMP[1:]) + "select test, arm, round(p_best, 6) as share from gp"
+
+SQL["uniform_regret"] = _with(*CAMP[:1], *CAMP[1:4]) + """
+select test, round(max(posterior_mean), 6) as best_rate, round(avg(posterior_mean), 6) as mean_rate,
+       sum(trials)::BIGINT as n_rounds,
+       round(sum(trials) * (max(posterior_mean) - avg(posterior_mean)), 6) as uniform_regret
+from post group by test"""
+
+REPLAY = """
+per0 AS (select test, batch, arm, count_if(reward = 1)::BIGINT as s, count_if(reward = 0)::BIGINT as f
+         from st group by 1, 2, 3),
+grid AS (select a.test, a.arm, b.batch from (select distinct test, arm from per0) a
+         join (select distinct test, batch from per0) b using (test)),
+per AS (select g.test, g.batch, g.arm, coalesce(p.s, 0) as s, coalesce(p.f, 0) as f
+        from grid g left join per0 p using (test, batch, arm)),
+prior AS (select *, coalesce(sum(s) over w, 0) as successes, coalesce(sum(f) over w, 0) as failures
+          from per window w as (partition by test, arm order by batch
+                                rows between unbounded preceding and 1 preceding)),""" + \
+    post_cte("rpost", "prior", ["test", "batch"]) + "," + grid_cte("rg", "rpost", ["test", "batch"]) + """,
+overall AS (select test, arm, sum(s) / (sum(s) + sum(f)) as rate from per group by 1, 2),
+best AS (select test, arg_min(arm, (-rate, arm)) as best_arm from overall group by test),
+j AS (select p.test, p.batch, p.arm, p.s + p.f as n, case when p.s + p.f > 0 then p.s / (p.s + p.f) end as bm,
+             r.p_best as share, b.best_arm
+      from per p join rg r using (test, batch, arm) join best b using (test)),
+pb AS (select test, batch, sum(n) as n, sum(share * coalesce(bm, 0.0)) as policy_rate,
+              avg(coalesce(bm, 0.0)) as uniform_rate,
+              max(case when arm = best_arm then coalesce(bm, 0.0) end) as best_rate,
+              max(case when arm = best_arm then share end) as best_share
+       from j group by 1, 2),
+pr AS (select *, n * (best_rate - policy_rate) as thompson_regret, n * (best_rate - uniform_rate) as uniform_regret
+       from pb)"""
+
+SQL["bandit_replay"] = _with(*CAMP[:1], STREAM, REPLAY) + """
+select test, cast(batch as varchar) as batch, n::BIGINT as n, round(policy_rate, 6) as policy_rate, round(uniform_rate, 6) as uniform_rate,
+       round(best_rate, 6) as best_rate, round(best_share, 6) as best_share,
+       round(thompson_regret, 6) as thompson_regret, round(uniform_regret, 6) as uniform_regret,
+       round(sum(thompson_regret) over w, 6) as cum_thompson_regret,
+       round(sum(uniform_regret) over w, 6) as cum_uniform_regret,
+       round(sum(n * best_share) over w / sum(n) over w, 6) as cum_best_share
+from pr window w as (partition by test order by batch rows between unbounded preceding and current row)"""
+
+SQL["eb_pooling"] = _with(FX_ID, GATE, """
+ec AS (select campaign as test, creative as arm, count_if(click = 1)::BIGINT as successes,
+              count_if(click = 0)::BIGINT as failures, (count_if(click = 1) + count_if(click = 0))::BIGINT as trials
+       from gev group by 1, 2),
+mm AS (select test, avg(successes / trials) as m, var_pop(successes / trials) as v from ec where trials > 0
+       group by test),
+pr AS (select test, case when v > 0 and m * (1 - m) / v - 1 > 0 then m * (m * (1 - m) / v - 1) else 1.0 end
+                      as prior_alpha,
+              case when v > 0 and m * (1 - m) / v - 1 > 0 then (1 - m) * (m * (1 - m) / v - 1) else 1.0 end
+                      as prior_beta from mm)""") + """
+select test, arm, successes, failures, round(prior_alpha, 6) as prior_alpha, round(prior_beta, 6) as prior_beta,
+       round((prior_alpha + successes) / (prior_alpha + prior_beta + successes + failures), 6) as posterior_mean
+from ec join pr using (test)"""
