@@ -397,7 +397,8 @@ grid AS (select a.test, a.arm, b.batch from (select distinct test, arm from per0
          join (select distinct test, batch from per0) b using (test)),
 per AS (select g.test, g.batch, g.arm, coalesce(p.s, 0) as s, coalesce(p.f, 0) as f
         from grid g left join per0 p using (test, batch, arm)),
-prior AS (select *, coalesce(sum(s) over w, 0) as successes, coalesce(sum(f) over w, 0) as failures
+prior AS (select test, batch, arm, coalesce(sum(s) over w, 0) as successes,
+                 coalesce(sum(f) over w, 0) as failures
           from per window w as (partition by test, arm order by batch
                                 rows between unbounded preceding and 1 preceding)),""" + \
     post_cte("rpost", "prior", ["test", "batch"]) + "," + grid_cte("rg", "rpost", ["test", "batch"]) + """,
