@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort.functions.expressions import pseudonymize
-from cohort.operators import (affinity, blocking, campaign, consent, ctr, evaluation, graph, lookalike,
+from cohort.operators import (affinity, blocking, campaign, consent, ctr, evaluation, graph, lookalike, matcher,
                               propensity, segments, split)
 from cohort.operators.evaluation import pairwise_prf
-from cohort.plans import identity
+from cohort.plans import identity, metrics, models, segmentation
 from cohort.sources.contracts import contract_check
 from cohort.sources.fixtures import Fixtures
 
@@ -384,3 +384,117 @@ def q_eb_pooling(spark, sf_dir):
     post = campaign.beta_posterior(counts.join(prior, "test"), F.col("prior_alpha"), F.col("prior_beta"))
     return _round(post.select("test", "arm", "successes", "failures", "prior_alpha", "prior_beta",
                               "posterior_mean"), ["prior_alpha", "prior_beta", "posterior_mean"])
+
+
+# ----------------------------- learned models (rows-only checks) ----------- #
+
+def _resolution(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return identity.resolve_identities(fx.persons(), fx.devices(), fx.signals(), fx.events())
+
+
+@register
+def q_matcher_scores(spark, sf_dir):
+    g = _gated(spark, sf_dir)
+    det = blocking.deterministic_edges(g.signals)
+    return matcher.train_matcher(identity.candidate_features(g, det)).scored
+
+
+@register
+def q_matcher_report(spark, sf_dir):
+    g = _gated(spark, sf_dir)
+    det = blocking.deterministic_edges(g.signals)
+    return matcher.train_matcher(identity.candidate_features(g, det)).report
+
+
+@register
+def q_identity_ablation(spark, sf_dir):
+    return _resolution(spark, sf_dir).ablation
+
+
+@register
+def q_resolve_identities(spark, sf_dir):
+    return _resolution(spark, sf_dir).full_labels
+
+
+def _segmentation(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    persons = fx.persons()
+    g = identity.gate(persons, fx.devices(), fx.signals(), fx.events())
+    return segmentation.segment_people(g, persons)
+
+
+@register
+def q_kmeans_grid(spark, sf_dir):
+    return _segmentation(spark, sf_dir).silhouette
+
+
+@register
+def q_kmeans_segments(spark, sf_dir):
+    return _segmentation(spark, sf_dir).named
+
+
+@register
+def q_gmm_segments(spark, sf_dir):
+    return _segmentation(spark, sf_dir).ari
+
+
+def _gp(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    persons = fx.persons()
+    return identity.gate(persons, fx.devices(), fx.signals(), fx.events()), persons
+
+
+@register
+def q_propensity_lr(spark, sf_dir):
+    g, persons = _gp(spark, sf_dir)
+    return models.propensity_models(g, persons, with_gbt=False).scores
+
+
+@register
+def q_propensity_gbt(spark, sf_dir):
+    g, persons = _gp(spark, sf_dir)
+    return models.propensity_models(g, persons).report
+
+
+@register
+def q_ctr_hashed(spark, sf_dir):
+    g = _gated(spark, sf_dir)
+    return ctr.hashed_features(ctr.impressions(g.events, g.devices))
+
+
+@register
+def q_ctr_scores(spark, sf_dir):
+    return models.ctr_model(_gated(spark, sf_dir)).report
+
+
+@register
+def q_als_factors(spark, sf_dir):
+    g, persons = _gp(spark, sf_dir)
+    return models.als_lookalike(g, persons).user_factors
+
+
+@register
+def q_lookalike_audience(spark, sf_dir):
+    g, persons = _gp(spark, sf_dir)
+    return models.als_lookalike(g, persons).audience.where("selected")
+
+
+@register
+def q_metrics_summary(spark, sf_dir):
+    """Long ``[module, metric, value]`` table over consent, identity and campaign."""
+    fx = _fx(spark, sf_dir)
+    res = _resolution(spark, sf_dir)
+    post = campaign.beta_posterior(campaign.arm_counts(_stream(spark, sf_dir)))
+    grid = campaign.grid_posterior(post)
+    return metrics.summary({
+        "consent": metrics.wide_to_long(consent.consent_report(fx.persons())),
+        "identity": metrics.union_long([
+            res.matcher.report,
+            metrics.wide_to_long(res.ablation.where(F.col("variant") == "deterministic_only")
+                                 .drop("variant"), prefix="det_"),
+            metrics.wide_to_long(res.ablation.where(F.col("variant") != "deterministic_only")
+                                 .drop("variant"), prefix="full_"),
+            metrics.wide_to_long(identity.f1_lift(res.ablation))]),
+        "campaign": metrics.wide_to_long(campaign.winner(grid).drop("test", "winner"), prefix="winner_"),
+    })
