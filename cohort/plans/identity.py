@@ -47,10 +47,13 @@ def deterministic_resolution(g: Gated, max_block: int = blocking.MAX_BLOCK):
     return det, labels, pairwise_prf(labels, g.truth)
 
 
-def candidate_features(g: Gated, det: DataFrame, max_block: int = blocking.MAX_BLOCK) -> DataFrame:
+def candidate_features(g: Gated, det: DataFrame, max_block: int = blocking.MAX_BLOCK,
+                       profiles: DataFrame | None = None) -> DataFrame:
     """IP-blocked pairs not already linked, with behavioural features."""
     cands = blocking.new_candidates(blocking.ip_candidates(g.signals, max_block), det)
-    return affinity.pair_features(cands, affinity.device_profiles(g.devices, g.events))
+    if profiles is None:
+        profiles = affinity.device_profiles(g.devices, g.events)
+    return affinity.pair_features(cands, profiles)
 
 
 @dataclass
@@ -65,10 +68,18 @@ class Resolution:
 
 def resolve_identities(persons: DataFrame, devices: DataFrame, signals: DataFrame, events: DataFrame,
                        max_block: int = blocking.MAX_BLOCK) -> Resolution:
-    """Full identity resolution with the deterministic-only ablation."""
-    g = gate(persons, devices, signals, events)
+    """Full identity resolution with the deterministic-only ablation.
+
+    Gated devices and signals, deterministic edges and the per-device
+    profiles are each read several times downstream, so each is written
+    once to the checkpoint directory instead of being recomputed from the
+    raw tables at every reference.
+    """
+    g0 = gate(persons, devices, signals, events)
+    g = Gated(materialize(g0.devices), materialize(g0.signals), g0.events)
     det = materialize(blocking.deterministic_edges(g.signals, max_block))
-    feat = candidate_features(g, det, max_block)
+    profiles = materialize(affinity.device_profiles(g.devices, g.events))
+    feat = candidate_features(g, det, max_block, profiles)
     m = matcher.train_matcher(feat)
     prob = materialize(matcher.accepted_edges(m))
     det_labels = graph.connected_components(g.nodes, det)
