@@ -18,7 +18,8 @@ from cohort.operators import (affinity, blocking, campaign, consent, ctr, evalua
 from cohort.operators.evaluation import pairwise_prf
 from cohort.plans import identity, metrics, models, segmentation
 from cohort.sources.contracts import contract_check
-from cohort.sources.fixtures import Fixtures
+from cohort.sources.fixtures import Fixtures, campaign_stream_from
+from cohort.streaming import arm_posteriors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -498,3 +499,17 @@ def q_metrics_summary(spark, sf_dir):
             metrics.wide_to_long(identity.f1_lift(res.ablation))]),
         "campaign": metrics.wide_to_long(campaign.winner(grid).drop("test", "winner"), prefix="winner_"),
     })
+
+
+# ----------------------------- streaming ---------------------------------- #
+
+@register
+def q_stream_posterior(spark, sf_dir):
+    """Arm posteriors maintained by a streaming aggregation over the events files."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    rows = campaign_stream_from(arm_posteriors.read_stream_table(spark, sf_dir, "events", schema))
+    stream = rows.select(F.lit("fx").alias("test"), F.col("creative").alias("arm"), "reward")
+    out, ckpt = arm_posteriors.scratch_paths(spark, "stream-posterior")
+    arm_posteriors.run_available(arm_posteriors.posterior_stream(stream), out, ckpt)
+    return _round(spark.read.parquet(out), ["posterior_mean", "posterior_sd"]).select(
+        "test", "arm", "successes", "failures", "trials", "alpha", "beta", "posterior_mean", "posterior_sd")

@@ -437,3 +437,5 @@ pr AS (select test, case when v > 0 and m * (1 - m) / v - 1 > 0 then m * (m * (1
 select test, arm, successes, failures, round(prior_alpha, 6) as prior_alpha, round(prior_beta, 6) as prior_beta,
        round((prior_alpha + successes) / (prior_alpha + prior_beta + successes + failures), 6) as posterior_mean
 from ec join pr using (test)"""
+
+SQL["stream_posterior"] = SQL["beta_posterior"]

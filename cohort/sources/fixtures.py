@@ -107,15 +107,21 @@ class Fixtures:
 
     # -- campaign reward stream ------------------------------------------- #
     def campaign_stream(self) -> DataFrame:
-        ev = self.raw("events").select("event_id", "ts", "user_id")
-        arm = F.col("user_id") % 6
-        cut = F.lit(3) + arm + F.when(arm == 4, F.lit(4)).otherwise(F.lit(0))
-        return ev.select(
-            F.col("event_id").alias("round"),
-            F.col("ts").cast("date").alias("batch"),
-            F.concat(F.lit("cr_"), arm.cast("string")).alias("creative"),
-            F.when(bucket("rw", F.col("event_id")) < cut, F.lit(1)).otherwise(F.lit(0)).alias("reward"),
-        )
+        return campaign_stream_from(self.raw("events")).drop("ts")
+
+
+def campaign_stream_from(events: DataFrame) -> DataFrame:
+    """Reshape driver ``events`` rows (batch or streaming) into reward-stream rows."""
+    ev = events.select("event_id", "ts", "user_id")
+    arm = F.col("user_id") % 6
+    cut = F.lit(3) + arm + F.when(arm == 4, F.lit(4)).otherwise(F.lit(0))
+    return ev.select(
+        F.col("event_id").alias("round"),
+        F.col("ts").alias("ts"),
+        F.col("ts").cast("date").alias("batch"),
+        F.concat(F.lit("cr_"), arm.cast("string")).alias("creative"),
+        F.when(bucket("rw", F.col("event_id")) < cut, F.lit(1)).otherwise(F.lit(0)).alias("reward"),
+    )
 
 
 # --------------------------------------------------------------------------- #
