@@ -513,3 +513,13 @@ def q_stream_posterior(spark, sf_dir):
     arm_posteriors.run_available(arm_posteriors.posterior_stream(stream), out, ckpt)
     return _round(spark.read.parquet(out), ["posterior_mean", "posterior_sd"]).select(
         "test", "arm", "successes", "failures", "trials", "alpha", "beta", "posterior_mean", "posterior_sd")
+
+
+@register
+def q_resolved_affinity(spark, sf_dir):
+    """Person affinity keyed by the *resolved* entity instead of the truth id."""
+    g = _gated(spark, sf_dir)
+    labels = graph.connected_components(g.nodes, blocking.deterministic_edges(g.signals))
+    resolved = g.devices.join(labels.select(F.col("id").alias("device_id"), F.col("component").alias("entity")),
+                              "device_id").select("device_id", F.col("entity").alias("person_id"), "device_type")
+    return affinity.person_affinity(g.events, resolved).withColumnRenamed("person_id", "entity")

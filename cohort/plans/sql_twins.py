@@ -439,3 +439,10 @@ select test, arm, successes, failures, round(prior_alpha, 6) as prior_alpha, rou
 from ec join pr using (test)"""
 
 SQL["stream_posterior"] = SQL["beta_posterior"]
+
+SQL["resolved_affinity"] = _with(FX_ID, GATE, DET, CC, """
+rev AS (select e.*, c.component as entity from gev e join cc c on c.id = e.device_id),
+raff AS (select entity, content_cat, (3 * sum(click) + count(*))::DOUBLE as w from rev group by 1, 2)""") + \
+    "select entity, " + ", ".join(
+        f"coalesce(sum(case when content_cat = '{c}' then w end), 0.0) as {c}" for c in CATS) + \
+    " from raff group by entity"
