@@ -30,8 +30,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_session("cohort-bench", master=f"local[{cpus}]", shuffle_partitions=max(8, cpus),
-                        conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
+    # One shuffle partition per core; on a single machine, coalescing them only
+    # serialises the work (cluster runs keep AQE coalescing on).
+    spark = get_session("cohort-bench", master=f"local[{cpus}]", shuffle_partitions=cpus,
+                        conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g"),
+                              "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cohort-bench-ckpt-", dir="/tmp"))
     # Warm-up: JVM class loading and the first parquet footer reads are not query work.

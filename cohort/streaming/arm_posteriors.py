@@ -33,20 +33,29 @@ def posterior_stream(stream: DataFrame, group: str = "test", arm: str = "arm", r
 
 
 def run_available(posteriors: DataFrame, out_path: str, checkpoint: str, windowed: bool = False):
-    """Process everything available now, then stop; results land in ``out_path``."""
+    """Process everything available now, then stop; results land in ``out_path``.
+
+    Unwindowed: complete mode, each micro-batch overwrites the (small) table.
+    Windowed: update mode, changed windows are appended; read with :func:`latest`.
+    """
+    save_mode = "append" if windowed else "overwrite"
+
     def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+        batch.write.mode(save_mode).parquet(out_path)
 
-    mode = "update" if windowed else "complete"
-    if windowed:
-        def write(batch: DataFrame, _epoch: int) -> None:  # noqa: F811 - append updates per window
-            batch.write.mode("append").parquet(out_path)
-    q = (posteriors.writeStream.outputMode(mode).foreachBatch(write)
+    q = (posteriors.writeStream.outputMode("update" if windowed else "complete").foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
+def latest(updates: DataFrame, keys: list[str]) -> DataFrame:
+    """Collapse appended update-mode rows to the latest per key (counts only grow)."""
+    cols = [c for c in updates.columns if c not in keys]
+    best = F.max_by(F.struct(*cols), F.col("trials"))
+    return updates.groupBy(*keys).agg(best.alias("_r")).select(*keys, "_r.*")
+
+
 def read_stream_table(spark: SparkSession, directory: str, name: str, schema) -> DataFrame:
     """Stream the rows of ``{directory}/{name}.parquet`` (new files are picked up)."""
     return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
