@@ -523,3 +523,15 @@ def q_resolved_affinity(spark, sf_dir):
     resolved = g.devices.join(labels.select(F.col("id").alias("device_id"), F.col("component").alias("entity")),
                               "device_id").select("device_id", F.col("entity").alias("person_id"), "device_type")
     return affinity.person_affinity(g.events, resolved).withColumnRenamed("person_id", "entity")
+
+
+@register
+def q_embedding_segments(spark, sf_dir):
+    """K-means (k = number of labels) on the embeddings table, ARI vs. its labels."""
+    emb = _fx(spark, sf_dir).raw("embeddings")
+    data = segments.array_features(emb, "embedding").select("vec_id", "features", "label").cache()
+    k = data.agg(F.count_distinct("label").alias("k")).first()["k"]
+    model = segments.KMeans(k=k, seed=segments.SEED, featuresCol="features").fit(data)
+    pred = model.transform(data).select("vec_id", F.col("prediction").alias("cluster"))
+    return evaluation.adjusted_rand(pred, data.select("vec_id", "label"), "vec_id", "cluster", "label") \
+                     .withColumn("k", F.lit(k))
