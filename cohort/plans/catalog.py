@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from cohort.functions.expressions import pseudonymize
 from cohort.operators import (affinity, blocking, campaign, consent, ctr, evaluation, graph, lookalike, matcher,
                               propensity, segments, split)
-from cohort.operators.evaluation import pairwise_prf
 from cohort.plans import identity, metrics, models, segmentation
 from cohort.sources.contracts import contract_check
 from cohort.sources.fixtures import Fixtures, campaign_stream_from
@@ -119,9 +118,8 @@ def q_connected_components(spark, sf_dir):
 
 @register
 def q_pairwise_prf(spark, sf_dir):
-    g = _gated(spark, sf_dir)
-    labels = graph.connected_components(g.nodes, blocking.deterministic_edges(g.signals))
-    return pairwise_prf(labels, g.truth)
+    _, _, prf = identity.deterministic_resolution(_gated(spark, sf_dir))
+    return prf
 
 
 @register
