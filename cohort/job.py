@@ -40,7 +40,7 @@ def run(spark, module: str, t: dict, out: str) -> None:
     if module == "identity":
         r = identity.resolve_identities(persons, t["devices"], t["identity_signals"], t["events"])
         write_table(r.full_labels, f"{out}/resolved_ids")
-        m = metrics.union_long([r.matcher.report, metrics.wide_to_long(identity.f1_lift(r.ablation))])
+        m = metrics.union_long([r.matcher.report, metrics.wide_to_long(identity.f1_lift(r.ablation)), r.counts()])
     elif module == "segmentation":
         s = segmentation.segment_people(g, persons)
         write_table(s.assignments, f"{out}/segments")

@@ -494,7 +494,8 @@ def q_metrics_summary(spark, sf_dir):
                                  .drop("variant"), prefix="det_"),
             metrics.wide_to_long(res.ablation.where(F.col("variant") != "deterministic_only")
                                  .drop("variant"), prefix="full_"),
-            metrics.wide_to_long(identity.f1_lift(res.ablation))]),
+            metrics.wide_to_long(identity.f1_lift(res.ablation)),
+            res.counts()]),
         "campaign": metrics.wide_to_long(campaign.winner(grid).drop("test", "winner"), prefix="winner_"),
     })
 

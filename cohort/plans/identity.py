@@ -64,6 +64,12 @@ class Resolution:
     full_labels: DataFrame
     matcher: matcher.Matcher
     ablation: DataFrame      # [variant, tp, predicted_pairs, true_pairs, precision, recall, f1]
+    gated: Gated
+
+    def counts(self) -> DataFrame:
+        """Graph sizes of the full resolution (devices, persons, entities, edges)."""
+        return graph.graph_counts(self.gated.nodes, self.gated.truth, self.full_labels,
+                                  {"deterministic_edges": self.det_edges, "probabilistic_edges": self.prob_edges})
 
 
 def resolve_identities(persons: DataFrame, devices: DataFrame, signals: DataFrame, events: DataFrame,
@@ -87,7 +93,7 @@ def resolve_identities(persons: DataFrame, devices: DataFrame, signals: DataFram
     ablation = (pairwise_prf(det_labels, g.truth).select(F.lit("deterministic_only").alias("variant"), "*")
                 .unionByName(pairwise_prf(full_labels, g.truth)
                              .select(F.lit("deterministic_plus_probabilistic").alias("variant"), "*")))
-    return Resolution(det, prob, det_labels, full_labels, m, ablation)
+    return Resolution(det, prob, det_labels, full_labels, m, ablation, g)
 
 
 def f1_lift(ablation: DataFrame) -> DataFrame:
