@@ -11,15 +11,17 @@ partial aggregation in the per-node ``groupBy`` and by AQE's skew-join
 splitting on the edge side of the join back to the per-node table (one row
 per node). No step collects a node's neighbourhood into one task.
 
-Lineage is cut every step with a reliable checkpoint (see
-``cohort.session.materialize``), so a lost executor recomputes at most one
-step. Convergence is read off the same per-node aggregate that drives the
+Lineage is cut once per round with a reliable checkpoint of the edge set
+(see ``cohort.session.materialize``); the per-round node table and the
+large-star output are only cached, so a lost executor recomputes at most
+one round from the last checkpoint. Convergence is read off the same per-node aggregate that drives the
 large-star step: the edge set is a forest of stars centred on each
 component's minimum exactly when no node has both smaller and larger
 neighbours and no node has two smaller neighbours.
 """
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,14 +91,23 @@ def connected_components(nodes: DataFrame, edges: DataFrame, *, id_col: str = "i
     ids = nodes.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull()).distinct()
     e = materialize(canonical_edges(ids, edges, src, dst))
     for _ in range(max_rounds):
-        stats = materialize(_node_stats(e))
+        # Per-round tables are cached, not checkpointed: their lineage starts
+        # at the last checkpointed edge set, so a lost partition costs at
+        # most one round of recomputation. The edge set itself is written
+        # reliably once per round.
+        stats = _node_stats(e).persist(StorageLevel.MEMORY_AND_DISK)
         unfinished = stats.where(((F.col("n_lt") > 0) & (F.col("n_gt") > 0)) | (F.col("n_lt") >= 2))
         if not unfinished.take(1):
             break
-        e = materialize(_large_star(e, stats))
-        e = materialize(_small_star(e))
+        large = _large_star(e, stats).persist(StorageLevel.MEMORY_AND_DISK)
+        e = materialize(_small_star(large))
+        large.unpersist()
+        stats.unpersist()
     else:
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
+    final = materialize(stats)
+    stats.unpersist()
+    stats = final
     # Star forest: a centre has no smaller neighbour; a leaf has exactly one.
     label = stats.select(F.col("u").alias("id"),
                          F.when(F.col("n_lt") == 0, F.col("u")).otherwise(F.col("m")).alias("component"))
