@@ -43,6 +43,27 @@ def consent_report(persons: DataFrame) -> DataFrame:
         "suppressed_gdpr_no_consent", "suppressed_ccpa_opt_out")
 
 
+def device_suppression(devices: DataFrame, persons: DataFrame) -> DataFrame:
+    """One-row device-level audit of the gate: kept and dropped devices by reason.
+
+    A device is dropped for GDPR (EU owner without consent), for CCPA (owner
+    opted out), or because its owner is not in the persons table. One left
+    join of devices to the owner's flags, then one global aggregate.
+    """
+    p = with_processing_allowed(persons).select(
+        "person_id", F.lit(True).alias("_known"),
+        F.coalesce(F.col("processing_allowed"), F.lit(False)).alias("_ok"),
+        ((F.col("region") == "EU") & ~F.coalesce(F.col("gdpr_consent"), F.lit(False))).alias("_gdpr"),
+        F.coalesce(F.col("ccpa_opt_out"), F.lit(False)).alias("_ccpa"))
+    j = devices.select("person_id").join(p, "person_id", "left")
+    known = F.coalesce(F.col("_known"), F.lit(False))
+    return j.agg(F.count(F.lit(1)).alias("total_devices"),
+                 F.count_if(known & F.col("_ok")).alias("kept_devices"),
+                 F.count_if(known & F.coalesce(F.col("_gdpr"), F.lit(False))).alias("dropped_gdpr_no_consent"),
+                 F.count_if(known & F.col("_ccpa")).alias("dropped_ccpa_opt_out"),
+                 F.count_if(~known).alias("dropped_unknown_owner"))
+
+
 def allowed_person_ids(persons: DataFrame) -> DataFrame:
     """The consented population (C3): ``[person_id]``. Null flags drop the row."""
     return (with_processing_allowed(persons)

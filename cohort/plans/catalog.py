@@ -68,6 +68,12 @@ def q_consent_report(spark, sf_dir):
     return consent.consent_report(_fx(spark, sf_dir).persons())
 
 
+@register
+def q_device_suppression(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return consent.device_suppression(fx.devices(), fx.persons())
+
+
 @register
 def q_gate_devices(spark, sf_dir):
     fx = _fx(spark, sf_dir)

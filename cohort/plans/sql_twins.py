@@ -446,3 +446,12 @@ raff AS (select entity, content_cat, (3 * sum(click) + count(*))::DOUBLE as w fr
     "select entity, " + ", ".join(
         f"coalesce(sum(case when content_cat = '{c}' then w end), 0.0) as {c}" for c in CATS) + \
     " from raff group by entity"
+
+SQL["device_suppression"] = _with(["fx_persons", "fx_devices"]) + f"""
+select count(*) as total_devices,
+       {cif("p.person_id is not null and " + ALLOWED)} as kept_devices,
+       {cif("p.person_id is not null and p.region = 'EU' and not coalesce(p.gdpr_consent, false)")}
+         as dropped_gdpr_no_consent,
+       {cif("p.person_id is not null and coalesce(p.ccpa_opt_out, false)")} as dropped_ccpa_opt_out,
+       {cif("p.person_id is null")} as dropped_unknown_owner
+from fx_devices d left join fx_persons p using (person_id)"""
