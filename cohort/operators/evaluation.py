@@ -129,6 +129,7 @@ def ordered_prefix_sums(groups: DataFrame, order_col: str, value_cols: list[str]
     offsets = totals.select("_part", *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}")
                                        for c in value_cols])
     w_in = Window.partitionBy("_part").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
+    # ``offsets`` has one row per range (<= default parallelism): a bounded broadcast.
     out = g.join(F.broadcast(offsets), "_part")
     for c in value_cols:
         out = out.withColumn(f"cum_{c}", F.sum(c).over(w_in) + F.col(f"_o_{c}"))
@@ -221,6 +222,7 @@ def global_rank(df: DataFrame, score: str, key: str) -> DataFrame:
     offsets = totals.select("_part", F.coalesce(F.sum("_t").over(w_off), F.lit(0)).alias("_off"),
                             F.sum("_t").over(Window.partitionBy()).alias("_n"))
     w_in = Window.partitionBy("_part").orderBy("_neg", key)
+    # One row per range (<= default parallelism): a bounded broadcast.
     return (g.join(F.broadcast(offsets), "_part")
              .withColumn("rank", (F.row_number().over(w_in) + F.col("_off")).cast("bigint"))
              .drop("_neg", "_part", "_off"))
