@@ -115,6 +115,29 @@ def connected_components(nodes: DataFrame, edges: DataFrame, *, id_col: str = "i
                .select("id", F.coalesce(F.col("component"), F.col("id")).alias("component")))
 
 
+def merge_components(labels: DataFrame, edges: DataFrame, src: str = "src", dst: str = "dst",
+                     max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
+    """Components after adding ``edges`` to an existing labelling ``[id, component]``.
+
+    Equal to ``connected_components(nodes, old_edges + edges)`` when
+    ``labels`` is a min-id labelling, but the iteration runs on the
+    *component graph* (one node per existing component, one edge per new
+    link between components), which is far smaller than the device graph.
+    Component ids are minimum member ids, so the minimum over merged
+    components is the minimum member id of the union.
+    """
+    lab = labels.select("id", "component")
+    cs = lab.select(F.col("id").alias(src), F.col("component").alias("_cs"))
+    cd = lab.select(F.col("id").alias(dst), F.col("component").alias("_cd"))
+    links = (edges.select(src, dst).join(cs, src).join(cd, dst)
+             .where(F.col("_cs") != F.col("_cd"))
+             .select(F.col("_cs").alias("src"), F.col("_cd").alias("dst")))
+    comps = lab.select(F.col("component").alias("id")).distinct()
+    merged = connected_components(comps, links, max_rounds=max_rounds)
+    return (lab.join(merged.select(F.col("id").alias("component"), F.col("component").alias("_m")), "component")
+               .select("id", F.col("_m").alias("component")))
+
+
 def graph_counts(nodes: DataFrame, truth: DataFrame, labels: DataFrame,
                  edge_sets: dict[str, DataFrame]) -> DataFrame:
     """Long table of graph sizes (I12): ``[metric, value]``.

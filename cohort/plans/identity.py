@@ -88,8 +88,10 @@ def resolve_identities(persons: DataFrame, devices: DataFrame, signals: DataFram
     feat = candidate_features(g, det, max_block, profiles)
     m = matcher.train_matcher(feat)
     prob = materialize(matcher.accepted_edges(m))
-    det_labels = graph.connected_components(g.nodes, det)
-    full_labels = graph.connected_components(g.nodes, blocking.union_edges(det, prob))
+    det_labels = materialize(graph.connected_components(g.nodes, det))
+    # Adding the probabilistic links contracts the deterministic components
+    # first, so the second labelling iterates over components, not devices.
+    full_labels = graph.merge_components(det_labels, prob)
     ablation = (pairwise_prf(det_labels, g.truth).select(F.lit("deterministic_only").alias("variant"), "*")
                 .unionByName(pairwise_prf(full_labels, g.truth)
                              .select(F.lit("deterministic_plus_probabilistic").alias("variant"), "*")))

@@ -58,3 +58,16 @@ def test_matches_union_find_on_random_graphs(spark):
         e = spark.createDataFrame(edges, "src long, dst long").repartition(5)
         got = {r["id"]: r["component"] for r in connected_components(n, e).collect()}
         assert got == _union_find(n_nodes, edges)
+
+
+def test_merge_components_equals_full_recompute(spark):
+    from cohort.operators.graph import merge_components
+    rng = random.Random(11)
+    n_nodes = 120
+    old = [(rng.randrange(n_nodes), rng.randrange(n_nodes)) for _ in range(60)]
+    new = [(rng.randrange(n_nodes), rng.randrange(n_nodes)) for _ in range(40)]
+    n = spark.createDataFrame([(i,) for i in range(n_nodes)], "id long")
+    e_old = spark.createDataFrame(old, "src long, dst long")
+    e_new = spark.createDataFrame(new, "src long, dst long")
+    merged = {r["id"]: r["component"] for r in merge_components(connected_components(n, e_old), e_new).collect()}
+    assert merged == _union_find(n_nodes, old + new)

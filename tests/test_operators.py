@@ -63,3 +63,12 @@ def test_contract_check_flags_schema_and_key(spark):
     assert r.schema_ok and not r.key_unique
     drift = bad.withColumn("device_id", F.col("device_id").cast("string"))
     assert not contract_check({"devices": drift}).first().schema_ok
+
+
+def test_item_dictionary_is_dense_and_ordered(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "content_cat string")
+    d = {r.content_cat: r.item for r in lookalike.item_dictionary(df).collect()}
+    assert d == {"a": 0, "b": 1, "c": 2}
+    inter = spark.createDataFrame([(1, "c", 4)], "person_id long, content_cat string, weight long")
+    assert [tuple(r) for r in lookalike.ratings_from_dictionary(inter, lookalike.item_dictionary(df)).collect()] \
+        == [(1, 2, 4.0)]
