@@ -269,7 +269,9 @@ def q_segment_names(spark, sf_dir):
     assign, means = _segment_means(spark, sf_dir)
     names = segments.segment_names(means, "cluster")
     members = assign.join(_person_affinity(spark, sf_dir)[1].select("person_id"), "person_id", "left_semi")
-    sizes = segments.segment_sizes(members, 8, "cluster")
+    # Cluster ids are 0..k-1 with k read from the labels (empty clusters still get a row).
+    k = assign.agg(F.max("cluster").alias("k")).first()["k"] + 1
+    sizes = segments.segment_sizes(members, k, "cluster")
     return names.join(sizes, "cluster", "right").select("cluster", "label", "size")
 
 

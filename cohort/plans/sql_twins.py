@@ -279,7 +279,8 @@ select cluster, dim, round(value, 6) as value, rank from top2 where rank <= 2"""
 SQL["segment_names"] = _with(FX_ID, GATE, PEV, WIDE, ZSEG, MEANS) + """
 select k.cluster, string_agg(t.dim, ' + ' order by t.rank) || ' affinity' as label,
        (select count(*) from seg where seg.cluster = k.cluster) as size
-from (select unnest(range(0, 8))::INTEGER as cluster) k left join top2 t on t.cluster = k.cluster and t.rank <= 2
+from (select unnest(range(0, (select max(true_segment) + 1 from fx_persons)))::INTEGER as cluster) k
+     left join top2 t on t.cluster = k.cluster and t.rank <= 2
 group by k.cluster"""
 
 # ----------------------------- lookalike ---------------------------------- #
