@@ -260,7 +260,7 @@ def _segment_means(spark, sf_dir):
 @register
 def q_top2_per_group(spark, sf_dir):
     _, means = _segment_means(spark, sf_dir)
-    t = evaluation.top_n_per_group(means, "cluster", "value", "idx", 2)
+    t = evaluation.top_n_per_group(means, "cluster", "value", "idx", segments.TOP_DIMS)
     return _round(t.select("cluster", "dim", "value", "rank"), ["value"])
 
 
