@@ -542,3 +542,10 @@ def q_embedding_segments(spark, sf_dir):
     pred = model.transform(data).select("vec_id", F.col("prediction").alias("cluster"))
     return evaluation.adjusted_rand(pred, data.select("vec_id", "label"), "vec_id", "cluster", "label") \
                      .withColumn("k", F.lit(k))
+
+
+@register
+def q_logging_balance(spark, sf_dir):
+    """Per batch: distance of the logged arm allocation from uniform (replay precondition)."""
+    b = campaign.logging_balance(_stream(spark, sf_dir)).withColumn("batch", F.col("batch").cast("string"))
+    return _round(b, ["max_share_gap"])

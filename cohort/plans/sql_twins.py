@@ -456,3 +456,11 @@ select count(*) as total_devices,
        {cif("p.person_id is not null and coalesce(p.ccpa_opt_out, false)")} as dropped_ccpa_opt_out,
        {cif("p.person_id is null")} as dropped_unknown_owner
 from fx_devices d left join fx_persons p using (person_id)"""
+
+SQL["logging_balance"] = _with(["fx_campaign_stream"], STREAM, """
+pulls AS (select test, batch, arm, count(*) as pulls from st group by 1, 2, 3),
+sh AS (select *, abs(pulls / sum(pulls) over (partition by test, batch)
+                     - 1.0 / count(*) over (partition by test, batch)) as dev from pulls)""") + """
+select test, cast(batch as varchar) as batch, sum(pulls)::BIGINT as n, count(*) as arms,
+       round(max(dev), 6) as max_share_gap
+from sh group by test, batch"""
