@@ -56,10 +56,17 @@ def latest(updates: DataFrame, keys: list[str]) -> DataFrame:
     return updates.groupBy(*keys).agg(best.alias("_r")).select(*keys, "_r.*")
 
 
-def read_stream_table(spark: SparkSession, directory: str, name: str, schema) -> DataFrame:
-    """Stream the rows of ``{directory}/{name}.parquet`` (new files are picked up)."""
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(directory))
+def read_stream_table(spark: SparkSession, directory: str, name: str, schema,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream the rows of ``{directory}/{name}.parquet`` (new files are picked up).
+
+    ``max_files_per_trigger`` bounds a micro-batch during a backfill; by
+    default each trigger takes everything that is new.
+    """
+    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(directory)
 
 
 def scratch_paths(spark: SparkSession, tag: str) -> tuple[str, str]:
