@@ -96,8 +96,11 @@ def connected_components(nodes: DataFrame, edges: DataFrame, *, id_col: str = "i
         # most one round of recomputation. The edge set itself is written
         # reliably once per round.
         stats = _node_stats(e).persist(StorageLevel.MEMORY_AND_DISK)
-        unfinished = stats.where(((F.col("n_lt") > 0) & (F.col("n_gt") > 0)) | (F.col("n_lt") >= 2))
-        if not unfinished.take(1):
+        # One aggregate job: it also fills the cache the large-star step reads.
+        not_star = ((F.col("n_lt") > 0) & (F.col("n_gt") > 0)) | (F.col("n_lt") >= 2)
+        converged = stats.agg(F.count_if(not_star).alias("n")).first()["n"] == 0
+        if converged:
+            stats.unpersist()
             break
         large = _large_star(e, stats).persist(StorageLevel.MEMORY_AND_DISK)
         e = materialize(_small_star(large))
@@ -105,12 +108,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame, *, id_col: str = "i
         stats.unpersist()
     else:
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
-    final = materialize(stats)
-    stats.unpersist()
-    stats = final
-    # Star forest: a centre has no smaller neighbour; a leaf has exactly one.
-    label = stats.select(F.col("u").alias("id"),
-                         F.when(F.col("n_lt") == 0, F.col("u")).otherwise(F.col("m")).alias("component"))
+    # Star forest: every leaf has exactly one edge, to its component's minimum;
+    # centres never appear as ``hi``. So the converged edge set is the labelling.
+    label = e.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
     return (ids.join(label, "id", "left")
                .select("id", F.coalesce(F.col("component"), F.col("id")).alias("component")))
 
