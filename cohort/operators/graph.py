@@ -11,10 +11,10 @@ partial aggregation in the per-node ``groupBy`` and by AQE's skew-join
 splitting on the edge side of the join back to the per-node table (one row
 per node). No step collects a node's neighbourhood into one task.
 
-Lineage is cut once per round with a reliable checkpoint of the edge set
-(see ``cohort.session.materialize``); the per-round node table and the
-large-star output are only cached, so a lost executor recomputes at most
-one round from the last checkpoint. Convergence is read off the same per-node aggregate that drives the
+Lineage is cut every round with reliable checkpoints of the node table and
+the edge set (see ``cohort.session.materialize``); only the short-lived
+large-star output is cached, so a lost executor recomputes at most one
+round. Convergence is read off the same per-node aggregate that drives the
 large-star step: the edge set is a forest of stars centred on each
 component's minimum exactly when no node has both smaller and larger
 neighbours and no node has two smaller neighbours.
@@ -91,21 +91,21 @@ def connected_components(nodes: DataFrame, edges: DataFrame, *, id_col: str = "i
     ids = nodes.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull()).distinct()
     e = materialize(canonical_edges(ids, edges, src, dst))
     for _ in range(max_rounds):
-        # Per-round tables are cached, not checkpointed: their lineage starts
-        # at the last checkpointed edge set, so a lost partition costs at
-        # most one round of recomputation. The edge set itself is written
-        # reliably once per round.
-        stats = _node_stats(e).persist(StorageLevel.MEMORY_AND_DISK)
-        # One aggregate job: it also fills the cache the large-star step reads.
+        # The node table is written reliably (one row per node, much smaller
+        # than the edges). Read back from files it has no known partitioning,
+        # so the large-star join shuffles *both* sides and AQE can split a
+        # hub node's partition; a cached table would keep its hash
+        # partitioning and pin a hub's edges to one task.
+        stats = materialize(_node_stats(e))
         not_star = ((F.col("n_lt") > 0) & (F.col("n_gt") > 0)) | (F.col("n_lt") >= 2)
-        converged = stats.agg(F.count_if(not_star).alias("n")).first()["n"] == 0
-        if converged:
-            stats.unpersist()
+        if stats.agg(F.count_if(not_star).alias("n")).first()["n"] == 0:
             break
+        # The large-star output lives only until the small-star step reads
+        # it, so it is cached; the new edge set is written reliably, which
+        # bounds recomputation after an executor loss to one round.
         large = _large_star(e, stats).persist(StorageLevel.MEMORY_AND_DISK)
         e = materialize(_small_star(large))
         large.unpersist()
-        stats.unpersist()
     else:
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
     # Star forest: every leaf has exactly one edge, to its component's minimum;

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cohort import job
 from cohort.operators import blocking, campaign
+from cohort.operators import graph as graph_mod
 from cohort.operators.graph import connected_components
 from cohort.streaming import arm_posteriors
 from conftest import SF001
@@ -56,3 +57,31 @@ def test_campaign_job_writes_tables_and_metrics(spark):
     assert spark.read.parquet(f"{out}/posteriors").count() == 6
     m = {r.metric: r.value for r in spark.read.json(f"{out}/metrics").collect()}
     assert m["p_best"] > 0.5
+
+
+def test_large_star_join_lets_aqe_split_a_hub(spark):
+    """With lowered skew thresholds, the hub's partition must be split by AQE."""
+    from cohort.session import materialize
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        nodes = spark.range(20000).select("id")
+        edges = spark.range(20000).where("id != 7").select(F.lit(7).cast("long").alias("src"),
+                                                           F.col("id").alias("dst"))
+        e = materialize(graph_mod.canonical_edges(nodes, edges))
+        stats = materialize(graph_mod._node_stats(e))
+        plan = graph_mod._large_star(e, stats)._jdf.queryExecution().executedPlan()
+        plan.execute().count()
+        assert "skew=true" in plan.toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
