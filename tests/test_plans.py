@@ -11,7 +11,10 @@ LAZY = ["consent_report", "gate_events", "det_edges", "ip_candidates", "affinity
 
 
 def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    """AQE's final plan (execute the Dataset's own plan, then read it)."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    return plan.toString().split("== Initial Plan ==")[0]
 
 
 @pytest.mark.parametrize("name", LAZY)
