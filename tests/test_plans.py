@@ -10,9 +10,16 @@ LAZY = ["consent_report", "gate_events", "det_edges", "ip_candidates", "affinity
         "p_best", "interactions", "beta_posterior"]
 
 
-def _plan(df):
-    """AQE's final plan (execute the Dataset's own plan, then read it)."""
+def _plan(df, final: bool = True):
+    """AQE's final plan (execute the Dataset's own plan, then read it), or the initial one.
+
+    Scans are checked on the initial plan: at runtime AQE may drop a join
+    whose other side turned out empty and keep the scan only inside a
+    reused exchange, whose subtree the final plan does not print.
+    """
     plan = df._jdf.queryExecution().executedPlan()
+    if not final:
+        return plan.toString()
     plan.execute().count()
     return plan.toString().split("== Initial Plan ==")[0]
 
@@ -24,7 +31,7 @@ def test_no_python_udf_in_plan(spark, name):
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
-    plan = _plan(QUERIES["det_edges"](spark, SF001))
+    plan = _plan(QUERIES["det_edges"](spark, SF001), final=False)
     scans = [line for line in plan.split("\n") if "FileScan parquet" in line]
     orders = [s for s in scans if "orders.parquet" in s]
     assert orders and all("o_totalprice" not in s and "o_orderdate" not in s for s in orders)
