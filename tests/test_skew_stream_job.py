@@ -66,7 +66,8 @@ def test_large_star_join_lets_aqe_split_a_hub(spark):
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
@@ -85,3 +86,34 @@ def test_large_star_join_lets_aqe_split_a_hub(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_blocking_anti_join_splits_a_hot_value(spark):
+    """A value holding a third of all rows is split by AQE before it is dropped."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30000
+        s = spark.range(n).select(F.col("id").alias("device_id"), F.lit("ip").alias("signal_type"),
+                                  F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                   .otherwise(F.concat(F.lit("h"), (F.col("id") / 2).cast("long").cast("string")))
+                                   .alias("signal_value"))
+        pairs = blocking.ip_candidates(s)
+        plan = pairs._jdf.queryExecution().executedPlan()
+        plan.execute().count()
+        final = plan.toString().split("== Initial Plan ==")[0]
+        assert "skew=true" in final
+        assert pairs.where(F.col("src") % 3 == 0).where(F.col("dst") % 3 == 0).count() == 0
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
