@@ -51,6 +51,10 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        sf = float(sf)
+    except ValueError:
+        pass
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf, "cpus": cpus}))
     spark.stop()
