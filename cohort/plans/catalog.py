@@ -549,3 +549,18 @@ def q_logging_balance(spark, sf_dir):
     """Per batch: distance of the logged arm allocation from uniform (replay precondition)."""
     b = campaign.logging_balance(_stream(spark, sf_dir)).withColumn("batch", F.col("batch").cast("string"))
     return _round(b, ["max_share_gap"])
+
+
+@register
+def q_stream_windowed_posterior(spark, sf_dir):
+    """Daily (event-time window) arm posteriors from a watermarked streaming aggregation."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    rows = campaign_stream_from(arm_posteriors.read_stream_table(spark, sf_dir, "events", schema))
+    stream = rows.select(F.lit("fx").alias("test"), F.col("creative").alias("arm"), "reward",
+                         arm_posteriors.event_time("ts").alias("ts"))
+    out, ckpt = arm_posteriors.scratch_paths(spark, "stream-windowed")
+    post = arm_posteriors.posterior_stream(stream, ts="ts", window="1 day", watermark="1 day")
+    arm_posteriors.run_available(post, out, ckpt, windowed=True)
+    latest = arm_posteriors.latest(spark.read.parquet(out), ["window", "test", "arm"])
+    return _round(latest.select(arm_posteriors.window_day("window").alias("day"), "test", "arm",
+                                "successes", "failures", "posterior_mean"), ["posterior_mean"])

@@ -464,3 +464,13 @@ sh AS (select *, abs(pulls / sum(pulls) over (partition by test, batch)
 select test, cast(batch as varchar) as batch, sum(pulls)::BIGINT as n, count(*) as arms,
        round(max(dev), 6) as max_share_gap
 from sh group by test, batch"""
+
+SQL["stream_windowed_posterior"] = _with(["fx_campaign_stream"], """
+evw AS (select strftime(date_trunc('day', ts), '%Y-%m-%d') as day, 'fx' as test,
+               concat('cr_', cast(user_id % 6 as string)) as arm,
+               case when BUCKETRW < 3 + user_id % 6 + case when user_id % 6 = 4 then 4 else 0 end then 1 else 0 end
+                 as reward
+        from events)""".replace("BUCKETRW", bucket_sql("rw", "event_id"))) + """
+select day, test, arm, count_if(reward = 1)::BIGINT as successes, count_if(reward = 0)::BIGINT as failures,
+       round((1.0 + count_if(reward = 1)) / (2.0 + count(*)), 6) as posterior_mean
+from evw group by day, test, arm"""

@@ -49,6 +49,22 @@ def run_available(posteriors: DataFrame, out_path: str, checkpoint: str, windowe
     return q
 
 
+def event_time(col: str) -> F.Column:
+    """Event time usable for watermarks, independent of the session time zone.
+
+    Watermarks need ``TIMESTAMP``; a ``TIMESTAMP_NTZ`` wall clock is read as
+    UTC (``unix_timestamp`` of an NTZ value ignores the session zone), so
+    day windows fall on the same calendar days under any session setting.
+    Second precision is kept.
+    """
+    return F.timestamp_seconds(F.unix_timestamp(F.col(col)))
+
+
+def window_day(window_col: str = "window") -> F.Column:
+    """UTC calendar day (``yyyy-MM-dd``) of a window's start, zone-independent."""
+    return F.date_from_unix_date((F.unix_seconds(F.col(f"{window_col}.start")) / 86400).cast("int")).cast("string")
+
+
 def latest(updates: DataFrame, keys: list[str]) -> DataFrame:
     """Collapse appended update-mode rows to the latest per key (counts only grow)."""
     cols = [c for c in updates.columns if c not in keys]
