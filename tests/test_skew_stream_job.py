@@ -117,3 +117,19 @@ def test_blocking_anti_join_splits_a_hot_value(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_stream_restart_picks_up_only_new_files(spark):
+    d = tempfile.mkdtemp(prefix="stream-restart-", dir="/tmp")
+    schema = "test string, arm string, reward int"
+    spark.createDataFrame([("t", "a", 1), ("t", "a", 0)], schema).write.parquet(os.path.join(d, "part1"))
+    out, ckpt = arm_posteriors.scratch_paths(spark, "test-restart")
+
+    def run():
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(d)
+        arm_posteriors.run_available(arm_posteriors.posterior_stream(stream), out, ckpt)
+        return {r.arm: (r.successes, r.failures) for r in spark.read.parquet(out).collect()}
+
+    assert run() == {"a": (1, 1)}
+    spark.createDataFrame([("t", "a", 1), ("t", "b", 0)], schema).write.parquet(os.path.join(d, "part2"))
+    assert run() == {"a": (2, 1), "b": (0, 1)}
