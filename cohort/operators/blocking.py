@@ -68,6 +68,31 @@ def self_pairs(signals: DataFrame, types: Sequence[str], max_block: int = MAX_BL
              .distinct())
 
 
+def typed_pairs(signals: DataFrame, det_types=DETERMINISTIC_TYPES, prob_types=PROBABILISTIC_TYPES,
+                max_block: int = MAX_BLOCK) -> DataFrame:
+    """All linked pairs in one pass: ``[src, dst, deterministic, probabilistic]``.
+
+    One member table, one block-size aggregate and one pair self-join for
+    every signal type together (blocks stay keyed by type, so the cap is
+    per type), then a single ``groupBy(src, dst)`` that records which kinds
+    of block each pair shares. Probabilistic candidates not already linked
+    are ``probabilistic and not deterministic``, so no separate anti join
+    over pairs is needed.
+    """
+    det_types, prob_types = list(det_types), list(prob_types)
+    m = _members(signals, det_types + prob_types, merge_types=False)
+    sizes = m.groupBy("block_type", "signal_value").agg(F.count(F.lit(1)).alias("n"))
+    oversized = sizes.where(F.col("n") > max_block).select("block_type", "signal_value")
+    usable = m.join(oversized, ["block_type", "signal_value"], "left_anti")
+    a = usable.select("block_type", "signal_value", F.col("device_id").alias("src"))
+    b = usable.select("block_type", "signal_value", F.col("device_id").alias("dst"))
+    is_det = F.col("block_type").isin(det_types)
+    return (a.join(b, ["block_type", "signal_value"])
+             .where(F.col("src") < F.col("dst"))
+             .groupBy("src", "dst")
+             .agg(F.max(is_det).alias("deterministic"), F.max(~is_det).alias("probabilistic")))
+
+
 def deterministic_edges(signals: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
     """Pairs sharing a hashed e-mail or MAID."""
     return self_pairs(signals, DETERMINISTIC_TYPES, max_block)

@@ -131,8 +131,8 @@ def q_pairwise_prf(spark, sf_dir):
 @register
 def q_graph_counts(spark, sf_dir):
     g = _gated(spark, sf_dir)
-    det = blocking.deterministic_edges(g.signals)
-    cands = blocking.new_candidates(blocking.ip_candidates(g.signals), det)
+    pairs = identity.linked_pairs(g)
+    det, cands = identity.deterministic_from(pairs), identity.candidates_from(pairs)
     labels = graph.connected_components(g.nodes, det)
     return graph.graph_counts(g.nodes, g.truth, labels,
                               {"deterministic_edges": det, "candidate_pairs": cands})
@@ -170,9 +170,7 @@ def q_unit_vectors(spark, sf_dir):
 
 
 def _candidate_features(g: identity.Gated) -> DataFrame:
-    det = blocking.deterministic_edges(g.signals)
-    cands = blocking.new_candidates(blocking.ip_candidates(g.signals), det)
-    return affinity.pair_features(cands, affinity.device_profiles(g.devices, g.events))
+    return identity.candidate_features(g)
 
 
 @register
@@ -402,16 +400,12 @@ def _resolution(spark, sf_dir):
 
 @register
 def q_matcher_scores(spark, sf_dir):
-    g = _gated(spark, sf_dir)
-    det = blocking.deterministic_edges(g.signals)
-    return matcher.train_matcher(identity.candidate_features(g, det)).scored
+    return matcher.train_matcher(identity.candidate_features(_gated(spark, sf_dir))).scored
 
 
 @register
 def q_matcher_report(spark, sf_dir):
-    g = _gated(spark, sf_dir)
-    det = blocking.deterministic_edges(g.signals)
-    return matcher.train_matcher(identity.candidate_features(g, det)).report
+    return matcher.train_matcher(identity.candidate_features(_gated(spark, sf_dir))).report
 
 
 @register

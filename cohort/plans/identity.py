@@ -47,13 +47,28 @@ def deterministic_resolution(g: Gated, max_block: int = blocking.MAX_BLOCK):
     return det, labels, pairwise_prf(labels, g.truth)
 
 
-def candidate_features(g: Gated, det: DataFrame, max_block: int = blocking.MAX_BLOCK,
+def linked_pairs(g: Gated, max_block: int = blocking.MAX_BLOCK) -> DataFrame:
+    """Deterministic and probabilistic pairs in one blocking pass (see ``blocking.typed_pairs``)."""
+    return blocking.typed_pairs(g.signals, max_block=max_block)
+
+
+def deterministic_from(pairs: DataFrame) -> DataFrame:
+    return pairs.where(F.col("deterministic")).select("src", "dst")
+
+
+def candidates_from(pairs: DataFrame) -> DataFrame:
+    """IP-blocked pairs not already linked deterministically."""
+    return pairs.where(F.col("probabilistic") & ~F.col("deterministic")).select("src", "dst")
+
+
+def candidate_features(g: Gated, pairs: DataFrame | None = None, max_block: int = blocking.MAX_BLOCK,
                        profiles: DataFrame | None = None) -> DataFrame:
     """IP-blocked pairs not already linked, with behavioural features."""
-    cands = blocking.new_candidates(blocking.ip_candidates(g.signals, max_block), det)
+    if pairs is None:
+        pairs = linked_pairs(g, max_block)
     if profiles is None:
         profiles = affinity.device_profiles(g.devices, g.events)
-    return affinity.pair_features(cands, profiles)
+    return affinity.pair_features(candidates_from(pairs), profiles)
 
 
 @dataclass
@@ -76,16 +91,17 @@ def resolve_identities(persons: DataFrame, devices: DataFrame, signals: DataFram
                        max_block: int = blocking.MAX_BLOCK) -> Resolution:
     """Full identity resolution with the deterministic-only ablation.
 
-    Gated devices and signals, deterministic edges and the per-device
-    profiles are each read several times downstream, so each is written
-    once to the checkpoint directory instead of being recomputed from the
-    raw tables at every reference.
+    Gated devices, the linked pairs (deterministic and probabilistic, from
+    one blocking pass) and the per-device profiles are each read several
+    times downstream, so each is written once to the checkpoint directory
+    instead of being recomputed from the raw tables at every reference.
     """
     g0 = gate(persons, devices, signals, events)
-    g = Gated(materialize(g0.devices), materialize(g0.signals), g0.events)
-    det = materialize(blocking.deterministic_edges(g.signals, max_block))
+    g = Gated(materialize(g0.devices), g0.signals, g0.events)
+    pairs = materialize(linked_pairs(g, max_block))
+    det = deterministic_from(pairs)
     profiles = materialize(affinity.device_profiles(g.devices, g.events))
-    feat = candidate_features(g, det, max_block, profiles)
+    feat = candidate_features(g, pairs, max_block, profiles)
     m = matcher.train_matcher(feat)
     prob = materialize(matcher.accepted_edges(m))
     det_labels = materialize(graph.connected_components(g.nodes, det))

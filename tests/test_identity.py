@@ -60,3 +60,14 @@ def test_golden_prf_sf0001(spark):
     r = QUERIES["pairwise_prf"](spark, SF001).first()
     assert (r["tp"], r["predicted_pairs"], r["true_pairs"]) == (1696, 1696, 6827)
     assert round(r["recall"], 4) == 0.2484
+
+
+def test_typed_pairs_equal_separate_operators(spark):
+    from cohort.plans.catalog import _gated
+    g = _gated(spark, SF001)
+    tp = blocking.typed_pairs(g.signals)
+    det = {tuple(r) for r in tp.where("deterministic").select("src", "dst").collect()}
+    new = {tuple(r) for r in tp.where("probabilistic and not deterministic").select("src", "dst").collect()}
+    assert det == {tuple(r) for r in blocking.deterministic_edges(g.signals).collect()}
+    assert new == {tuple(r) for r in blocking.new_candidates(blocking.ip_candidates(g.signals),
+                                                             blocking.deterministic_edges(g.signals)).collect()}
