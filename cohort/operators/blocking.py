@@ -69,7 +69,7 @@ def self_pairs(signals: DataFrame, types: Sequence[str], max_block: int = MAX_BL
 
 
 def typed_pairs(signals: DataFrame, det_types=DETERMINISTIC_TYPES, prob_types=PROBABILISTIC_TYPES,
-                max_block: int = MAX_BLOCK) -> DataFrame:
+                max_block: int = MAX_BLOCK, merge_types: bool = False) -> DataFrame:
     """All linked pairs in one pass: ``[src, dst, deterministic, probabilistic]``.
 
     One member table, one block-size aggregate and one pair self-join for
@@ -80,13 +80,20 @@ def typed_pairs(signals: DataFrame, det_types=DETERMINISTIC_TYPES, prob_types=PR
     over pairs is needed.
     """
     det_types, prob_types = list(det_types), list(prob_types)
-    m = _members(signals, det_types + prob_types, merge_types=False)
+    s = signals.where(F.col("signal_type").isin(det_types + prob_types) & F.col("signal_value").isNotNull())
+    is_det_type = F.col("signal_type").isin(det_types)
+    # With ``merge_types`` equal values of different types *within a group*
+    # (deterministic or probabilistic) share a block, as when each group is
+    # paired on values alone; groups never share blocks.
+    btype = (F.when(is_det_type, F.lit("det")).otherwise(F.lit("prob")) if merge_types
+             else F.col("signal_type"))
+    m = s.select(btype.alias("block_type"), "signal_value", "device_id").distinct()
     sizes = m.groupBy("block_type", "signal_value").agg(F.count(F.lit(1)).alias("n"))
     oversized = sizes.where(F.col("n") > max_block).select("block_type", "signal_value")
     usable = m.join(oversized, ["block_type", "signal_value"], "left_anti")
     a = usable.select("block_type", "signal_value", F.col("device_id").alias("src"))
     b = usable.select("block_type", "signal_value", F.col("device_id").alias("dst"))
-    is_det = F.col("block_type").isin(det_types)
+    is_det = F.col("block_type").isin(det_types + ["det"])
     return (a.join(b, ["block_type", "signal_value"])
              .where(F.col("src") < F.col("dst"))
              .groupBy("src", "dst")

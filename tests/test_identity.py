@@ -71,3 +71,14 @@ def test_typed_pairs_equal_separate_operators(spark):
     assert det == {tuple(r) for r in blocking.deterministic_edges(g.signals).collect()}
     assert new == {tuple(r) for r in blocking.new_candidates(blocking.ip_candidates(g.signals),
                                                              blocking.deterministic_edges(g.signals)).collect()}
+
+
+def test_typed_pairs_merge_types_matches_group_pairing(spark):
+    rows = [(1, "hashed_email", "v"), (2, "maid", "v"), (3, "ip", "v"), (4, "ip", "v"), (5, "ip", "w")]
+    s = _signals(spark, rows)
+    tp = blocking.typed_pairs(s, merge_types=True)
+    det = {tuple(r) for r in tp.where("deterministic").select("src", "dst").collect()}
+    prob = {tuple(r) for r in tp.where("probabilistic").select("src", "dst").collect()}
+    assert det == {tuple(r) for r in blocking.self_pairs(s, blocking.DETERMINISTIC_TYPES, merge_types=True).collect()}
+    assert prob == {tuple(r) for r in blocking.self_pairs(s, blocking.PROBABILISTIC_TYPES, merge_types=True).collect()}
+    assert det == {(1, 2)} and prob == {(3, 4)}
