@@ -41,3 +41,8 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 def test_no_single_partition_exchange_over_rows(spark):
     plan = _plan(QUERIES["gate_events"](spark, SF001))
     assert "SinglePartition" not in plan
+
+
+def test_blocking_self_join_reuses_one_shuffle(spark):
+    plan = _plan(QUERIES["ip_candidates"](spark, SF001))
+    assert "ReusedExchange" in plan
