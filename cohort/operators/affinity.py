@@ -54,8 +54,15 @@ def affinity_wide(events: DataFrame, key: str, cats: Sequence[str] = CATS,
             .na.fill(fill, subset=list(cats)))
 
 
-def person_affinity(events: DataFrame, devices: DataFrame, cats: Sequence[str] = CATS) -> DataFrame:
-    return affinity_wide(person_events(events, devices), "person_id", cats)
+def person_affinity(events: DataFrame, devices: DataFrame, cats: Sequence[str] = CATS,
+                    keep_all: bool = False) -> DataFrame:
+    """Person x category affinity (M1). By default persons without events do
+    not appear; with ``keep_all`` every owner in ``devices`` gets a row (zeros)."""
+    wide = affinity_wide(person_events(events, devices), "person_id", cats)
+    if not keep_all:
+        return wide
+    owners = devices.select("person_id").distinct()
+    return owners.join(wide, "person_id", "left").na.fill(0.0, subset=list(cats))
 
 
 def category_index(cats: Sequence[str] = CATS) -> F.Column:

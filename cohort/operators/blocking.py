@@ -26,6 +26,19 @@ DETERMINISTIC_TYPES = ("hashed_email", "maid")
 PROBABILISTIC_TYPES = ("ip",)
 
 
+def _cap(max_block) -> F.Column:
+    """Block cap as a column: one int for every type, or ``{type: cap}`` with
+    the ``"*"`` entry (default ``MAX_BLOCK``) for types not listed."""
+    if isinstance(max_block, dict):
+        default = int(max_block.get("*", MAX_BLOCK))
+        caps = {k: int(v) for k, v in max_block.items() if k != "*"}
+        if not caps:
+            return F.lit(default)
+        m = F.create_map(*[x for k, v in caps.items() for x in (F.lit(k), F.lit(v))])
+        return F.coalesce(m[F.col("block_type")], F.lit(default))
+    return F.lit(int(max_block))
+
+
 def _members(signals: DataFrame, types: Sequence[str], merge_types: bool) -> DataFrame:
     """Distinct ``(block_type, signal_value, device_id)`` memberships.
 
@@ -48,17 +61,20 @@ def block_sizes(signals: DataFrame, types: Sequence[str] | None = None,
         types = DETERMINISTIC_TYPES + PROBABILISTIC_TYPES
     m = _members(signals, types, merge_types)
     return (m.groupBy("block_type", "signal_value").agg(F.count(F.lit(1)).alias("n_devices"))
-             .withColumn("usable", (F.col("n_devices") >= 2) & (F.col("n_devices") <= max_block)))
+             .withColumn("usable", (F.col("n_devices") >= 2) & (F.col("n_devices") <= _cap(max_block))))
 
 
 def self_pairs(signals: DataFrame, types: Sequence[str], max_block: int = MAX_BLOCK,
                merge_types: bool = False) -> DataFrame:
-    """Unordered device pairs ``[src, dst]`` (``src < dst``) sharing a usable block."""
+    """Unordered device pairs ``[src, dst]`` (``src < dst``) sharing a usable block.
+
+    ``max_block`` is one cap for every type or a ``{type: cap}`` dict.
+    """
     m = _members(signals, types, merge_types)
     sizes = m.groupBy("block_type", "signal_value").agg(F.count(F.lit(1)).alias("n"))
     # Only oversized values are removed here (at most rows / (max_block+1) of
     # them); singletons simply produce no pair in the self-join below.
-    oversized = sizes.where(F.col("n") > max_block).select("block_type", "signal_value")
+    oversized = sizes.where(F.col("n") > _cap(max_block)).select("block_type", "signal_value")
     usable = m.join(oversized, ["block_type", "signal_value"], "left_anti")
     a = usable.select("block_type", "signal_value", F.col("device_id").alias("src"))
     b = usable.select("block_type", "signal_value", F.col("device_id").alias("dst"))
@@ -89,7 +105,7 @@ def typed_pairs(signals: DataFrame, det_types=DETERMINISTIC_TYPES, prob_types=PR
              else F.col("signal_type"))
     m = s.select(btype.alias("block_type"), "signal_value", "device_id").distinct()
     sizes = m.groupBy("block_type", "signal_value").agg(F.count(F.lit(1)).alias("n"))
-    oversized = sizes.where(F.col("n") > max_block).select("block_type", "signal_value")
+    oversized = sizes.where(F.col("n") > _cap(max_block)).select("block_type", "signal_value")
     usable = m.join(oversized, ["block_type", "signal_value"], "left_anti")
     a = usable.select("block_type", "signal_value", F.col("device_id").alias("src"))
     b = usable.select("block_type", "signal_value", F.col("device_id").alias("dst"))

@@ -72,3 +72,21 @@ def test_item_dictionary_is_dense_and_ordered(spark):
     inter = spark.createDataFrame([(1, "c", 4)], "person_id long, content_cat string, weight long")
     assert [tuple(r) for r in lookalike.ratings_from_dictionary(inter, lookalike.item_dictionary(df)).collect()] \
         == [(1, 2, 4.0)]
+
+
+def test_person_affinity_keep_all_adds_zero_rows(spark):
+    devices = spark.createDataFrame([(1, 10), (2, 11)], "device_id long, person_id long")
+    events = spark.createDataFrame([(1, "cat_00", 0)], "device_id long, content_cat string, click int")
+    assert affinity.person_affinity(events, devices).count() == 1
+    rows = {r.person_id: r.cat_00 for r in affinity.person_affinity(events, devices, keep_all=True).collect()}
+    assert rows == {10: 1.0, 11: 0.0}
+
+
+def test_per_type_block_cap(spark):
+    from cohort.operators import blocking
+    rows = [(i, "ip", "v") for i in range(4)] + [(10 + i, "maid", "w") for i in range(4)]
+    s = spark.createDataFrame(rows, "device_id long, signal_type string, signal_value string")
+    pairs = blocking.self_pairs(s, ["ip", "maid"], max_block={"ip": 3, "*": 50})
+    assert {tuple(r) for r in pairs.collect()} == {(a, b) for a in range(10, 14) for b in range(10, 14) if a < b}
+    tp = blocking.typed_pairs(s, det_types=["maid"], prob_types=["ip"], max_block={"maid": 3})
+    assert tp.where("deterministic").count() == 0 and tp.where("probabilistic").count() == 6
