@@ -33,3 +33,10 @@ def test_embedding_segments_well_formed(spark):
     # only the shape and range are asserted here.
     r = QUERIES["embedding_segments"](spark, SF01).first()
     assert r.k == 10 and r.n == 500 and -1.0 <= r.ari <= 1.0
+
+
+def test_pair_cosine_separates_same_person(spark):
+    from pyspark.sql import functions as F
+    rows = {r.label: r.m for r in QUERIES["pair_features"](spark, SF01)
+            .groupBy("label").agg(F.avg("cosine").alias("m")).collect()}
+    assert rows[1.0] > 0.4 and rows[0.0] < 0.2
