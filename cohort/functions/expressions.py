@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The pseudonym is the first 16 hex digits of SHA-1 over the
-# parts joined with "|" (the reference's id-hashing format).
-PSEUDONYM_SEP = "|"
-PSEUDONYM_HEX_DIGITS = 16
+from cohort.constants import PSEUDONYM_HEX_DIGITS, PSEUDONYM_SEP
 
 
 def _c(x) -> Column:

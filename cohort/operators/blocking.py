@@ -20,10 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values from the reference's resolver configuration.
-MAX_BLOCK = 50
-DETERMINISTIC_TYPES = ("hashed_email", "maid")
-PROBABILISTIC_TYPES = ("ip",)
+from cohort.constants import DETERMINISTIC_TYPES, MAX_BLOCK, PROBABILISTIC_TYPES  # noqa: F401
 
 
 def _cap(max_block) -> F.Column:

@@ -13,10 +13,8 @@ from pyspark.sql import functions as F
 from cohort.functions.expressions import binary_entropy, choose2
 from cohort.session import materialize
 
-# Fixed values from the reference: precision target of the matcher and the
-# fallback threshold when no score reaches it.
-PRECISION_TARGET = 0.90
-FALLBACK_THRESHOLD = 0.5
+from cohort.constants import FALLBACK_THRESHOLD, PRECISION_TARGET  # noqa: F401
+
 LOGLOSS_CLIP = 1e-15
 
 
