@@ -67,3 +67,41 @@ def test_top_fraction_matches_sorted_prefix(spark, vals, frac):
     k = max(1, int(len(vals) * frac))
     want = sorted(i for i, _ in sorted(enumerate(vals), key=lambda t: (-t[1], t[0]))[:k])
     assert got == want
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 29), st.integers(0, 29)), max_size=40))
+def test_components_match_union_find_with_string_ids(spark, edges):
+    from cohort.operators.graph import connected_components
+    parent = list(range(30))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        ra, rb = find(a), find(b)
+        if ra != rb:
+            parent[max(ra, rb)] = min(ra, rb)
+    name = lambda i: f"d{i:02d}"  # noqa: E731  (zero-padded: string order = numeric order)
+    want = {name(i): name(min(j for j in range(30) if find(j) == find(i))) for i in range(30)}
+    nodes = spark.createDataFrame([(name(i),) for i in range(30)], "id string")
+    e = spark.createDataFrame([(name(a), name(b)) for a, b in edges], "src string, dst string")
+    assert {r.id: r.component for r in connected_components(nodes, e).collect()} == want
+
+
+def test_grid_credible_interval_matches_numeric_quantiles(spark):
+    import numpy as np
+
+    from cohort.operators import campaign
+    a, b = 21.0, 181.0                                    # 20 successes, 180 failures, Beta(1,1) prior
+    x = np.linspace(0, 1, 2_000_001)[1:-1]
+    logf = (a - 1) * np.log(x) + (b - 1) * np.log1p(-x)
+    cdf = np.cumsum(np.exp(logf - logf.max()))
+    cdf /= cdf[-1]
+    lo, hi = x[np.searchsorted(cdf, 0.025)], x[np.searchsorted(cdf, 0.975)]
+    counts = spark.createDataFrame([("t", "a", 20, 180), ("t", "b", 5, 195)],
+                                   "test string, arm string, successes long, failures long")
+    g = {r.arm: r for r in campaign.grid_posterior(campaign.beta_posterior(counts)).collect()}["a"]
+    step = 1e-3
+    assert abs(g.ci_low - lo) < step and abs(g.ci_high - hi) < step
