@@ -49,7 +49,7 @@ def _members(signals: DataFrame, types: Sequence[str], merge_types: bool) -> Dat
 
 
 def block_sizes(signals: DataFrame, types: Sequence[str] | None = None,
-                max_block: int = MAX_BLOCK, merge_types: bool = False) -> DataFrame:
+                max_block: int | dict = MAX_BLOCK, merge_types: bool = False) -> DataFrame:
     """Per block: distinct devices and whether it is usable for pairing.
 
     Usable = 2 <= n_devices <= max_block (inclusive cap; singletons form no pair).
@@ -61,7 +61,7 @@ def block_sizes(signals: DataFrame, types: Sequence[str] | None = None,
              .withColumn("usable", (F.col("n_devices") >= 2) & (F.col("n_devices") <= _cap(max_block))))
 
 
-def self_pairs(signals: DataFrame, types: Sequence[str], max_block: int = MAX_BLOCK,
+def self_pairs(signals: DataFrame, types: Sequence[str], max_block: int | dict = MAX_BLOCK,
                merge_types: bool = False) -> DataFrame:
     """Unordered device pairs ``[src, dst]`` (``src < dst``) sharing a usable block.
 
@@ -82,7 +82,7 @@ def self_pairs(signals: DataFrame, types: Sequence[str], max_block: int = MAX_BL
 
 
 def typed_pairs(signals: DataFrame, det_types=DETERMINISTIC_TYPES, prob_types=PROBABILISTIC_TYPES,
-                max_block: int = MAX_BLOCK, merge_types: bool = False) -> DataFrame:
+                max_block: int | dict = MAX_BLOCK, merge_types: bool = False) -> DataFrame:
     """All linked pairs in one pass: ``[src, dst, deterministic, probabilistic]``.
 
     One member table, one block-size aggregate and one pair self-join for
@@ -113,12 +113,12 @@ def typed_pairs(signals: DataFrame, det_types=DETERMINISTIC_TYPES, prob_types=PR
              .agg(F.max(is_det).alias("deterministic"), F.max(~is_det).alias("probabilistic")))
 
 
-def deterministic_edges(signals: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
+def deterministic_edges(signals: DataFrame, max_block: int | dict = MAX_BLOCK) -> DataFrame:
     """Pairs sharing a hashed e-mail or MAID."""
     return self_pairs(signals, DETERMINISTIC_TYPES, max_block)
 
 
-def ip_candidates(signals: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
+def ip_candidates(signals: DataFrame, max_block: int | dict = MAX_BLOCK) -> DataFrame:
     """Pairs sharing a (small) IP block: candidates for the probabilistic matcher."""
     return self_pairs(signals, PROBABILISTIC_TYPES, max_block)
 

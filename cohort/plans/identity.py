@@ -40,14 +40,14 @@ def gate(persons: DataFrame, devices: DataFrame, signals: DataFrame, events: Dat
                  consent.gate_by_devices(events, kept))
 
 
-def deterministic_resolution(g: Gated, max_block: int = blocking.MAX_BLOCK):
+def deterministic_resolution(g: Gated, max_block: int | dict = blocking.MAX_BLOCK):
     """Components over deterministic edges and their pairwise PRF."""
     det = blocking.deterministic_edges(g.signals, max_block)
     labels = graph.connected_components(g.nodes, det)
     return det, labels, pairwise_prf(labels, g.truth)
 
 
-def linked_pairs(g: Gated, max_block: int = blocking.MAX_BLOCK) -> DataFrame:
+def linked_pairs(g: Gated, max_block: int | dict = blocking.MAX_BLOCK) -> DataFrame:
     """Deterministic and probabilistic pairs in one blocking pass (see ``blocking.typed_pairs``)."""
     return blocking.typed_pairs(g.signals, max_block=max_block)
 
@@ -61,7 +61,7 @@ def candidates_from(pairs: DataFrame) -> DataFrame:
     return pairs.where(F.col("probabilistic") & ~F.col("deterministic")).select("src", "dst")
 
 
-def candidate_features(g: Gated, pairs: DataFrame | None = None, max_block: int = blocking.MAX_BLOCK,
+def candidate_features(g: Gated, pairs: DataFrame | None = None, max_block: int | dict = blocking.MAX_BLOCK,
                        profiles: DataFrame | None = None) -> DataFrame:
     """IP-blocked pairs not already linked, with behavioural features."""
     if pairs is None:
@@ -88,7 +88,7 @@ class Resolution:
 
 
 def resolve_identities(persons: DataFrame, devices: DataFrame, signals: DataFrame, events: DataFrame,
-                       max_block: int = blocking.MAX_BLOCK) -> Resolution:
+                       max_block: int | dict = blocking.MAX_BLOCK) -> Resolution:
     """Full identity resolution with the deterministic-only ablation.
 
     Gated devices, the linked pairs (deterministic and probabilistic, from
