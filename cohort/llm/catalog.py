@@ -4,7 +4,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohort.llm import bpe
 from cohort.llm.contamination import contamination
+from cohort.llm.near_duplicates import near_duplicates
 from cohort.llm.token_counts import token_counts
 from cohort.sources.tables import read_table
 
@@ -19,6 +21,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op3_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark hits of every document."""
     found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -26,12 +33,36 @@ def op3_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of their decoding."""
+    both = bpe.encode(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), decoded=True)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_contamination": op3_contamination,
+    "op9_bpe": op9_bpe,
 }
 
 SQL = {
+    "op2_near_duplicates": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(4, len(w)) - 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT DISTINCT a AS doc_id, a AS m FROM e UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.doc_id),
+k AS (SELECT doc_id, min(m) AS m FROM r GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(m, doc_id) AS component_id, doc_id = coalesce(m, doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)""",
     "op3_contamination": r"""
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
