@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort.llm import bpe
+from cohort.llm.class_lm import class_lm_scores
 from cohort.llm.contamination import contamination
 from cohort.llm.near_duplicates import near_duplicates
 from cohort.llm.token_counts import token_counts
@@ -33,6 +34,11 @@ def op3_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op4_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-based language-model score of every document."""
+    return class_lm_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of their decoding."""
     both = bpe.encode(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), decoded=True)
@@ -44,6 +50,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_contamination": op3_contamination,
+    "op4_class_lm": op4_class_lm,
     "op9_bpe": op9_bpe,
 }
 
