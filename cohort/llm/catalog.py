@@ -8,7 +8,9 @@ from cohort.llm import bpe
 from cohort.llm.class_lm import class_lm_scores
 from cohort.llm.contamination import contamination
 from cohort.llm.near_duplicates import near_duplicates
+from cohort.llm.secret_scan import named, secret_spans
 from cohort.llm.token_counts import token_counts
+from cohort.llm.topk import top_inner_products
 from cohort.sources.tables import read_table
 
 
@@ -39,6 +41,19 @@ def op4_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_lm_scores(read_table(spark, sf_dir, "documents"))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best inner products of every fiftieth vector."""
+    return top_inner_products(read_table(spark, sf_dir, "embeddings"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    base = F.concat("assign", "access", "hex")
+    return secret_spans(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(named(base), 256).alias("base_sha256"), named(F.concat(base, "entropy")).alias("spans"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of their decoding."""
     both = bpe.encode(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), decoded=True)
@@ -51,6 +66,8 @@ QUERIES = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_contamination": op3_contamination,
     "op4_class_lm": op4_class_lm,
+    "op5_topk": op5_topk,
+    "op6_secrets": op6_secrets,
     "op9_bpe": op9_bpe,
 }
 
@@ -93,4 +110,13 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op5_topk": r"""
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([z[1] * z[2] FOR z IN list_zip(q.e, c.e)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
 }
