@@ -8,11 +8,15 @@ from cohort.llm import bpe
 from cohort.llm.class_lm import class_lm_scores
 from cohort.llm.contamination import contamination
 from cohort.llm.near_duplicates import near_duplicates
+from cohort.llm.pseudonyms import KINDS, pseudonymised
 from cohort.llm.secret_scan import named, secret_spans
 from cohort.llm.token_counts import token_counts
 from cohort.llm.topk import top_inner_products
 from cohort.sources.tables import read_table
 
+# Key of the registered query; a real job passes its own secret.
+PSEUDONYM_KEY = "registered query"
+
 
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
@@ -61,6 +65,13 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal numbers, dates and addresses replaced."""
+    out = pseudonymised(read_table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+    count = lambda k: F.size(F.filter("found", lambda m: m["kind"] == k)).cast("long").alias(f"n_{k}")
+    return out.select("doc_id", *map(count, KINDS), "text")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_near_duplicates": op2_near_duplicates,
@@ -69,6 +80,7 @@ QUERIES = {
     "op5_topk": op5_topk,
     "op6_secrets": op6_secrets,
     "op9_bpe": op9_bpe,
+    "op10_pseudonyms": op10_pseudonyms,
 }
 
 SQL = {
