@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from cohort.llm import bpe
 from cohort.llm.class_lm import class_lm_scores
 from cohort.llm.contamination import contamination
+from cohort.llm.language_id import language_id
 from cohort.llm.near_duplicates import near_duplicates
 from cohort.llm.pseudonyms import KINDS, pseudonymised
 from cohort.llm.secret_scan import named, secret_spans
 from cohort.llm.token_counts import token_counts
 from cohort.llm.topk import top_inner_products
+from cohort.llm.toxicity import toxicity
 from cohort.sources.tables import read_table
 
 # Key of the registered query; a real job passes its own secret.
@@ -58,6 +60,16 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(named(base), 256).alias("base_sha256"), named(F.concat(base, "entropy")).alias("spans"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return language_id(read_table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of their decoding."""
     both = bpe.encode(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), decoded=True)
@@ -79,6 +91,8 @@ QUERIES = {
     "op4_class_lm": op4_class_lm,
     "op5_topk": op5_topk,
     "op6_secrets": op6_secrets,
+    "op7_language_id": op7_language_id,
+    "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_pseudonyms": op10_pseudonyms,
 }
