@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cohort.llm.common import map_arrow, pick
+from cohort.llm.common import groups, map_arrow, pick
 
 BATCH_CHARS = 2 << 20
 CACHE_BYTES = 48 << 20
@@ -213,17 +213,6 @@ def encoder(path: str) -> TrieEncoder:
     return TrieEncoder(path)
 
 
-def _groups(ids: list, texts: list) -> Iterator[tuple[list, list]]:
-    start = held = 0
-    for i, t in enumerate(texts):
-        held += len(t or "")
-        if held >= BATCH_CHARS:
-            yield ids[start:i + 1], texts[start:i + 1]
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield ids[start:], texts[start:]
-
-
 def encode(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text",
            decoded: bool = False) -> DataFrame:
     """``[doc_id, n_tokens, ids]`` and, if asked for, ``decoded`` (the text of those ids).
@@ -234,9 +223,10 @@ def encode(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
         for b in batches:
-            for keys, texts in _groups(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = enc.encode(texts)
-                out = {"doc_id": pa.array(keys, b.schema.field(0).type),
+            texts = b.column(1).to_pylist()
+            for start, n in groups(texts, BATCH_CHARS):
+                ids = enc.encode(texts[start:start + n])
+                out = {"doc_id": b.column(0).slice(start, n),
                        "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
                 if decoded:
                     out["decoded"] = pa.array(map(enc.decode, ids), pa.string())

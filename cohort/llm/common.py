@@ -29,6 +29,18 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return plain.select(*[F.col(f"_c{names.index(n)}").alias(a) for a, n in columns.items()])
 
 
+def whole_row(df: DataFrame) -> DataFrame:
+    """``df`` with its columns packed, by position, into a last column ``row`` (see :func:`unpacked`)."""
+    plain = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+    packed = plain.withColumn("row", F.struct(*plain.columns))
+    return packed.toDF(*df.columns, "row")
+
+
+def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The original columns from ``row``, in order, whatever their names."""
+    return df.select(*[F.col(f"row._c{i}").alias(c) for i, c in enumerate(columns)])
+
+
 def fold(id_col: Column, modulus: int) -> Column:
     """``crc32(id as text) mod modulus``; a null id falls into fold -1."""
     return F.coalesce(F.crc32(id_col.cast("string")) % modulus, F.lit(-1))
@@ -57,6 +69,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def groups(texts: list[str | None], limit: int) -> Iterator[tuple[int, int]]:
+    """(start, length) of consecutive groups of about ``limit`` characters."""
+    start = held = 0
+    for i, t in enumerate(texts):
+        held += len(t or "")
+        if held >= limit:
+            yield start, i + 1 - start
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts) - start
+
+
 def sections(data: bytes, limit: int = SECTION_BYTES) -> Iterator[bytes]:
     """Cut ``data`` at ASCII white space into parts of about ``limit`` bytes.
 

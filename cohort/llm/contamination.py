@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohort.llm.common import map_arrow, pick, written
+from cohort.llm.common import groups, map_arrow, pick, written
 
 WIDTH = 13
 BLOCK_BYTES = 32 << 20
@@ -132,53 +132,44 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-# A batch of the scan holds about this many bytes of text, however many rows that is.
-SCAN_BYTES = 4 << 20
+# The scan takes about this many characters at once, however many rows that is.
+SCAN_CHARS = 4 << 20
 
 
-def _groups(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-    group, held = [], 0
-    for row in rows:
-        group.append(row)
-        held += len(row[1] or "")
-        if held >= SCAN_BYTES:
-            yield group
-            group, held = [], 0
-    if group:
-        yield group
-
-
-def _pass(docs: DataFrame, items: list[tuple[str, str | None]], width: int, keep_text: bool) -> DataFrame:
+def _pass(docs: DataFrame, items: list[tuple[str, str | None]], width: int, keep: list[str]) -> DataFrame:
+    """One block of items over ``[doc_id, text, spans, items, ...]``; columns named in ``keep`` go through."""
     shared = docs.sparkSession.sparkContext.broadcast(Windows(items, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = shared.value
+        span_type = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
         for b in batches:
-            for group in _groups(zip(*(c.to_pylist() for c in b.columns))):
-                batch_words = [words(t) for _, t, _, _ in group]
+            texts = b.column("text").to_pylist()
+            for start, n in groups(texts, SCAN_CHARS):
+                part = b.slice(start, n)
+                batch_words = [words(t) for t in texts[start:start + n]]
                 found = _scan(batch_words, windows)
-                spans = [merge(s + [(x["first"], x["last"]) for x in old or []])
-                         for (s, _), (_, _, old, _) in zip(found, group)]
-                hit_items = [sorted(i.union(old or [])) for (_, i), (_, _, _, old) in zip(found, group)]
-                out = {"doc_id": pa.array([g[0] for g in group], b.schema.field(0).type)}
-                if keep_text:
-                    out["text"] = pa.array([g[1] for g in group], pa.string())
-                yield pa.record_batch(out | {
+                before = zip(part.column("spans").to_pylist(), part.column("items").to_pylist())
+                both = [(merge(s + [(x["first"], x["last"]) for x in old or []]), sorted(i.union(named or [])))
+                        for (s, i), (old, named) in zip(found, before)]
+                yield pa.record_batch({k: part.column(k) for k in keep} | {
                     "n_words": pa.array(map(len, batch_words), pa.int64()),
-                    "spans": pa.array([[{"first": x, "last": y} for x, y in s] for s in spans],
-                                      pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
-                    "items": pa.array(hit_items, pa.list_(pa.string()))})
+                    "spans": pa.array([[{"first": x, "last": y} for x, y in s] for s, _ in both], span_type),
+                    "items": pa.array([i for _, i in both], pa.list_(pa.string()))})
 
-    text = "text string, " if keep_text else ""
-    return map_arrow(docs, run, f"doc_id {dict(docs.dtypes)['doc_id']}, {text}n_words long, spans {SPANS}, "
-                                "items array<string>")
+    kept = "".join(f"{k} {dict(docs.dtypes)[k]}, " for k in keep)
+    return map_arrow(docs, run, f"{kept}n_words long, spans {SPANS}, items array<string>")
 
 
 def contaminated_spans(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                        item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH,
-                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``[doc_id, n_words, spans, items]``: word spans (last exclusive) inside test windows."""
-    src = pick(docs, doc_id=id_col, text=text_col)
+                       block_bytes: int = BLOCK_BYTES, carry: str | None = None) -> DataFrame:
+    """``[doc_id, n_words, spans, items]``: word spans (last exclusive) inside test windows.
+
+    A column named by ``carry`` goes through as ``row``.
+    """
+    src = pick(docs, doc_id=id_col, text=text_col, **({"row": carry} if carry else {}))
+    keep = ["doc_id"] + ["row"] * bool(carry)
     src = src.withColumns({"spans": F.lit(None).cast(SPANS), "items": F.lit(None).cast("array<string>")})
     items = (pick(benchmark, item=item_col, text=item_text_col)
              .where("item is not null and text is not null").withColumn("item", F.col("item").cast("string")))
@@ -187,20 +178,22 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "
     dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
     for b in range(blocks):
         part = [(r.item, r.text) for r in dealt.where(F.col("block") == b).select("item", "text").collect()]
-        found = _pass(src, part, width, keep_text=b + 1 < blocks)
-        if b + 1 < blocks:
-            src = written(found, "contamination").select("doc_id", "text", "spans", "items")
+        last = b + 1 == blocks
+        found = _pass(src, part, width, keep if last else ["text", *keep])
+        if not last:
+            src = written(found, "contamination").drop("n_words")
     return found
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``[doc_id, n_words, n_hit, n_items, items, contaminated]``, one row per input row.
+    """``[doc_id, n_words, n_hit, n_items, items, contaminated]`` (and ``row``), one row per input row.
 
     Contaminated: at least one hit word and at least one word in twenty is hit.
     """
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["last"] - x["first"])
+    row = ["row"] if options.get("carry") else []
     return (contaminated_spans(docs, benchmark, **options)
-            .select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items")
+            .select(*row, "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items")
             .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))))
 
 

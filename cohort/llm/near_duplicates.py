@@ -37,13 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohort.llm.common import map_arrow, pick, written
+from cohort.llm.common import groups, map_arrow, pick, written
 from cohort.operators.graph import connected_components
 
 SHINGLE = 4
 BANDS, ROWS = 40, 5
 PIVOT_ROUNDS = 2
-BATCH_BYTES = 2 << 20
+BATCH_CHARS = 2 << 20
 BITMAP_BITS = 1 << 25
 _U = np.uint64
 
@@ -103,33 +103,24 @@ def bands(sketch: np.ndarray, n_bands: int, rows: int) -> np.ndarray:
     return h.view(np.int64)
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.DataType, list, list]]:
-    """(id type, ids, texts) in groups of about BATCH_BYTES of text."""
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
+    """(rows, their words) in groups of about BATCH_CHARS of text."""
     for b in batches:
-        ids, texts, held = [], [], 0
-        for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            ids.append(i)
-            texts.append(t)
-            held += len(t or "")
-            if held >= BATCH_BYTES:
-                yield b.schema.field(0).type, ids, texts
-                ids, texts, held = [], [], 0
-        if ids:
-            yield b.schema.field(0).type, ids, texts
+        texts = b.column(1).to_pylist()
+        for start, n in groups(texts, BATCH_CHARS):
+            yield b.slice(start, n), [words(t) for t in texts[start:start + n]]
 
 
 def sketch_table(docs: DataFrame, width: int, n_bands: int, rows: int) -> DataFrame:
     """``[doc_id, n_shingles, key, bands]``; ``key`` identifies the word sequence, null without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for kind, ids, texts in _rows(batches):
-            tokens = [words(t) for t in texts]
+        for b, tokens in _words(batches):
             keys = [hashlib.blake2b(b" ".join(w), digest_size=16).digest() if w else None for w in tokens]
             sets = [shingles(w, width) for w in tokens]
-            del tokens
             buckets = bands(sketches(sets, n_bands * rows), n_bands, rows)
             lists = pa.ListArray.from_arrays(np.arange(0, buckets.size + 1, n_bands, dtype=np.int32),
                                              pa.array(buckets.reshape(-1)))
-            yield pa.record_batch({"doc_id": pa.array(ids, kind), "n_shingles": pa.array(map(len, sets), pa.int64()),
+            yield pa.record_batch({"doc_id": b.column(0), "n_shingles": pa.array(map(len, sets), pa.int64()),
                                    "key": pa.array(keys, pa.binary()), "bands": lists})
 
     return map_arrow(docs, run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, key binary, bands array<long>")
@@ -154,10 +145,9 @@ def candidate_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little").view(bool)
         for b in batches:
-            b = b.filter(pa.array(bits[b.column(2).to_numpy()]))
-            for kind, ids, texts in _rows(iter([b])):
-                found = [shingles(words(t), width).view(np.int64) for t in texts]
-                yield pa.record_batch({"doc_id": pa.array(ids, kind), "shingles": pa.array(found, pa.list_(pa.int64()))})
+            for part, tokens in _words(iter([b.filter(pa.array(bits[b.column(2).to_numpy()]))])):
+                found = [shingles(w, width).view(np.int64) for w in tokens]
+                yield pa.record_batch({"doc_id": part.column(0), "shingles": pa.array(found, pa.list_(pa.int64()))})
 
     src = docs.where("doc_id is not null and text is not null").withColumn("bit", _bit("doc_id"))
     return map_arrow(src, run, f"doc_id {dict(docs.dtypes)['doc_id']}, shingles array<long>")

@@ -92,10 +92,14 @@ def _spans(kind: int, found: Column) -> Column:
 
 
 def secret_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                 thresholds: dict[str, float] | None = None, allowed: str = ALLOWED) -> DataFrame:
-    """``[doc_id, text, assign, access, hex, entropy]``: each kind's spans as ``array<struct<start, kind, end>>``."""
+                 thresholds: dict[str, float] | None = None, allowed: str = ALLOWED,
+                 carry: str | None = None) -> DataFrame:
+    """``[doc_id, text, assign, access, hex, entropy]``: each kind's spans as ``array<struct<start, kind, end>>``.
+
+    A column named by ``carry`` goes through as ``row``.
+    """
     thresholds = thresholds or THRESHOLDS
-    src = pick(docs, doc_id=id_col, text=text_col)
+    src = pick(docs, doc_id=id_col, text=text_col, **({"row": carry} if carry else {}))
     text = F.col("text")
     none = F.array().cast("array<struct<start:long,kind:int,end:long>>")
     assign = F.filter(matches(text, ASSIGN), lambda m: F.char_length(F.regexp_extract(m["found"], ASSIGN, 2)) >= 6)

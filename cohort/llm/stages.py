@@ -1,17 +1,52 @@
 """Pipeline stages: ``(spark, docs, sf_dir) -> docs``.
 
-Each takes the columns of ``documents`` and, but for the last, returns them. Decisions
-are joined back to whole rows by ``doc_id``.
+Each works on all rows its predecessor kept. All but the last return the columns of ``docs`` as they
+are (any extra or clashing ones included), with rows removed or texts changed. Decisions about
+single texts travel with the whole row, so those stages do not shuffle texts.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cohort.llm import bpe
+from cohort.llm.catalog import tokenizer_path
+from cohort.llm.common import pick, unpacked, whole_row
 from cohort.llm.contamination import contamination
+from cohort.llm.near_duplicates import near_duplicates
+from cohort.llm.secret_scan import redacted, secret_spans
+from cohort.llm.toxicity import toxicity
 from cohort.sources.tables import read_table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove documents that the classifier scores at 0.5 or more."""
+    scored = toxicity(whole_row(docs), read_table(spark, sf_dir, "labels"), carry="row")
+    return unpacked(scored.where("predicted = 0"), docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each near-duplicate component; rows that repeat a doc_id go or stay together."""
+    lost = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    rows = pick(whole_row(docs), doc_id="doc_id", row="row")
+    return unpacked(rows.join(lost, "doc_id", "left_anti"), docs.columns)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove documents that the benchmark contaminates; all others stay as they are."""
-    found = contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    return docs.join(found.where("contaminated").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    found = contamination(whole_row(docs), read_table(spark, sf_dir, "benchmark"), carry="row")
+    return unpacked(found.where(~F.col("contaminated")), docs.columns)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace every secret span in the texts; rows and other columns stay."""
+    found = secret_spans(whole_row(docs), carry="row")
+    clean = found.select("row", redacted(F.col("text"), F.concat("assign", "access", "hex", "entropy")).alias("clean"))
+    at = docs.columns.index("text")
+    return clean.select(*[(F.col("clean") if i == at else F.col(f"row._c{i}")).alias(c)
+                          for i, c in enumerate(docs.columns)])
+
+
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``[doc_id, n_tokens, ids, decoded]``: token ids of every text and the text they decode to."""
+    return bpe.encode(docs, tokenizer_path("byte_bpe_50k.json"), decoded=True)

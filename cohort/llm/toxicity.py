@@ -313,13 +313,14 @@ def fitted(rows: list[tuple[str, int, str | None]]) -> Model | float:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | None = None, *, id_col: str = "doc_id",
-             text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic") -> DataFrame:
+             text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", carry: str | None = None) -> DataFrame:
     """``[doc_id, held_out, score, predicted]`` for every row of ``docs``.
 
-    Training texts come from ``train_docs`` (``docs`` if not given), training fold only.
+    Training texts come from ``train_docs`` (``docs`` if not given), training fold only. A column
+    named by ``carry`` goes through as ``row``.
     """
     spark = docs.sparkSession
-    src = pick(docs, doc_id=id_col, text=text_col).withColumn("held_out", fold(F.col("doc_id"), FOLDS) == HELD_OUT)
+    src = pick(docs, doc_id=id_col, text=text_col, **({"row": carry} if carry else {})).withColumn("held_out", fold(F.col("doc_id"), FOLDS) == HELD_OUT)
     marked = (pick(labels, doc_id=id_col, toxic=label_col).where("doc_id is not null and toxic is not null")
               .groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
               .where(fold(F.col("doc_id"), FOLDS) != HELD_OUT))
@@ -340,9 +341,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | None =
         for b in batches:
             for start in range(0, b.num_rows, 256):
                 part = b.slice(start, 256)
-                score = (m.score(part.column(1).to_pylist()) if isinstance(m, Model)
+                score = (m.score(part.column("text").to_pylist()) if isinstance(m, Model)
                          else np.full(part.num_rows, m))
-                yield pa.record_batch({"doc_id": part.column(0), "held_out": part.column(2), "score": pa.array(score),
+                yield pa.record_batch({k: part.column(k) for k in keep} | {"score": pa.array(score),
                                        "predicted": pa.array((score >= 0.5).astype(np.int32))})
 
-    return map_arrow(src, run, f"doc_id {dict(src.dtypes)['doc_id']}, held_out boolean, score double, predicted int")
+    keep = ["doc_id", *["row"] * bool(carry), "held_out"]
+    kept = "".join(f"{k} {dict(src.dtypes)[k]}, " for k in keep)
+    return map_arrow(src, run, f"{kept}score double, predicted int")

@@ -14,7 +14,11 @@ from cohort.llm.common import written
 from cohort.sources.tables import read_table
 
 STAGES = [
+    ("toxicity", stages.drop_toxic),
+    ("near_duplicates", stages.drop_near_duplicates),
     ("contamination", stages.drop_contaminated),
+    ("secrets", stages.redact_secrets),
+    ("bpe", stages.encode_texts),
 ]
 
 # Learned and hashed stages have no SQL form; tests hold them against brute force.
