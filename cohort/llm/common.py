@@ -29,11 +29,13 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return plain.select(*[F.col(f"_c{names.index(n)}").alias(a) for a, n in columns.items()])
 
 
-def whole_row(df: DataFrame) -> DataFrame:
-    """``df`` with its columns packed, by position, into a last column ``row`` (see :func:`unpacked`)."""
+def whole_row(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with its columns packed, by position, into one more column, and that column's name."""
+    name = "row"
+    while name in {c.lower() for c in df.columns}:
+        name += "_"
     plain = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
-    packed = plain.withColumn("row", F.struct(*plain.columns))
-    return packed.toDF(*df.columns, "row")
+    return plain.withColumn(name, F.struct(*plain.columns)).toDF(*df.columns, name), name
 
 
 def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:

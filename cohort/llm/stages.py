@@ -21,26 +21,29 @@ from cohort.sources.tables import read_table
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove documents that the classifier scores at 0.5 or more."""
-    scored = toxicity(whole_row(docs), read_table(spark, sf_dir, "labels"), carry="row")
+    rows, name = whole_row(docs)
+    scored = toxicity(rows, read_table(spark, sf_dir, "labels"), carry=name)
     return unpacked(scored.where("predicted = 0"), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each near-duplicate component; rows that repeat a doc_id go or stay together."""
     lost = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    rows = pick(whole_row(docs), doc_id="doc_id", row="row")
-    return unpacked(rows.join(lost, "doc_id", "left_anti"), docs.columns)
+    rows, name = whole_row(docs)
+    return unpacked(pick(rows, doc_id="doc_id", row=name).join(lost, "doc_id", "left_anti"), docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove documents that the benchmark contaminates; all others stay as they are."""
-    found = contamination(whole_row(docs), read_table(spark, sf_dir, "benchmark"), carry="row")
+    rows, name = whole_row(docs)
+    found = contamination(rows, read_table(spark, sf_dir, "benchmark"), carry=name)
     return unpacked(found.where(~F.col("contaminated")), docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret span in the texts; rows and other columns stay."""
-    found = secret_spans(whole_row(docs), carry="row")
+    rows, name = whole_row(docs)
+    found = secret_spans(rows, carry=name)
     clean = found.select("row", redacted(F.col("text"), F.concat("assign", "access", "hex", "entropy")).alias("clean"))
     at = docs.columns.index("text")
     return clean.select(*[(F.col("clean") if i == at else F.col(f"row._c{i}")).alias(c)
