@@ -204,17 +204,29 @@ def first_classes(size: int) -> np.ndarray:
     return np.minimum(np.arange(size), CLASSES - 1).astype(np.int16)
 
 
+def _xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1.0))
+
+
 def exchanged(after: np.ndarray, before: np.ndarray, classes: np.ndarray, turn: int) -> np.ndarray:
-    """Classes after half of the units moved to where the likelihood is highest."""
-    bigrams = class_bigrams(after, classes).astype(float)
-    logs, sizes = np.log(bigrams + 0.5), np.log(bigrams.sum(1) + 1.0)
-    gain = after @ logs.T + before @ logs - 2.0 * after.sum(1)[:, None] * sizes
-    gain[:, 0] = -np.inf
-    units = np.arange(len(classes))
-    here = gain[units, classes]
-    best = gain.argmax(1)
-    moves = (units % 2 == turn % 2) & (units > 0) & (gain[units, best] > here)
-    return np.where(moves, best, classes).astype(np.int16)
+    """Classes after half of the units moved to where the likelihood rises most, all others held fixed."""
+    n2 = class_bigrams(after, classes).astype(float)
+    rows, cols, g_rows, g_cols = n2.sum(1), n2.sum(0), _xlogx(n2), _xlogx(n2.T)
+    out = classes.copy()
+    moving = np.flatnonzero((np.arange(len(classes)) % 2 == turn % 2) & (np.arange(len(classes)) > 0) & (after.sum(1) > 0))
+    for start in range(0, len(moving), 256):
+        u = moving[start:start + 256]
+        a, s, p = classes[u], after[u].astype(float), before[u].astype(float)
+        n, m = s.sum(1), p.sum(1)
+        leave = ((_xlogx(n2[a] - s) - g_rows[a]).sum(1) + (_xlogx(n2.T[a] - p) - g_cols[a]).sum(1)
+                 - _xlogx(rows[a] - n) + _xlogx(rows[a]) - _xlogx(cols[a] - m) + _xlogx(cols[a]))
+        join = ((_xlogx(n2[None] + s[:, None]) - g_rows).sum(2) + (_xlogx(n2.T[None] + p[:, None]) - g_cols).sum(2)
+                - _xlogx(rows + n[:, None]) + _xlogx(rows) - _xlogx(cols + m[:, None]) + _xlogx(cols))
+        join[:, 0] = -np.inf  # the end's class
+        join[np.arange(len(u)), a] = -leave  # staying changes nothing
+        best = join.argmax(1)
+        out[u] = np.where(join[np.arange(len(u)), best] > -leave, best, a)
+    return out
 
 
 def clustered(table: DataFrame, lexicon, size: int, tasks: int) -> tuple[np.ndarray, np.ndarray]:
@@ -284,11 +296,10 @@ def class_lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         if taken > HEAD:
             break
         least = r["least"]
-    head = sorted(((bytes(r["word"]), r["n"]) for r in counts.where(F.col("n") >= least).collect()),
-                  key=lambda x: (-x[1], x[0]))
-    lex = Lexicon(head)
+    top = counts.where(F.col("n") >= least).select("word", "n").toArrow()  # at most HEAD rows
+    lex = Lexicon(sorted(zip(top.column("word").to_pylist(), top.column("n").to_pylist()), key=lambda x: (-x[1], x[0])))
     lexicon = sc.broadcast(lex)
-    del head
+    del top
     once = {r["least"]: r["types"] for r in levels if r["least"] <= 2}
     n1, n2 = once.get(1, 0), once.get(2, 0)
     discount = n1 / (n1 + 2 * n2) if n2 else 0.5
