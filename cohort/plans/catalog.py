@@ -148,19 +148,19 @@ def _round(df: DataFrame, cols, digits: int = 6) -> DataFrame:
 @register
 def q_affinity_long(spark, sf_dir):
     g = _gated(spark, sf_dir)
-    return affinity.affinity_long(affinity.person_events(g.events, g.devices), "person_id")
+    return affinity.person_long(g.all_events, g.devices)
 
 
 @register
 def q_affinity_wide(spark, sf_dir):
     g = _gated(spark, sf_dir)
-    return affinity.person_affinity(g.events, g.devices)
+    return affinity.person_affinity(g.all_events, g.devices)
 
 
 @register
 def q_interactions(spark, sf_dir):
     g = _gated(spark, sf_dir)
-    return affinity.interactions(g.events, g.devices)
+    return affinity.interactions(g.all_events, g.devices)
 
 
 @register
@@ -188,7 +188,7 @@ def _person_affinity(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     persons = fx.persons()
     g = identity.gate(persons, fx.devices(), fx.signals(), fx.events())
-    return persons, affinity.person_affinity(g.events, g.devices)
+    return persons, affinity.person_affinity(g.all_events, g.devices)
 
 
 @register
@@ -231,7 +231,7 @@ def q_log_loss(spark, sf_dir):
 
 def _impressions(spark, sf_dir):
     g = _gated(spark, sf_dir)
-    return ctr.impressions(g.events, g.devices)
+    return ctr.impressions(g.all_events, g.devices)
 
 
 @register
@@ -279,7 +279,7 @@ def _lookalike_inputs(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     persons = fx.persons()
     g = identity.gate(persons, fx.devices(), fx.signals(), fx.events())
-    inter = affinity.interactions(g.events, g.devices)
+    inter = affinity.interactions(g.all_events, g.devices)
     users = inter.select("person_id").distinct()
     labels = users.join(persons.select("person_id", "converted_true"), "person_id")
     return inter, users, labels
@@ -461,7 +461,7 @@ def q_propensity_gbt(spark, sf_dir):
 @register
 def q_ctr_hashed(spark, sf_dir):
     g = _gated(spark, sf_dir)
-    return ctr.hashed_features(ctr.impressions(g.events, g.devices))
+    return ctr.hashed_features(ctr.impressions(g.all_events, g.devices))
 
 
 @register
@@ -523,7 +523,7 @@ def q_resolved_affinity(spark, sf_dir):
     labels = graph.connected_components(g.nodes, blocking.deterministic_edges(g.signals))
     resolved = g.devices.join(labels.select(F.col("id").alias("device_id"), F.col("component").alias("entity")),
                               "device_id").select("device_id", F.col("entity").alias("person_id"), "device_type")
-    return affinity.person_affinity(g.events, resolved).withColumnRenamed("person_id", "entity")
+    return affinity.person_affinity(g.all_events, resolved).withColumnRenamed("person_id", "entity")
 
 
 @register

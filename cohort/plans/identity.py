@@ -22,6 +22,8 @@ class Gated:
     devices: DataFrame
     signals: DataFrame
     events: DataFrame
+    # Ungated events, for operators whose own join with ``devices`` is the gate.
+    all_events: DataFrame
 
     @property
     def nodes(self) -> DataFrame:
@@ -37,7 +39,7 @@ def gate(persons: DataFrame, devices: DataFrame, signals: DataFrame, events: Dat
     kept = consent.gate_devices(devices, persons)
     return Gated(kept,
                  consent.gate_by_devices(signals, kept),
-                 consent.gate_by_devices(events, kept))
+                 consent.gate_by_devices(events, kept), events)
 
 
 def deterministic_resolution(g: Gated, max_block: int | dict = blocking.MAX_BLOCK):
@@ -66,9 +68,10 @@ def candidate_features(g: Gated, pairs: DataFrame | None = None, max_block: int
     """IP-blocked pairs not already linked, with behavioural features."""
     if pairs is None:
         pairs = linked_pairs(g, max_block)
+    cats = affinity.categories(g.all_events)
     if profiles is None:
-        profiles = affinity.device_profiles(g.devices, g.events)
-    return affinity.pair_features(candidates_from(pairs), profiles)
+        profiles = affinity.device_profiles(g.devices, g.all_events, cats)
+    return affinity.pair_features(candidates_from(pairs), profiles, len(cats))
 
 
 @dataclass
@@ -97,10 +100,10 @@ def resolve_identities(persons: DataFrame, devices: DataFrame, signals: DataFram
     instead of being recomputed from the raw tables at every reference.
     """
     g0 = gate(persons, devices, signals, events)
-    g = Gated(materialize(g0.devices), g0.signals, g0.events)
+    g = Gated(materialize(g0.devices), g0.signals, g0.events, events)
     pairs = materialize(linked_pairs(g, max_block))
     det = deterministic_from(pairs)
-    profiles = materialize(affinity.device_profiles(g.devices, g.events))
+    profiles = materialize(affinity.device_profiles(g.devices, g.all_events))
     feat = candidate_features(g, pairs, max_block, profiles)
     m = matcher.train_matcher(feat)
     prob = materialize(matcher.accepted_edges(m))

@@ -22,7 +22,7 @@ def test_standardize_zero_variance_maps_to_zero(spark):
 def test_affinity_wide_pivot_fills_zero_and_weights_clicks(spark):
     ev = spark.createDataFrame([(1, "cat_00", 1), (1, "cat_00", 0), (1, "cat_05", 0)],
                                "person_id long, content_cat string, click int")
-    r = affinity.affinity_wide(ev, "person_id").first()
+    r = affinity.spread(affinity.cells(ev, "person_id"), "person_id").first()
     assert (r.cat_00, r.cat_05, r.cat_11) == (5.0, 1.0, 0.0)
 
 
