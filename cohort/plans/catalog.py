@@ -363,11 +363,24 @@ def q_budget_share(spark, sf_dir):
     return _round(_grid(spark, sf_dir).select("test", "arm", F.col("p_best").alias("share")), ["share"])
 
 
+@register
+def q_beats_control(spark, sf_dir):
+    """P(arm beats the first arm), per arm."""
+    return _round(campaign.beats_control(_posterior(spark, sf_dir)), ["p_beats"], 3)
+
+
+@register
+def q_winner_truth(spark, sf_dir):
+    """The declared winner beside the arm whose true rate is highest."""
+    truth = _fx(spark, sf_dir).campaign_truth().select(F.lit("fx").alias("test"), F.col("creative").alias("arm"), "true_rate")
+    return _round(campaign.winner_against_truth(campaign.winner(_grid(spark, sf_dir)), truth), ["p_best"])
+
+
 @register
 def q_bandit_replay(spark, sf_dir):
     r = campaign.bandit_replay(_stream(spark, sf_dir)).withColumn("batch", F.col("batch").cast("string"))
     cols = ["policy_rate", "uniform_rate", "best_rate", "best_share", "thompson_regret", "uniform_regret",
-            "cum_thompson_regret", "cum_uniform_regret", "cum_best_share"]
+            "cum_thompson_regret", "cum_uniform_regret", "regret_reduction", "cum_best_share"]
     return _round(r, cols)
 
 

@@ -1,17 +1,19 @@
 """DuckDB SQL twins of the registered queries (the correctness oracle).
 
-Each twin is written from the operator's *definition*, in plain SQL over the
-``fx_*`` views (inlined as CTEs), so it is an independent check of the Spark
-plan rather than a transcription of it. Computed doubles are rounded the
-same way on both sides, last.
+Plain SQL over the ``fx_*`` views (inlined as CTEs). Most twins take another route than the
+Spark plan (recursive reachability for components, all pairs for AUC, joins for cosines, a
+finite Beta sum for ``beats_control``). The posterior grid is restated, as its
+points define the result; ``beats_control`` checks it from outside. Computed doubles are
+rounded the same way on both sides, last.
 """
 from __future__ import annotations
 
+from cohort.constants import CATS, MAX_BLOCK
 from cohort.sources.fixtures import fx_cte
 
 SQL: dict[str, str] = {}
 
-CAP = 50
+CAP = MAX_BLOCK
 
 
 def _with(fx: list[str], *ctes: str) -> str:
@@ -155,8 +157,6 @@ union all select 'candidate_pairs', count(*) from newc"""
 
 # ----------------------------- features ---------------------------------- #
 
-CATS = [f"cat_{i:02d}" for i in range(12)]
-
 PEV = """
 pev AS (select e.*, d.person_id from gev e join gdev d using (device_id)),
 paff AS (select person_id, content_cat, (3 * sum(click) + count(*))::DOUBLE as w from pev group by 1, 2)"""
@@ -344,24 +344,23 @@ def grid_cte(name: str, post: str, group: list[str], arm: str = "arm") -> str:
     g = ", ".join(group)
     on = " and ".join(f"p.{c} = s.{c}" for c in group)
     return f"""
-{name}_sup AS (select {g}, greatest(0.0, min(posterior_mean - 8.0 * posterior_sd)) as lo,
-                      least(1.0, max(posterior_mean + 8.0 * posterior_sd)) as hi, min(posterior_sd) as min_sd
-               from {post} group by {g}),
-{name}_g AS (select p.*, s.lo, s.hi,
-                    least(1048576, greatest(4096, ceil(8.0 * (s.hi - s.lo) / s.min_sd)))::INTEGER as G
-             from {post} p join {name}_sup s on {on}),
-{name}_x AS (select *, lo + (j + 0.5) * (hi - lo) / G as x
-             from (select *, unnest(range(0, G)) as j from {name}_g)),
-{name}_f AS (select *, exp(logf - max(logf) over (partition by {g}, {arm})) as fu
+{name}_e AS (select distinct {g}, lo + k * (hi - lo) / 1024 as edge
+             from (select {g}, greatest(0.0, posterior_mean - 8.0 * posterior_sd) as lo,
+                          least(1.0, posterior_mean + 8.0 * posterior_sd) as hi, unnest(range(0, 1025)) as k from {post})),
+{name}_w AS (select * from (select *, lead(edge) over (partition by {g} order by edge) - edge as width from {name}_e)
+             where width > 0),
+{name}_x AS (select p.*, s.edge, s.width, s.edge + s.width / 2 as x from {post} p join {name}_w s on {on}),
+{name}_f AS (select *, exp(logf - max(logf) over (partition by {g}, {arm})) * width as fu
              from (select *, (alpha - 1) * ln(x) + (beta - 1) * ln(1 - x) as logf from {name}_x)),
-{name}_c AS (select *, sum(f) over (partition by {g}, {arm} order by j
+{name}_c AS (select *, sum(f) over (partition by {g}, {arm} order by edge
                                     rows between unbounded preceding and current row) as cdf
              from (select *, fu / sum(fu) over (partition by {g}, {arm}) as f from {name}_f)),
-{name}_l AS (select *, sum(lnF) over (partition by {g}, j) as S
+{name}_l AS (select *, sum(lnF) over (partition by {g}, edge) as S
              from (select *, ln(greatest(cdf - f / 2, 1e-300)) as lnF from {name}_c)),
 {name} AS (select {g}, {arm}, sum(f * exp(S - lnF)) as p_best,
-                  min(case when cdf >= 0.025 then x end) as ci_low,
-                  min(case when cdf >= 0.975 then x end) as ci_high, any_value(G) as grid_points
+                  min(case when cdf >= 0.025 and cdf - f < 0.025 then edge + width * (0.025 - (cdf - f)) / f end) as ci_low,
+                  min(case when cdf >= 0.975 and cdf - f < 0.975 then edge + width * (0.975 - (cdf - f)) / f end) as ci_high,
+                  count(*)::INTEGER as grid_points
            from {name}_l group by {g}, {arm})"""
 
 
@@ -385,6 +384,25 @@ select test, arg_min(arm, (-p_best, arm)) as winner, round(max(p_best), 6) as p_
 
 SQL["budget_share"] = _with(*CAMP[:1], *CAMP[1:]) + "select test, arm, round(p_best, 6) as share from gp"
 
+# Another route than the grid: the exact finite sum for two Beta posteriors with whole-number parameters,
+# P(B > A) = sum_{i < alpha_B} B(alpha_A + i, beta_A + beta_B) / ((beta_B + i) B(1 + i, beta_B) B(alpha_A, beta_A)).
+SQL["beats_control"] = _with(*CAMP[:1], *CAMP[1:4], """
+ctl AS (select test, arg_min(arm, arm) as c, arg_min(alpha, arm) as a1, arg_min(beta, arm) as b1 from post group by test),
+duel AS (select p.test, p.arm, c.a1, c.b1, p.alpha as a2, p.beta as b2, unnest(range(0, p.alpha::BIGINT)) as i
+         from post p join ctl c using (test) where p.arm <> c.c)""") + """
+select test, arm, round(sum(exp(lgamma(a1 + i) + lgamma(b1 + b2) - lgamma(a1 + i + b1 + b2) - ln(b2 + i)
+                                - lgamma(1 + i) - lgamma(b2) + lgamma(1 + i + b2)
+                                - lgamma(a1) - lgamma(b1) + lgamma(a1 + b1))), 3) as p_beats
+from duel group by test, arm"""
+
+# Success percentage per arm by which the stand-in stream draws its rewards.
+SQL["winner_truth"] = _with(*CAMP[:1], *CAMP[1:]) + """
+select g.test, g.winner, round(g.p_best, 6) as p_best, t.true_best, g.winner = t.true_best as correct
+from (select test, arg_min(arm, (-p_best, arm)) as winner, max(p_best) as p_best from gp group by test) g
+join (select arg_max(arm, r) as true_best from (
+        select concat('cr_', cast(a as string)) as arm, 3 + a + case when a = 4 then 4 else 0 end as r
+        from (select distinct user_id % 6 as a from events))) t on true"""
+
 SQL["uniform_regret"] = _with(*CAMP[:1], *CAMP[1:4]) + """
 select test, round(max(posterior_mean), 6) as best_rate, round(avg(posterior_mean), 6) as mean_rate,
        sum(trials)::BIGINT as n_rounds,
@@ -422,6 +440,8 @@ select test, cast(batch as varchar) as batch, n::BIGINT as n, round(policy_rate,
        round(thompson_regret, 6) as thompson_regret, round(uniform_regret, 6) as uniform_regret,
        round(sum(thompson_regret) over w, 6) as cum_thompson_regret,
        round(sum(uniform_regret) over w, 6) as cum_uniform_regret,
+       round(1 - case when sum(uniform_regret) over w <> 0
+                      then sum(thompson_regret) over w / sum(uniform_regret) over w end, 6) as regret_reduction,
        round(sum(n * best_share) over w / sum(n) over w, 6) as cum_best_share
 from pr window w as (partition by test order by batch rows between unbounded preceding and current row)"""
 

@@ -109,12 +109,22 @@ class Fixtures:
     def campaign_stream(self) -> DataFrame:
         return campaign_stream_from(self.raw("events")).drop("ts")
 
+    def campaign_truth(self) -> DataFrame:
+        """``[creative, true_rate]``: the rate by which :func:`campaign_stream_from` draws each arm's rewards."""
+        arms = self.raw("events").select((F.col("user_id") % 6).alias("arm")).distinct()
+        return arms.select(F.concat(F.lit("cr_"), F.col("arm").cast("string")).alias("creative"),
+                           (reward_percent(F.col("arm")) / 100).alias("true_rate"))
+
+
+def reward_percent(arm):
+    return F.lit(3) + arm + F.when(arm == 4, F.lit(4)).otherwise(F.lit(0))
+
 
 def campaign_stream_from(events: DataFrame) -> DataFrame:
     """Reshape driver ``events`` rows (batch or streaming) into reward-stream rows."""
     ev = events.select("event_id", "ts", "user_id")
     arm = F.col("user_id") % 6
-    cut = F.lit(3) + arm + F.when(arm == 4, F.lit(4)).otherwise(F.lit(0))
+    cut = reward_percent(arm)
     return ev.select(
         F.col("event_id").alias("round"),
         F.col("ts").alias("ts"),

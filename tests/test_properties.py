@@ -105,3 +105,36 @@ def test_grid_credible_interval_matches_numeric_quantiles(spark):
     g = {r.arm: r for r in campaign.grid_posterior(campaign.beta_posterior(counts)).collect()}["a"]
     step = 1e-3
     assert abs(g.ci_low - lo) < step and abs(g.ci_high - hi) < step
+
+
+def test_grid_has_no_scale_limit_and_ignores_added_arms(spark):
+    """Huge counts beside an empty arm: intervals and duels of the others stay as they are."""
+    from cohort.operators import campaign
+    n = 10 ** 12
+    rows = [("t", "a", n // 2, n // 2), ("t", "b", n // 2 + 10 ** 6, n // 2 - 10 ** 6)]
+    schema = "test string, arm string, successes long, failures long"
+
+    def solve(rows):
+        post = campaign.beta_posterior(spark.createDataFrame(rows, schema))
+        return ({r.arm: r for r in campaign.grid_posterior(post).collect()},
+                {r.arm: r.p_beats for r in campaign.beats_control(post).collect()})
+
+    two, duel2 = solve(rows)
+    three, duel3 = solve(rows + [("t", "c", 0, 0)])
+    sd = 0.5 / n ** 0.5
+    for arm, mid in (("a", 0.5), ("b", 0.5 + 1e-6)):
+        for g in (two, three):
+            assert abs(g[arm].ci_low - (mid - 1.959964 * sd)) < 0.01 * sd
+            assert abs(g[arm].ci_high - (mid + 1.959964 * sd)) < 0.01 * sd
+    from statistics import NormalDist
+    want = NormalDist().cdf(1e-6 / (sd * 2 ** 0.5))
+    assert abs(two["b"].p_best - want) < 1e-3 and abs(duel2["b"] - want) < 1e-3 and duel3["b"] == duel2["b"]
+    # Arm c wins with about one half; the rest is shared as before.
+    assert abs(three["b"].p_best / (1 - three["c"].p_best) - want) < 5e-3
+
+
+def test_replay_with_an_arm_that_has_only_null_rewards(spark):
+    from cohort.operators import campaign
+    rows = [("t", 1, "a", 1), ("t", 1, "b", None), ("t", 2, "a", 0), ("t", 2, "b", None)]
+    out = campaign.bandit_replay(spark.createDataFrame(rows, "test string, batch int, arm string, reward int")).collect()
+    assert [r.n for r in sorted(out, key=lambda r: r.batch)] == [1, 1]
