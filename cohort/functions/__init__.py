@@ -4,5 +4,4 @@ from cohort.functions.expressions import (  # noqa: F401
     choose2,
     is_allowed,
     pseudonymize,
-    safe_log,
 )

@@ -32,7 +32,8 @@ def pseudonymize(*parts, salt: str | None = None) -> Column:
     cols = [_c(p).cast("string") for p in parts]
     if salt is not None:
         cols = [F.lit(salt)] + cols
-    return F.substring(F.sha1(F.concat_ws(PSEUDONYM_SEP, *cols)), 1, PSEUDONYM_HEX_DIGITS)
+    joined = cols[0] if len(cols) == 1 else F.concat(*[x for c in cols for x in (F.lit(PSEUDONYM_SEP), c)][1:])
+    return F.substring(F.sha1(joined), 1, PSEUDONYM_HEX_DIGITS)
 
 
 def is_allowed(gdpr_consent="gdpr_consent", ccpa_opt_out="ccpa_opt_out") -> Column:
@@ -44,15 +45,13 @@ def is_allowed(gdpr_consent="gdpr_consent", ccpa_opt_out="ccpa_opt_out") -> Colu
 
 
 def choose2(n) -> Column:
-    """Number of unordered pairs among ``n`` items, as bigint (no pair explosion)."""
-    n = _c(n).cast("bigint")
-    # n(n-1) is always even, so the shift is an exact integer halving.
-    return F.shiftright(n * (n - F.lit(1)), 1)
-
+    """Number of unordered pairs among ``n`` items, as bigint (no pair explosion).
 
-def safe_log(x, floor: float = 1e-15) -> Column:
-    """Natural log with the argument clipped to ``[floor, 1]``'s lower bound."""
-    return F.log(F.greatest(_c(x), F.lit(floor)))
+    The even factor is halved first, so the product fits in 64 bits up to n = 4.2e9.
+    """
+    n = _c(n).cast("bigint")
+    even = n % 2 == 0
+    return F.when(even, F.shiftright(n, 1) * (n - 1)).otherwise(n * F.shiftright(n - 1, 1))
 
 
 def binary_entropy(p, clip: float = 1e-15) -> Column:

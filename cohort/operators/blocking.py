@@ -6,12 +6,17 @@ devices (public Wi-Fi IP, a shared test e-mail) carries no identity, and the
 cap also bounds the work: at most C(max_block, 2) pairs per value, so no block
 can explode quadratically.
 
+The cap is a guard for *pairs*. Components need no pairs: :func:`star_edges` links every
+member of a block to its smallest device, n - 1 edges for any block size, so
+deterministic values link without a cap. Blocks left out of pairing are reported by
+:func:`suppressed_blocks`.
+
 Plan shape, chosen for skew: a single value may hold a large share of all
 rows. Block sizes are computed with ``groupBy.count`` (map-side partial
-aggregation, so a hot value costs one row per map task), and the oversized
-values are removed with a ``left_anti`` join *before* the pair self-join,
-which then only ever sees blocks of <= ``max_block`` rows. AQE's skew-join
-handling splits the hot value on the probe side of the anti join.
+aggregation, so a hot value costs one row per map task). The few oversized
+values are copied to ``SALTS`` salts and removed by a ``left_anti`` join on
+(value, salt of the device), so a hot value is spread whatever the session's skew settings
+are. The pair self-join then only sees blocks of <= ``max_block`` rows.
 """
 from __future__ import annotations
 
@@ -21,6 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohort.constants import DETERMINISTIC_TYPES, MAX_BLOCK, PROBABILISTIC_TYPES  # noqa: F401
+from cohort.functions.expressions import choose2
+from cohort.session import materialize
+
+SALTS = 64
 
 
 def _cap(max_block) -> F.Column:
@@ -67,18 +76,52 @@ def self_pairs(signals: DataFrame, types: Sequence[str], max_block: int | dict =
 
     ``max_block`` is one cap for every type or a ``{type: cap}`` dict.
     """
-    m = _members(signals, types, merge_types)
-    sizes = m.groupBy("block_type", "signal_value").agg(F.count(F.lit(1)).alias("n"))
-    # Only oversized values are removed here (at most rows / (max_block+1) of
-    # them); singletons simply produce no pair in the self-join below.
-    oversized = sizes.where(F.col("n") > _cap(max_block)).select("block_type", "signal_value")
-    usable = m.join(oversized, ["block_type", "signal_value"], "left_anti")
-    a = usable.select("block_type", "signal_value", F.col("device_id").alias("src"))
-    b = usable.select("block_type", "signal_value", F.col("device_id").alias("dst"))
-    return (a.join(b, ["block_type", "signal_value"])
-             .where(F.col("src") < F.col("dst"))
-             .select("src", "dst")
-             .distinct())
+    return _pairs(_members(signals, types, merge_types), max_block).select("src", "dst").distinct()
+
+
+def _without_oversized(members: DataFrame, max_block: int | dict) -> DataFrame:
+    """Members of blocks within the cap (singletons stay; they form no pair)."""
+    block = ["block_type", "signal_value"]
+    sizes = members.groupBy(*block).agg(F.count(F.lit(1)).alias("n"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    oversized = sizes.where(F.col("n") > _cap(max_block)).select(*block, salts)
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("device_id"), F.lit(SALTS)).cast("int"))
+    return salted.join(oversized, [*block, "salt"], "left_anti").drop("salt")
+
+
+def _pairs(members: DataFrame, max_block: int | dict) -> DataFrame:
+    """``[block_type, src, dst]`` with ``src < dst`` inside usable blocks, one row per shared block."""
+    usable = _without_oversized(members, max_block)
+    a = usable.withColumnRenamed("device_id", "src")
+    b = usable.withColumnRenamed("device_id", "dst")
+    return a.join(b, ["block_type", "signal_value"]).where(F.col("src") < F.col("dst"))
+
+
+def star_edges(signals: DataFrame, types: Sequence[str] = DETERMINISTIC_TYPES, merge_types: bool = False) -> DataFrame:
+    """``[src, dst]``: every device of a block linked to the block's smallest device; no cap.
+
+    Gives the same components as all pairs of the block, in n - 1 edges. The centres (one row per
+    shared value) are checkpointed: read back, they have no partitioning to keep, so the join
+    shuffles both sides and AQE can split a hot value's members under default settings.
+    """
+    members = _members(signals, types, merge_types)
+    block = ["block_type", "signal_value"]
+    centre = materialize(members.groupBy(*block).agg(F.min("device_id").alias("src"), F.count(F.lit(1)).alias("n"))
+                                .where("n > 1").drop("n"))
+    return (members.join(centre, block).where(F.col("src") < F.col("device_id"))
+                   .select("src", F.col("device_id").alias("dst")).distinct())
+
+
+def suppressed_blocks(signals: DataFrame, types: Sequence[str] | None = None, max_block: int | dict = MAX_BLOCK,
+                      merge_types: bool = False) -> DataFrame:
+    """Blocks above the cap: ``[block_type, value_hash, n_devices, pairs_not_formed]``.
+
+    The value itself stays out of the report; ``value_hash`` is its SHA-256.
+    """
+    sizes = block_sizes(signals, types, max_block, merge_types)
+    return sizes.where(F.col("n_devices") > _cap(max_block)).select(
+        "block_type", F.sha2("signal_value", 256).alias("value_hash"), "n_devices",
+        choose2("n_devices").alias("pairs_not_formed"))
 
 
 def typed_pairs(signals: DataFrame, det_types=DETERMINISTIC_TYPES, prob_types=PROBABILISTIC_TYPES,
@@ -101,16 +144,9 @@ def typed_pairs(signals: DataFrame, det_types=DETERMINISTIC_TYPES, prob_types=PR
     btype = (F.when(is_det_type, F.lit("det")).otherwise(F.lit("prob")) if merge_types
              else F.col("signal_type"))
     m = s.select(btype.alias("block_type"), "signal_value", "device_id").distinct()
-    sizes = m.groupBy("block_type", "signal_value").agg(F.count(F.lit(1)).alias("n"))
-    oversized = sizes.where(F.col("n") > _cap(max_block)).select("block_type", "signal_value")
-    usable = m.join(oversized, ["block_type", "signal_value"], "left_anti")
-    a = usable.select("block_type", "signal_value", F.col("device_id").alias("src"))
-    b = usable.select("block_type", "signal_value", F.col("device_id").alias("dst"))
     is_det = F.col("block_type").isin(det_types + ["det"])
-    return (a.join(b, ["block_type", "signal_value"])
-             .where(F.col("src") < F.col("dst"))
-             .groupBy("src", "dst")
-             .agg(F.max(is_det).alias("deterministic"), F.max(~is_det).alias("probabilistic")))
+    return (_pairs(m, max_block).groupBy("src", "dst")
+            .agg(F.max(is_det).alias("deterministic"), F.max(~is_det).alias("probabilistic")))
 
 
 def deterministic_edges(signals: DataFrame, max_block: int | dict = MAX_BLOCK) -> DataFrame:

@@ -92,6 +92,30 @@ def q_block_sizes(spark, sf_dir):
     return blocking.block_sizes(_gated(spark, sf_dir).signals)
 
 
+@register
+def q_suppressed_blocks(spark, sf_dir):
+    """Blocks above the pair cap and the pairs they would have formed."""
+    return blocking.suppressed_blocks(_gated(spark, sf_dir).signals)
+
+
+@register
+def q_star_edges(spark, sf_dir):
+    """Uncapped links of every device to the smallest device that shares a deterministic value."""
+    return blocking.star_edges(_gated(spark, sf_dir).signals)
+
+
+@register
+def q_resolve_identities_fixed(spark, sf_dir):
+    """Whole resolution with fixed matcher coefficients: component of every device."""
+    return identity.fixed_resolution(_gated(spark, sf_dir))[1]
+
+
+@register
+def q_identity_ablation_fixed(spark, sf_dir):
+    """Pairwise precision, recall and F1 without and with the fixed matcher's links."""
+    return identity.fixed_resolution(_gated(spark, sf_dir))[2]
+
+
 @register
 def q_det_edges(spark, sf_dir):
     return blocking.deterministic_edges(_gated(spark, sf_dir).signals)
@@ -119,7 +143,7 @@ def q_edge_union(spark, sf_dir):
 @register
 def q_connected_components(spark, sf_dir):
     g = _gated(spark, sf_dir)
-    return graph.connected_components(g.nodes, blocking.deterministic_edges(g.signals))
+    return graph.connected_components(g.nodes, blocking.star_edges(g.signals))
 
 
 @register
@@ -133,7 +157,7 @@ def q_graph_counts(spark, sf_dir):
     g = _gated(spark, sf_dir)
     pairs = identity.linked_pairs(g)
     det, cands = identity.deterministic_from(pairs), identity.candidates_from(pairs)
-    labels = graph.connected_components(g.nodes, det)
+    labels = graph.connected_components(g.nodes, blocking.star_edges(g.signals))
     return graph.graph_counts(g.nodes, g.truth, labels,
                               {"deterministic_edges": det, "candidate_pairs": cands})
 
@@ -244,7 +268,7 @@ def q_ctr_baseline(spark, sf_dir):
 @register
 def q_adjusted_rand(spark, sf_dir):
     g = _gated(spark, sf_dir)
-    labels = graph.connected_components(g.nodes, blocking.deterministic_edges(g.signals))
+    labels = graph.connected_components(g.nodes, blocking.star_edges(g.signals))
     return evaluation.adjusted_rand(labels, g.truth, "id", "component", "person")
 
 
@@ -533,7 +557,7 @@ def q_stream_posterior(spark, sf_dir):
 def q_resolved_affinity(spark, sf_dir):
     """Person affinity keyed by the *resolved* entity instead of the truth id."""
     g = _gated(spark, sf_dir)
-    labels = graph.connected_components(g.nodes, blocking.deterministic_edges(g.signals))
+    labels = graph.connected_components(g.nodes, blocking.star_edges(g.signals))
     resolved = g.devices.join(labels.select(F.col("id").alias("device_id"), F.col("component").alias("entity")),
                               "device_id").select("device_id", F.col("entity").alias("person_id"), "device_type")
     return affinity.person_affinity(g.all_events, resolved).withColumnRenamed("person_id", "entity")

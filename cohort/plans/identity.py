@@ -43,9 +43,12 @@ def gate(persons: DataFrame, devices: DataFrame, signals: DataFrame, events: Dat
 
 
 def deterministic_resolution(g: Gated, max_block: int | dict = blocking.MAX_BLOCK):
-    """Components over deterministic edges and their pairwise PRF."""
+    """Components over deterministic values and their pairwise PRF.
+
+    The pairs are capped (``max_block``); the components come from uncapped star edges.
+    """
     det = blocking.deterministic_edges(g.signals, max_block)
-    labels = graph.connected_components(g.nodes, det)
+    labels = graph.connected_components(g.nodes, blocking.star_edges(g.signals))
     return det, labels, pairwise_prf(labels, g.truth)
 
 
@@ -83,6 +86,7 @@ class Resolution:
     matcher: matcher.Matcher
     ablation: DataFrame      # [variant, tp, predicted_pairs, true_pairs, precision, recall, f1]
     gated: Gated
+    suppressed: DataFrame    # [block_type, value_hash, n_devices, pairs_not_formed]
 
     def counts(self) -> DataFrame:
         """Graph sizes of the full resolution (devices, persons, entities, edges)."""
@@ -107,14 +111,41 @@ def resolve_identities(persons: DataFrame, devices: DataFrame, signals: DataFram
     feat = candidate_features(g, pairs, max_block, profiles)
     m = matcher.train_matcher(feat)
     prob = materialize(matcher.accepted_edges(m))
-    det_labels = materialize(graph.connected_components(g.nodes, det))
+    det_labels = materialize(graph.connected_components(g.nodes, blocking.star_edges(g.signals)))
     # Adding the probabilistic links contracts the deterministic components
     # first, so the second labelling iterates over components, not devices.
     full_labels = graph.merge_components(det_labels, prob)
     ablation = (pairwise_prf(det_labels, g.truth).select(F.lit("deterministic_only").alias("variant"), "*")
                 .unionByName(pairwise_prf(full_labels, g.truth)
                              .select(F.lit("deterministic_plus_probabilistic").alias("variant"), "*")))
-    return Resolution(det, prob, det_labels, full_labels, m, ablation, g)
+    return Resolution(det, prob, det_labels, full_labels, m, ablation, g,
+                      blocking.suppressed_blocks(g.signals, max_block=max_block))
+
+
+# Coefficients for a resolution without training: any fixed values do, as the same are used in its check.
+FIXED_COEFFICIENTS = {"intercept": -2.0, "cosine": 5.0, "same_type": 0.5}
+FIXED_THRESHOLD = 0.75
+
+
+def fixed_resolution(g: Gated, coefficients: dict[str, float] | None = None, threshold: float = FIXED_THRESHOLD,
+                     max_block: int | dict = blocking.MAX_BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Resolution with given matcher coefficients: ``(accepted pairs, labels, ablation)``.
+
+    Same steps as :func:`resolve_identities` (features, score, threshold, components,
+    PRF), without fitting, so every step has one right answer.
+    """
+    c = FIXED_COEFFICIENTS if coefficients is None else coefficients
+    pairs = materialize(linked_pairs(g, max_block))
+    feat = candidate_features(g, pairs, max_block)
+    logit = (F.lit(c["intercept"]) + F.lit(c["cosine"]) * F.round("cosine", 9) + F.lit(c["same_type"]) * F.col("same_type"))
+    accepted = materialize(feat.withColumn("p", 1 / (1 + F.exp(-logit))).where(F.col("p") >= threshold)
+                               .select("src", "dst"))
+    det_labels = materialize(graph.connected_components(g.nodes, blocking.star_edges(g.signals)))
+    labels = materialize(graph.merge_components(det_labels, accepted))
+    ablation = (pairwise_prf(det_labels, g.truth).select(F.lit("deterministic_only").alias("variant"), "*")
+                .unionByName(pairwise_prf(labels, g.truth)
+                             .select(F.lit("deterministic_plus_probabilistic").alias("variant"), "*")))
+    return accepted, labels, ablation
 
 
 def f1_lift(ablation: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ rounded the same way on both sides, last.
 from __future__ import annotations
 
 from cohort.constants import CATS, MAX_BLOCK
+from cohort.plans.identity import FIXED_COEFFICIENTS, FIXED_THRESHOLD
 from cohort.sources.fixtures import fx_cte
 
 SQL: dict[str, str] = {}
@@ -49,7 +50,10 @@ IP = pairs_cte("ipc", ["ip"])
 
 # Components by reachability: every node reaches itself; label = min reached id.
 CC = """
-sym AS (select src as a, dst as b from det union all select dst, src from det),
+det_all AS (select distinct a.device_id as src, b.device_id as dst from gsig a join gsig b
+            on a.signal_type = b.signal_type and a.signal_value = b.signal_value and a.device_id < b.device_id
+            where a.signal_type in ('hashed_email', 'maid')),
+sym AS (select src as a, dst as b from det_all union all select dst, src from det_all),
 reach(id, comp) AS (select device_id, device_id from gdev
                     union
                     select s.b, r.comp from reach r join sym s on s.a = r.id),
@@ -155,6 +159,17 @@ union all select 'resolved_entities', count(distinct component) from cc
 union all select 'deterministic_edges', count(*) from det
 union all select 'candidate_pairs', count(*) from newc"""
 
+SQL["suppressed_blocks"] = _with(FX_ID, GATE) + f"""
+select signal_type as block_type, sha256(signal_value) as value_hash, count(distinct device_id) as n_devices,
+       {c2('count(distinct device_id)')}::BIGINT as pairs_not_formed
+from gsig where signal_type in ('hashed_email', 'maid', 'ip') and signal_value is not null
+group by signal_type, signal_value having count(distinct device_id) > {CAP}"""
+
+SQL["star_edges"] = _with(FX_ID, GATE, """
+mn AS (select signal_type, signal_value, min(device_id) as src from gsig
+       where signal_type in ('hashed_email', 'maid') and signal_value is not null group by 1, 2)""") + """
+select distinct mn.src, g.device_id as dst from gsig g join mn using (signal_type, signal_value) where mn.src < g.device_id"""
+
 # ----------------------------- features ---------------------------------- #
 
 PEV = """
@@ -181,6 +196,34 @@ feat AS (select c.src, c.dst, coalesce(v.cosine, 0.0) as cosine,
          from newc c left join cosv v on v.src = c.src and v.dst = c.dst
               join gdev ds on ds.device_id = c.src join gdev dd on dd.device_id = c.dst)"""
 
+FIXED = f"""
+acc AS (select src, dst from feat
+        where 1 / (1 + exp(-({FIXED_COEFFICIENTS['intercept']} + {FIXED_COEFFICIENTS['cosine']} * round(cosine, 9)
+                             + {FIXED_COEFFICIENTS['same_type']} * same_type))) >= {FIXED_THRESHOLD}),
+fsym AS (select a, b from sym union all select src, dst from acc union all select dst, src from acc),
+freach(id, comp) AS (select device_id, device_id from gdev
+                     union
+                     select s.b, r.comp from freach r join fsym s on s.a = r.id),
+fcc AS (select id, min(comp) as component from freach group by id)"""
+
+SQL["resolve_identities_fixed"] = _with(FX_ID, GATE, DET, IP, NEW, CC, UV, FEAT, FIXED) + "select id, component from fcc"
+
+
+def _prf_of(labels: str, variant: str) -> str:
+    cells = f"(select component, person_id, count(*) as n from {labels} join gdev on device_id = id group by 1, 2)"
+    return f"""
+select '{variant}' as variant, tp, predicted_pairs, true_pairs, round(p, 6) as precision, round(r, 6) as recall,
+       round(case when p + r > 0 then 2 * p * r / (p + r) else 0.0 end, 6) as f1
+from (select *, case when predicted_pairs > 0 then tp / predicted_pairs else 0.0 end as p,
+             case when true_pairs > 0 then tp / true_pairs else 0.0 end as r
+      from (select (select sum({c2('n')}) from {cells})::BIGINT as tp,
+                   (select sum({c2('n')}) from (select sum(n) as n from {cells} group by component))::BIGINT as predicted_pairs,
+                   (select sum({c2('n')}) from (select count(*) as n from gdev group by person_id))::BIGINT as true_pairs))"""
+
+
+SQL["identity_ablation_fixed"] = (_with(FX_ID, GATE, DET, IP, NEW, CC, UV, FEAT, FIXED) + _prf_of("cc", "deterministic_only")
+                                  + " union all " + _prf_of("fcc", "deterministic_plus_probabilistic"))
+
 SQL["affinity_long"] = _with(FX_ID, GATE, PEV) + "select person_id, content_cat, w from paff"
 
 SQL["affinity_wide"] = _with(FX_ID, GATE, PEV, WIDE) + "select * from wide"

@@ -90,3 +90,34 @@ def test_per_type_block_cap(spark):
     assert {tuple(r) for r in pairs.collect()} == {(a, b) for a in range(10, 14) for b in range(10, 14) if a < b}
     tp = blocking.typed_pairs(s, det_types=["maid"], prob_types=["ip"], max_block={"maid": 3})
     assert tp.where("deterministic").count() == 0 and tp.where("probabilistic").count() == 6
+
+
+def test_unknown_categories_count_and_zero_norms_are_null(spark):
+    ev = spark.createDataFrame([(1, "cat_00", 0), (1, "cat_99", 0), (2, "cat_99", 0)],
+                               "device_id long, content_cat string, click int")
+    u = {r.device_id: r.u for r in affinity.unit_vectors(ev).collect()}
+    assert affinity.categories(ev) == ["cat_00", "cat_99"]
+    assert u[1] == pytest.approx([2 ** -0.5] * 2) and u[2] == [0.0, 1.0]
+    long = {(r.device_id, r.content_cat): r.u for r in affinity.unit_vectors_long(ev).collect()}
+    assert long == pytest.approx({(1, "cat_00"): 2 ** -0.5, (1, "cat_99"): 2 ** -0.5, (2, "cat_99"): 1.0})
+    # Positions that leave a device's categories out give null cells, not an error.
+    only = {r.device_id: r.u for r in affinity.unit_vectors(ev, cats=["cat_00"]).collect()}
+    assert only[1] == [1.0] and only[2] == [None]
+
+
+def test_pair_features_stay_in_generated_code(spark):
+    ev = spark.createDataFrame([(i, f"cat_{i % 3:02d}", 1) for i in range(6)], "device_id long, content_cat string, click int")
+    dev = spark.createDataFrame([(i, i // 2, "tv") for i in range(6)], "device_id long, person_id long, device_type string")
+    pairs = spark.createDataFrame([(0, 3), (0, 1)], "src long, dst long")
+    out = affinity.pair_features(pairs, affinity.device_profiles(dev, ev), len(affinity.categories(ev)))
+    assert "aggregate(" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {(r.src, r.dst): (r.cosine, r.same_type, r.label) for r in out.collect()} == {(0, 3): (1.0, 1.0, 0.0), (0, 1): (0.0, 1.0, 1.0)}
+
+
+def test_pseudonym_of_a_null_part_is_null(spark):
+    from cohort.functions.expressions import choose2, pseudonymize
+    df = spark.createDataFrame([(None, "a"), ("a", "b")], "x string, y string")
+    assert [r[0] is None for r in df.select(pseudonymize("x", "y")).collect()] == [True, False]
+    n = spark.createDataFrame([(4_000_000_000,), (3_999_999_999,), (0,), (1,)], "n long").select(choose2("n")).collect()
+    assert [r[0] for r in n] == [k * (k - 1) // 2 for k in (4_000_000_000, 3_999_999_999, 0, 1)]
+

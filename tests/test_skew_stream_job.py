@@ -88,29 +88,40 @@ def test_large_star_join_lets_aqe_split_a_hub(spark):
                 spark.conf.set(k, v)
 
 
-def test_blocking_anti_join_splits_a_hot_value(spark):
-    """A value holding a third of all rows is split by AQE before it is dropped."""
+def _hot_ip(spark, n=30000):
+    return spark.range(n).select(F.col("id").alias("device_id"), F.lit("ip").alias("signal_type"),
+                                 F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                  .otherwise(F.concat(F.lit("h"), (F.col("id") / 2).cast("long").cast("string")))
+                                  .alias("signal_value"))
+
+
+def test_blocking_salts_a_hot_value(spark):
+    """A value holding a third of all rows meets its removal in many partitions, whatever the skew settings."""
+    members = blocking._members(_hot_ip(spark), ["ip"], False)
+    spread = members.withColumn("salt", F.pmod(F.xxhash64("device_id"), F.lit(blocking.SALTS)).cast("int"))
+    parts = (spread.repartition(64, "block_type", "signal_value", "salt").groupBy(F.spark_partition_id()).count()
+                   .agg(F.max("count").alias("most"), F.sum("count").alias("all")).first())
+    assert parts["most"] < 0.1 * parts["all"]
+    plan = blocking.ip_candidates(_hot_ip(spark))._jdf.queryExecution().sparkPlan().toString()
+    assert "LeftAnti" in plan and "salt" in plan
+    assert blocking.ip_candidates(_hot_ip(spark)).where(F.col("src") % 3 == 0).where(F.col("dst") % 3 == 0).count() == 0
+
+
+def test_star_edges_split_a_hot_value_under_default_skew_settings(spark):
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
             "spark.sql.adaptive.coalescePartitions.enabled": "false",
-            "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+            "spark.sql.adaptive.forceOptimizeSkewedJoin": "false"}
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        n = 30000
-        s = spark.range(n).select(F.col("id").alias("device_id"), F.lit("ip").alias("signal_type"),
-                                  F.when(F.col("id") % 3 == 0, F.lit("hot"))
-                                   .otherwise(F.concat(F.lit("h"), (F.col("id") / 2).cast("long").cast("string")))
-                                   .alias("signal_value"))
-        pairs = blocking.ip_candidates(s)
-        plan = pairs._jdf.queryExecution().executedPlan()
+        stars = blocking.star_edges(_hot_ip(spark), ["ip"])
+        plan = stars._jdf.queryExecution().executedPlan()
         plan.execute().count()
-        final = plan.toString().split("== Initial Plan ==")[0]
-        assert "skew=true" in final
-        assert pairs.where(F.col("src") % 3 == 0).where(F.col("dst") % 3 == 0).count() == 0
+        assert "skew=true" in plan.toString().split("== Initial Plan ==")[0]
     finally:
         for k, v in old.items():
             if v is None:
@@ -119,6 +130,18 @@ def test_blocking_anti_join_splits_a_hot_value(spark):
                 spark.conf.set(k, v)
 
 
+def test_large_deterministic_block_is_one_component(spark):
+    """300 devices on one e-mail link without a cap; the pair report names the block."""
+    from cohort.operators.graph import connected_components
+    s = spark.range(300).select(F.col("id").alias("device_id"), F.lit("hashed_email").alias("signal_type"),
+                                F.lit("shared").alias("signal_value"))
+    nodes = s.select(F.col("device_id").alias("id"))
+    assert blocking.star_edges(s).count() == 299
+    assert connected_components(nodes, blocking.star_edges(s)).select("component").distinct().count() == 1
+    r = blocking.suppressed_blocks(s).first()
+    assert (r.n_devices, r.pairs_not_formed) == (300, 300 * 299 // 2)
+
+
 def test_stream_restart_picks_up_only_new_files(spark):
     d = tempfile.mkdtemp(prefix="stream-restart-", dir="/tmp")
     schema = "test string, arm string, reward int"
