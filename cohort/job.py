@@ -4,8 +4,8 @@
     python -m cohort.job --module identity --fixtures /root/testdata/sf0.1 --out /tmp/out   # local
 
 ``--data`` reads the engine's logical tables (``persons``, ``devices``,
-``identity_signals``, ``events``, ``campaign_stream``) under their declared
-contracts; ``--fixtures`` builds the same shapes from the driver's test tables.
+``identity_signals``, ``events``, ``campaign_stream``) and brings them to their declared
+contracts (string or whole-number ids); ``--fixtures`` builds the same shapes from the driver's test tables.
 Outputs are Parquet tables plus a JSON-lines metrics table under ``--out``.
 The master, memory and checkpoint directory come from the submit command.
 """
@@ -40,6 +40,10 @@ def run(spark, module: str, t: dict, out: str) -> None:
     if module == "identity":
         r = identity.resolve_identities(persons, t["devices"], t["identity_signals"], t["events"])
         write_table(r.full_labels, f"{out}/resolved_ids")
+        write_table(r.det_edges, f"{out}/deterministic_edges")
+        write_table(r.prob_edges, f"{out}/probabilistic_edges")
+        write_table(r.matcher.scored, f"{out}/matcher_scores")
+        write_table(r.suppressed, f"{out}/suppressed_blocks")
         m = metrics.union_long([r.matcher.report, metrics.wide_to_long(identity.f1_lift(r.ablation)), r.counts()])
     elif module == "segmentation":
         s = segmentation.segment_people(g, persons)

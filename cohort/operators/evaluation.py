@@ -98,12 +98,17 @@ def adjusted_rand(assign: DataFrame, truth: DataFrame, key: str, a: str, b: str,
 # Rank-based metrics on (score, label).
 
 def score_groups(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """One row per distinct score: ``[score, pos, neg]`` (ties decided together)."""
-    return scored.groupBy(F.col(score).alias("score")).agg(
+    """One row per distinct score: ``[score, pos, neg]`` (ties decided together); rows without a score do not count."""
+    return scored.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"),
         F.count_if(F.col(label) != 1).alias("neg"))
 
 
+def _ranges(spark) -> int:
+    """Ranges for ordered operators: as many as the session shuffles into, which is set by data size."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def ordered_prefix_sums(groups: DataFrame, order_col: str, value_cols: list[str],
                         descending: bool = True) -> DataFrame:
     """Inclusive running sums of ``value_cols`` along ``order_col``.
@@ -116,7 +121,7 @@ def ordered_prefix_sums(groups: DataFrame, order_col: str, value_cols: list[str]
     sign = -1 if descending else 1
     key = F.col(order_col) * F.lit(sign)
     g = groups.withColumn("_k", key)
-    n_parts = max(1, g.sparkSession.sparkContext.defaultParallelism)
+    n_parts = _ranges(g.sparkSession)
     # Range bounds come from a sample, so two scans of an unpinned range
     # exchange can disagree; the assignment is checkpointed once and both
     # consumers (range totals and in-range sums) read the same rows.
@@ -127,7 +132,7 @@ def ordered_prefix_sums(groups: DataFrame, order_col: str, value_cols: list[str]
     offsets = totals.select("_part", *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}")
                                        for c in value_cols])
     w_in = Window.partitionBy("_part").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
-    # ``offsets`` has one row per range (<= default parallelism): a bounded broadcast.
+    # ``offsets`` has one row per range: a bounded broadcast.
     out = g.join(F.broadcast(offsets), "_part")
     for c in value_cols:
         out = out.withColumn(f"cum_{c}", F.sum(c).over(w_in) + F.col(f"_o_{c}"))
@@ -161,7 +166,7 @@ def auc(scored: DataFrame, score: str = "score", label: str = "label", digits: i
     # cum_neg includes the group itself; "below" excludes it.
     contrib = F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)
     t = cum.agg(F.sum(contrib).alias("num"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    val = F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("num") / (F.col("P") * F.col("N")))
+    val = F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("num") / (F.col("P").cast("double") * F.col("N")))
     return t.select(F.col("P").cast("bigint").alias("positives"), F.col("N").cast("bigint").alias("negatives"),
                     F.round(val, digits).alias("auc"))
 
@@ -203,27 +208,27 @@ def top_fraction(scored: DataFrame, fraction: float, score: str = "score", key:
 
 
 def global_rank(df: DataFrame, score: str, key: str) -> DataFrame:
-    """Dense 1-based position in (score desc, key asc) order, plus the total ``_n``.
-
-    Scales past one task: rows are range-partitioned on the composite sort
-    key (so even one score shared by a third of the rows is split across
-    ranges by ``key``), each range counts its rows, offsets come from the
-    running total over the (few) range totals, and the in-range position is
-    a window partitioned by range. The range assignment is checkpointed, so
-    every row is counted in exactly the range it is ranked in.
+    """Dense 1-based position in (score desc, key asc) order, plus the total ``_n``; null scores come last.
+
+    Scales past one task and shuffles once: rows are range-partitioned on the
+    composite sort key (so even one score shared by a third of the rows is
+    split across ranges by ``key``) and sorted inside their range, where
+    ``monotonically_increasing_id`` holds the range in its upper bits and
+    the position in its lower 33. Both are checkpointed, so ranges and
+    positions stay fixed; a rank is the position plus the rows of the ranges before.
     """
-    g = df.withColumn("_neg", -F.col(score))
-    n_parts = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    g = materialize(g.repartitionByRange(n_parts, "_neg", key).withColumn("_part", F.spark_partition_id()))
-    totals = g.groupBy("_part").agg(F.count(F.lit(1)).alias("_t"))
+    order = [F.col(score).desc_nulls_last(), F.col(key).asc()]
+    g = materialize(df.repartitionByRange(_ranges(df.sparkSession), *order).sortWithinPartitions(*order)
+                      .withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33).alias("_part")
+    totals = g.select(part).groupBy("_part").agg(F.count(F.lit(1)).alias("_t"))
     w_off = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_part", F.coalesce(F.sum("_t").over(w_off), F.lit(0)).alias("_off"),
                             F.sum("_t").over(Window.partitionBy()).alias("_n"))
-    w_in = Window.partitionBy("_part").orderBy("_neg", key)
-    # One row per range (<= default parallelism): a bounded broadcast.
-    return (g.join(F.broadcast(offsets), "_part")
-             .withColumn("rank", (F.row_number().over(w_in) + F.col("_off")).cast("bigint"))
-             .drop("_neg", "_part", "_off"))
+    # One row per range: a bounded broadcast.
+    return (g.withColumn("_part", F.shiftright("_at", 33)).join(F.broadcast(offsets), "_part")
+             .withColumn("rank", F.col("_at").bitwiseAND((1 << 33) - 1) + F.col("_off") + 1)
+             .drop("_at", "_part", "_off"))
 
 
 def top_n_per_group(df: DataFrame, group: str, value: str, tiebreak: str, n: int = 2) -> DataFrame:

@@ -44,7 +44,8 @@ def _gated(spark: SparkSession, sf_dir: str) -> identity.Gated:
 def q_contract_check(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     return contract_check({"persons": fx.persons(), "devices": fx.devices(),
-                           "identity_signals": fx.signals(),
+                           "identity_signals": fx.signals(), "events": fx.events(),
+                           "interactions": affinity.interactions(fx.events(), fx.devices()),
                            "campaign_stream": fx.campaign_stream()})
 
 
@@ -260,7 +261,7 @@ def _impressions(spark, sf_dir):
 
 @register
 def q_ctr_baseline(spark, sf_dir):
-    imp = split.hash_split(_impressions(spark, sf_dir), "device_id")
+    imp = split.hash_split(_impressions(spark, sf_dir), "event_id")
     train = imp.where(F.col("split") == "train").withColumn("label", F.col("click").cast("double"))
     return evaluation.base_rate_baseline(train)
 
@@ -294,7 +295,7 @@ def q_segment_names(spark, sf_dir):
     # Cluster ids are 0..k-1 with k read from the labels (empty clusters still get a row).
     k = assign.agg(F.max("cluster").alias("k")).first()["k"] + 1
     sizes = segments.segment_sizes(members, k, "cluster")
-    return names.join(sizes, "cluster", "right").select("cluster", "label", "size")
+    return names.join(sizes, "cluster", "right").select("cluster", "label", "size").orderBy("cluster")
 
 
 # ----------------------------- lookalike ---------------------------------- #
@@ -520,8 +521,10 @@ def q_lookalike_audience(spark, sf_dir):
 
 @register
 def q_metrics_summary(spark, sf_dir):
-    """Long ``[module, metric, value]`` table over consent, identity and campaign."""
+    """Long ``[module, metric, value]`` table over all modules."""
     fx = _fx(spark, sf_dir)
+    g, persons = _gp(spark, sf_dir)
+    seg = segmentation.segment_people(g, persons)
     res = _resolution(spark, sf_dir)
     post = campaign.beta_posterior(campaign.arm_counts(_stream(spark, sf_dir)))
     grid = campaign.grid_posterior(post)
@@ -534,7 +537,13 @@ def q_metrics_summary(spark, sf_dir):
             metrics.wide_to_long(res.ablation.where(F.col("variant") != "deterministic_only")
                                  .drop("variant"), prefix="full_"),
             metrics.wide_to_long(identity.f1_lift(res.ablation)),
-            res.counts()]),
+            res.counts(),
+            res.suppressed.groupBy(F.concat(F.lit("suppressed_blocks_"), "block_type").alias("metric"))
+                          .agg(F.count(F.lit(1)).cast("double").alias("value"))]),
+        "segmentation": seg.ari.select(F.concat(F.lit("ari_"), "model").alias("metric"), F.col("ari").alias("value")),
+        "propensity": models.propensity_models(g, persons).report,
+        "ctr": models.ctr_model(g).report,
+        "lookalike": metrics.wide_to_long(models.als_lookalike(g, persons).lift),
         "campaign": metrics.wide_to_long(campaign.winner(grid).drop("test", "winner"), prefix="winner_"),
     })
 

@@ -79,6 +79,12 @@ union all
 select 'devices', count(*), count(distinct device_id), {cif('device_id is null')},
        count(*) = count(distinct device_id) and {cif('device_id is null')} = 0, true from fx_devices
 union all
+select 'events', count(*), count(distinct event_id), {cif('event_id is null')},
+       count(*) = count(distinct event_id) and {cif('event_id is null')} = 0, true from fx_events
+union all
+select 'interactions', count(*), count(*), 0::BIGINT, true, true
+from (select distinct person_id, content_cat from fx_events join fx_devices using (device_id))
+union all
 select 'identity_signals', count(*),
        (select count(*) from (select distinct device_id, signal_type, signal_value from fx_signals
                               where device_id is not null and signal_type is not null and signal_value is not null)),
@@ -287,7 +293,7 @@ from feat"""
 
 SQL["ctr_baseline"] = _with(FX_ID, GATE, f"""
 tr AS (select e.click::DOUBLE as label from gev e join gdev d using (device_id)
-       where {bucket_sql('split', 'e.device_id')} < 70),
+       where {bucket_sql('split', 'e.event_id')} < 70),
 br AS (select avg(label) as p, count(*) as n from tr)""") + """
 select n, round(p, 6) as base_rate,
        round(case when p <= 0 or p >= 1 then 0.0 else -(p * ln(p) + (1 - p) * ln(1 - p)) end, 6)

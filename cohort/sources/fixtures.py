@@ -96,6 +96,7 @@ class Fixtures:
         home = ((F.col("o_custkey") * 5) % 8 + F.col("l_suppkey") % 2) % 12
         cat = F.when(F.col("l_partkey") % 10 < 7, home).otherwise(F.col("l_partkey") % 12)
         return j.select(
+            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("event_id"),
             F.col("l_orderkey").alias("device_id"),
             F.concat(F.lit("cat_"), F.lpad(cat.cast("string"), 2, "0")).alias("content_cat"),
             F.concat(F.lit("cmp_"), (F.col("l_suppkey") % 6).cast("string")).alias("campaign"),
@@ -165,7 +166,8 @@ select o_orderkey, 'ip',
             else concat('tr_', cast(o_orderkey as string)) end
 from orders""",
     "fx_events": """
-select l_orderkey as device_id,
+select concat(cast(l_orderkey as string), '-', cast(l_linenumber as string)) as event_id,
+       l_orderkey as device_id,
        concat('cat_', lpad(cast(case when l_partkey % 10 < 7 then ((o_custkey * 5) % 8 + l_suppkey % 2) % 12
                                      else l_partkey % 12 end as string), 2, '0')) as content_cat,
        concat('cmp_', cast(l_suppkey % 6 as string)) as campaign,

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cohort.operators.campaign import beta_posterior
 from cohort.session import ensure_checkpoint_dir
+from cohort.sources.tables import table_path
 
 
 def posterior_stream(stream: DataFrame, group: str = "test", arm: str = "arm", reward: str = "reward",
@@ -74,15 +75,19 @@ def latest(updates: DataFrame, keys: list[str]) -> DataFrame:
 
 def read_stream_table(spark: SparkSession, directory: str, name: str, schema,
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the rows of ``{directory}/{name}.parquet`` (new files are picked up).
+    """Stream the rows of ``{directory}/{name}.parquet``, a file or a folder of files (new files are picked up).
 
     ``max_files_per_trigger`` bounds a micro-batch during a backfill; by
-    default each trigger takes everything that is new.
+    default each trigger takes everything that is new. A source without rows raises.
     """
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    path = table_path(directory, name)
+    if spark.read.schema(schema).parquet(path).isEmpty():
+        raise ValueError(f"no rows to stream in {path}")
+    r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(directory)
+    # As a glob the path may name a file or a folder; a plain path must be a folder.
+    return r.parquet(f"{directory.rstrip('/')}/{{{name}.parquet}}")
 
 
 def scratch_paths(spark: SparkSession, tag: str) -> tuple[str, str]:

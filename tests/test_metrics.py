@@ -2,6 +2,8 @@ import math
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from cohort.operators import campaign, evaluation, lookalike
 from cohort.operators.affinity import device_profiles, pair_features
 
@@ -96,3 +98,27 @@ def test_too_few_converters_raises(spark):
     labels = spark.createDataFrame([(i, 1 if i < 5 else 0) for i in range(50)], "person_id long, converted_true int")
     with pytest.raises(ValueError):
         lookalike.seed_holdout(labels)
+
+
+def test_null_scores_rank_last_and_do_not_count(spark):
+    df = spark.createDataFrame([(1, 0.9, 1), (2, None, 1), (3, 0.1, 0), (4, None, 0)], "id long, score double, label int")
+    assert [r.id for r in evaluation.global_rank(df, "score", "id").orderBy("rank").collect()] == [1, 3, 2, 4]
+    assert [r.id for r in evaluation.top_fraction(df, 0.25).collect()] == [1]
+    r = evaluation.auc(df).first()
+    assert (r.positives, r.negatives, r.auc) == (1, 1, 1.0)
+
+
+def test_auc_of_huge_groups_does_not_overflow(spark):
+    from unittest import mock
+
+    from pyspark.sql import functions as F
+    groups = spark.createDataFrame([(0.9, 10 ** 10, 0), (0.1, 0, 10 ** 10)], "score double, pos long, neg long")
+    with mock.patch.object(evaluation, "score_groups", lambda *a: groups):
+        assert evaluation.auc(groups.withColumn("label", F.lit(1))).first().auc == 1.0
+
+
+def test_ranking_shuffles_rows_once(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 7).cast("double").alias("score"))
+    plan = evaluation.global_rank(df, "score", "id")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_part" not in plan.split("BroadcastExchange")[0]
+

@@ -156,3 +156,51 @@ def test_stream_restart_picks_up_only_new_files(spark):
     assert run() == {"a": (1, 1)}
     spark.createDataFrame([("t", "a", 1), ("t", "b", 0)], schema).write.parquet(os.path.join(d, "part2"))
     assert run() == {"a": (2, 1), "b": (0, 1)}
+
+
+def test_streaming_reads_a_folder_table_and_refuses_an_empty_one(spark):
+    import pytest
+    d = tempfile.mkdtemp(prefix="stream-folder-", dir="/tmp")
+    df = spark.createDataFrame([("t", "a", 1), ("t", "a", 0), ("t", "b", 1)], "test string, arm string, reward int")
+    df.repartition(3).write.parquet(os.path.join(d, "events.parquet"))
+    stream = arm_posteriors.read_stream_table(spark, d, "events", df.schema)
+    out, ckpt = arm_posteriors.scratch_paths(spark, "test-folder")
+    arm_posteriors.run_available(arm_posteriors.posterior_stream(stream), out, ckpt)
+    got = sorted((r.arm, r.successes, r.failures) for r in spark.read.parquet(out).collect())
+    assert got == sorted((r.arm, r.successes, r.failures) for r in campaign.arm_counts(df).collect())
+    df.limit(0).write.parquet(os.path.join(d, "none.parquet"))
+    with pytest.raises(ValueError):
+        arm_posteriors.read_stream_table(spark, d, "none", df.schema)
+
+
+def _tables_with_string_ids(spark, d):
+    """Small tables of the logical schemas, with string ids and the optional columns as a user may have them."""
+    from cohort.sources.fixtures import Fixtures
+    fx = Fixtures(spark, SF001)
+    text = lambda df, *cols: df.withColumns({c: F.concat(F.lit("x"), F.col(c).cast("string")) for c in cols})
+    tables = {
+        "persons": fx.persons().withColumn("processing_allowed", F.col("gdpr_consent") & ~F.col("ccpa_opt_out")),
+        "devices": text(fx.devices(), "device_id"), "identity_signals": text(fx.signals(), "device_id"),
+        "events": text(fx.events(), "device_id").withColumn("convert", F.lit(0)),
+        "campaign_stream": fx.campaign_stream().drop("batch")}
+    for name, df in tables.items():
+        df.write.parquet(os.path.join(d, f"{name}.parquet"))
+
+
+def test_job_reads_tables_with_string_ids(spark):
+    import pytest
+
+    from cohort.sources.tables import conform
+    d, out = tempfile.mkdtemp(prefix="tables-", dir="/tmp"), tempfile.mkdtemp(prefix="job-", dir="/tmp")
+    _tables_with_string_ids(spark, d)
+    t = job._inputs(spark, type("A", (), {"fixtures": None, "data": d})())
+    assert dict(t["devices"].dtypes)["device_id"] == "string" and "processing_allowed" in t["persons"].columns
+    for module in ("identity", "ctr", "lookalike", "campaign"):
+        job.run(spark, module, t, f"{out}/{module}")
+        assert spark.read.json(f"{out}/{module}/metrics").count() > 0
+    ids = spark.read.parquet(f"{out}/identity/resolved_ids")
+    assert dict(ids.dtypes)["id"] == "string" and ids.count() > 0
+    assert spark.read.parquet(f"{out}/campaign/replay").select("batch").distinct().count() > 1
+    with pytest.raises(ValueError, match="missing column"):
+        conform(t["devices"].drop("person_id"), "devices")
+
