@@ -23,7 +23,9 @@ HEADLINE = [
     "connected_components", "pairwise_prf", "pair_features", "precision_threshold", "auc",
     "affinity_wide", "interactions", "standardize", "adjusted_rand", "lookalike_lift",
     "p_best", "bandit_replay", "ctr_baseline", "resolve_identities",
+    "stream_posterior", "ctr_scores", "lookalike_audience",
 ]
+# Slow fits, timed on request: python bench.py kmeans_segments propensity_gbt ...
 
 
 def main() -> None:

@@ -16,6 +16,7 @@ from cohort.functions.expressions import pseudonymize
 from cohort.operators import (affinity, blocking, campaign, consent, ctr, evaluation, graph, lookalike, matcher,
                               propensity, segments, split)
 from cohort.plans import identity, metrics, models, segmentation
+from cohort.session import materialize
 from cohort.sources.contracts import contract_check
 from cohort.sources.fixtures import Fixtures, campaign_stream_from
 from cohort.streaming import arm_posteriors
@@ -213,7 +214,8 @@ def _person_affinity(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     persons = fx.persons()
     g = identity.gate(persons, fx.devices(), fx.signals(), fx.events())
-    return persons, affinity.person_affinity(g.all_events, g.devices)
+    # Written once: standardising reads it for the statistics and again for the output.
+    return persons, materialize(affinity.person_affinity(g.all_events, g.devices))
 
 
 @register
@@ -277,21 +279,21 @@ def _segment_means(spark, sf_dir):
     persons, wide = _person_affinity(spark, sf_dir)
     z = affinity.standardize(wide, affinity.CATS, keep=["person_id"])
     assign = persons.select("person_id", F.col("true_segment").cast("int").alias("cluster"))
-    return assign, segments.cluster_means(assign, z, "person_id", "cluster", affinity.CATS)
+    members = assign.join(wide.select("person_id"), "person_id", "left_semi")
+    return members, segments.cluster_means(assign, z, "person_id", "cluster", affinity.CATS), assign
 
 
 @register
 def q_top2_per_group(spark, sf_dir):
-    _, means = _segment_means(spark, sf_dir)
+    _, means, _ = _segment_means(spark, sf_dir)
     t = evaluation.top_n_per_group(means, "cluster", "value", "idx", segments.TOP_DIMS)
     return _round(t.select("cluster", "dim", "value", "rank"), ["value"])
 
 
 @register
 def q_segment_names(spark, sf_dir):
-    assign, means = _segment_means(spark, sf_dir)
+    members, means, assign = _segment_means(spark, sf_dir)
     names = segments.segment_names(means, "cluster")
-    members = assign.join(_person_affinity(spark, sf_dir)[1].select("person_id"), "person_id", "left_semi")
     # Cluster ids are 0..k-1 with k read from the labels (empty clusters still get a row).
     k = assign.agg(F.max("cluster").alias("k")).first()["k"] + 1
     sizes = segments.segment_sizes(members, k, "cluster")
@@ -576,7 +578,8 @@ def q_resolved_affinity(spark, sf_dir):
 def q_embedding_segments(spark, sf_dir):
     """K-means (k = number of labels) on the embeddings table, ARI vs. its labels."""
     emb = _fx(spark, sf_dir).raw("embeddings")
-    data = segments.array_features(emb, "embedding").select("vec_id", "features", "label").cache()
+    data = segments.array_features(emb, "embedding").select("vec_id", "features", "label")
+    data = materialize(data)
     k = data.agg(F.count_distinct("label").alias("k")).first()["k"]
     model = segments.KMeans(k=k, seed=segments.SEED, featuresCol="features").fit(data)
     pred = model.transform(data).select("vec_id", F.col("prediction").alias("cluster"))

@@ -46,7 +46,9 @@ def get_session(app: str = "cohort", master: str | None = None,
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """Driver and executors in one process (``local-cluster`` is not)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
