@@ -18,7 +18,7 @@ def test_device_without_events_has_cosine_zero(spark):
     events = spark.createDataFrame([(1, "cat_00", 0), (2, "cat_00", 1)], "device_id long, content_cat string, click int")
     cands = spark.createDataFrame([(1, 2), (1, 3)], "src long, dst long")
     got = {(r.src, r.dst): (r.cosine, r.same_type, r.label)
-           for r in pair_features(cands, device_profiles(devices, events)).collect()}
+           for r in pair_features(cands, device_profiles(devices, events), 1).collect()}
     assert got[(1, 2)] == (pytest.approx(1.0), 1.0, 1.0)
     assert got[(1, 3)] == (0.0, 0.0, 0.0)
 
