@@ -34,6 +34,8 @@ from cohort.llm.common import map_arrow, pick, written
 
 BLOCK, QUERY_BLOCK, RUN = 4096, 512, 512
 SHARDS = 16
+PAIRS = 4  # block pairs a task should get
+DENSE = 0.02  # share of a run's pairs from which they are multiplied as a whole
 _BLOCK = "block long, ids binary, vectors binary, longest double"
 
 
@@ -109,11 +111,16 @@ def _unpack(ids: bytes, vectors: bytes, dim: int) -> tuple[np.ndarray, np.ndarra
     return i, np.frombuffer(vectors).reshape(len(i), dim)
 
 
+def _in_doubles(q: np.ndarray, v: np.ndarray) -> bool:
+    """Whether every sum of products stays a whole number that doubles hold."""
+    return float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * q.shape[1] < 2.0 ** 53
+
+
 def exact(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Row-wise integer inner products; doubles while they are exact, Python integers beyond."""
     if not len(q):
         return np.empty(0, np.int64)
-    if float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * q.shape[1] < 2.0 ** 53:
+    if _in_doubles(q, v):
         return np.einsum("ij,ij->i", q, v).astype(np.int64)
     whole = [sum(int(a) * int(b) for a, b in zip(x, y)) for x, y in zip(q, v)]
     return np.array(whole, np.int64)
@@ -148,12 +155,16 @@ class Search:
             if not len(alive):
                 break  # later vectors are shorter
             bound = qr[alive, :lead] @ vr[part, :lead].T + q_rest[alive, None] * v_rest[part]
-            a, b = np.nonzero(bound + slack[alive, None] >= floor[alive, None])
-            a, b = alive[a], b + at
-            other = qi[a] != vi[b]
-            a, b = a[other], b[other]
-            scores = np.concatenate([exact(q[a[i:i + 65536]], v[b[i:i + 65536]]) for i in range(0, len(a), 65536)]
-                                    or [np.empty(0, np.int64)])
+            near, b = np.nonzero((bound + slack[alive, None] >= floor[alive, None])
+                                 & (qi[alive, None] != vi[part]))
+            a = alive[near]
+            if len(a) > DENSE * bound.size and _in_doubles(q[alive], v[part]):
+                # Many survivors: one product of whole numbers is cheaper than gathering rows, and as exact.
+                scores = (q[alive] @ v[part].T)[near, b].astype(np.int64)
+            else:
+                scores = np.concatenate([exact(q[a[i:i + 65536]], v[at + b[i:i + 65536]])
+                                         for i in range(0, len(a), 65536)] or [np.empty(0, np.int64)])
+            b = b + at
             found = tuple(np.concatenate(x) for x in zip(found, (a, vi[b], scores)))
             keep = best(*found, k)
             found = tuple(x[keep] for x in found)
@@ -214,8 +225,11 @@ def top_inner_products(vectors: DataFrame, *, id_col: str = "vec_id", vector_col
                 (at, ids, scores), _ = search.run(qi, q, vi, v, np.frombuffer(r["floors"]))
                 yield pa.record_batch({"query_id": pa.array(qi[at]), "vec_id": pa.array(ids), "score": pa.array(scores)})
 
-    payload = (written(pairs, "block-pairs").join(v_blocks.select("block", "ids", "vectors"), "block")
-               .join(q_blocks.select("q", "q_ids", "q_vectors", "floors"), "q"))
+    pairs = written(pairs, "block-pairs")
+    payload = (pairs.join(v_blocks.select("block", "ids", "vectors"), "block")
+               .join(q_blocks.select("q", "q_ids", "q_vectors", "floors"), "q")
+               # Few bytes but much work: a fixed number of tasks, which is not merged by size.
+               .repartition(max(1, -(-pairs.count() // PAIRS)), "q", "block"))
     found = map_arrow(payload.select("q_ids", "q_vectors", "floors", "ids", "vectors"), search_pairs, out)
     by_score = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
