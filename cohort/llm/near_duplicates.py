@@ -10,15 +10,18 @@ of independent samples, for short texts too, at O(n + T log T) expected hashes.
 no band with probability (1 - 0.8**5)**40 = 1.3e-7, one above it with less. Every link is
 confirmed on the full shingle sets.
 
-Shape of the job. Texts with equal words form one class (its least doc_id represents it),
-so exact copies never meet as pairs. In each bucket of representatives the members are
-compared with one pivot, chosen by a hash that differs from bucket to bucket. What is
-linked so far is contracted to components, and only buckets that still hold several
-components go on; after ``PIVOT_ROUNDS`` rounds every remaining pair *across* components
-of a bucket is compared. So no pair that could change the result is left out, and a group
-of near copies costs its size, not its square. There is no cap on buckets.
-
-Full sets are rebuilt for candidates only: a fixed-size bitmap of candidate ids
+Shape of the job. Texts with equal words form one class, so exact copies never meet as pairs.
+In each bucket of classes every member is compared with one hub, the member with the most
+bucket mates: in a group of near copies that is the text they come from. What
+is linked so far is contracted to components. Only pairs *across* components remain, and both
+sides of each have been compared with a common hub h. Write D(x) for the shingles in which x and h
+differ. Then J(x, y) >= t needs |D(x) & D(y)| >= (|D(x)| + |D(y)| - d (|x| + |y|)) / 2 with
+d = (1 - t) / (1 + t), so x and y must share a shingle among the first few of D(x) and D(y) in a
+common order (prefix filtering, rare shingles first), early enough for the rest to hold that overlap. A
+join on (hub, shingle) finds these pairs; no other pair can be linked. So nothing that could change the
+result is left out, no bucket has a cap, and thousands of near copies do not meet pair by pair.
+
+Full sets are rebuilt for compared classes only: a fixed-size bitmap of their ids
 (``BITMAP_BITS`` bits, 4 MB) is broadcast and lets the second scan skip other texts.
 Its false positives only cost time.
 
@@ -42,7 +45,6 @@ from cohort.operators.graph import connected_components
 
 SHINGLE = 4
 BANDS, ROWS = 40, 5
-PIVOT_ROUNDS = 2
 BATCH_CHARS = 2 << 20
 BITMAP_BITS = 1 << 25
 _U = np.uint64
@@ -103,6 +105,11 @@ def bands(sketch: np.ndarray, n_bands: int, rows: int) -> np.ndarray:
     return h.view(np.int64)
 
 
+def _key(tokens: list[bytes]) -> bytes:
+    """Identity of a word sequence."""
+    return hashlib.blake2b(b" ".join(tokens), digest_size=16).digest()
+
+
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
     """(rows, their words) in groups of about BATCH_CHARS of text."""
     for b in batches:
@@ -115,7 +122,7 @@ def sketch_table(docs: DataFrame, width: int, n_bands: int, rows: int) -> DataFr
     """``[doc_id, n_shingles, key, bands]``; ``key`` identifies the word sequence, null without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, tokens in _words(batches):
-            keys = [hashlib.blake2b(b" ".join(w), digest_size=16).digest() if w else None for w in tokens]
+            keys = [_key(w) if w else None for w in tokens]
             sets = [shingles(w, width) for w in tokens]
             buckets = bands(sketches(sets, n_bands * rows), n_bands, rows)
             lists = pa.ListArray.from_arrays(np.arange(0, buckets.size + 1, n_bands, dtype=np.int32),
@@ -130,8 +137,8 @@ def _bit(column) -> F.Column:
     return F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS))
 
 
-def candidate_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """``[doc_id, shingles]`` of at least the documents in ``ids[id]``; the rest is skipped unread."""
+def compared_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """``[key, shingles]`` of at least the texts whose id is in ``ids[id]``; other texts are skipped unread."""
     b = ids.select(_bit("id").alias("bit"))
     # The bitmap functions count positions from 1 within buckets of 32768 bits.
     parts = (b.groupBy(F.bitmap_bucket_number(F.col("bit") + 1).alias("bucket"))
@@ -145,32 +152,75 @@ def candidate_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little").view(bool)
         for b in batches:
-            for part, tokens in _words(iter([b.filter(pa.array(bits[b.column(2).to_numpy()]))])):
+            for _, tokens in _words(iter([b.filter(pa.array(bits[b.column(2).to_numpy()]))])):
+                tokens = [w for w in tokens if w]
                 found = [shingles(w, width).view(np.int64) for w in tokens]
-                yield pa.record_batch({"doc_id": part.column(0), "shingles": pa.array(found, pa.list_(pa.int64()))})
+                yield pa.record_batch({"key": pa.array(map(_key, tokens), pa.binary()),
+                                       "shingles": pa.array(found, pa.list_(pa.int64()))})
 
     src = docs.where("doc_id is not null and text is not null").withColumn("bit", _bit("doc_id"))
-    return map_arrow(src, run, f"doc_id {dict(docs.dtypes)['doc_id']}, shingles array<long>")
-
-
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``[a, b]`` whose full sets have 100 * intersection >= percent * union."""
-    pairs = written(pairs, "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = written(candidate_sets(docs, ids, width), "sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    joined = (pairs.join(left, "a").join(right, "b")
-                   .select("a", "b", both.alias("n"), (F.size("sa") + F.size("sb") - both).alias("u")))
-    return written(joined.where(100 * F.col("n") >= percent * F.col("u")).where("n > 0")
-                         .select("a", "b").distinct(), "links")
-
-
-def _similar_size(percent: int) -> F.Column:
-    """Sets of these sizes can reach the similarity."""
-    low, high = F.least("na", "nb"), F.greatest("na", "nb")
-    return 100 * low >= percent * high
+    return map_arrow(src, run, "key binary, shingles array<long>").dropDuplicates(["key"])
+
+
+def _linked(n: F.Column, size: F.Column, percent: int) -> F.Column:
+    """Whether ``n`` common shingles of sets of ``size`` in all make the similarity."""
+    return (100 + percent) * n >= percent * size
+
+
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs[a, b, ...]`` with ``n``, the shingles their sets share."""
+    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
+    joined = pairs.join(left, "a").join(right, "b")
+    return joined.select(*pairs.columns, F.size(F.array_intersect("sa", "sb")).cast("long").alias("n"))
+
+
+def across(compared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``[a, b]``: every pair of classes that may be linked, though two components hold them.
+
+    ``compared[a, b, na, nb, n]`` are the hub comparisons (``a`` is the hub).
+    """
+    d = (100.0 - percent) / (100.0 + percent)
+    member = compared.join(labels.select(F.col("id").alias("b"), "component"), "b", "left").select(
+        "a", "b", "na", "nb", F.coalesce("component", "b").alias("label"),
+        (F.col("na") + F.col("nb") - 2 * F.col("n")).alias("size"),
+        (~_linked(F.col("n"), F.col("na") + F.col("nb"), percent)).alias("far"))
+    mixed = written(member.groupBy("a").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+                          .where("lo <> hi").select("a"), "mixed")
+    # A member equal to its hub has been compared with all of them.
+    member = written(member.where("size > 0").join(mixed, "a").withColumn("row", F.monotonically_increasing_id()),
+                     "members")
+    hub = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
+    own = sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
+    differing = F.concat(F.array_except("sb", "sa"), F.array_except("sa", "sb"))
+    # A mark is a differing shingle under its hub; equal hashes of others only add candidates.
+    marks = written(member.select("row", "a", "b").join(hub, "a").join(own, "b")
+                          .select("row", "a", F.explode(differing).alias("mark"))
+                          .select("row", F.xxhash64("a", "mark").alias("mark")), "marks")
+    counts = written(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("uses")), "uses")
+    # The common order: rare marks first. Marks of one member take their place but find nobody.
+    ordered = (marks.join(counts, "mark").groupBy("row")
+                    .agg(F.array_sort(F.collect_list(F.struct("uses", "mark"))).alias("marks")))
+    # Least overlap with a far member, for all; least overlap with any member, for far ones.
+    least = F.greatest(F.floor((F.col("size") + d * (F.col("na") - F.col("nb"))) / 2 - 1e-6) + 1, F.lit(1))
+    most = F.lit(1.0 + 100.0 / percent)  # a linked partner has at most 100 / percent times the shingles
+    least_far = F.greatest(F.ceil(F.col("size") - d * most * F.col("nb") - 1e-6), F.lit(1))
+    indexed = F.greatest(F.col("size") - least + 1, F.lit(0))
+    first = F.greatest(indexed, F.when(F.col("far"), F.col("size") - least_far + 1).otherwise(0))
+    prefixes = member.join(ordered, "row").select(
+        "b", "nb", "label", "size", "far", indexed.alias("indexed"),
+        F.posexplode(F.slice("marks", F.lit(1), first.cast("int"))).alias("at", "m"))
+    prefixes = written(prefixes.where("m.uses > 1").withColumn("mark", F.col("m.mark")).drop("m"), "prefixes")
+    index = prefixes.where("at < indexed").select(
+        "mark", *[F.col(c).alias(f"y_{c}") for c in ("b", "nb", "label", "size", "at")])
+    probe = prefixes.where("far").select("mark", "b", "nb", "label", "size", "at")
+    room = d * (F.col("nb") + F.col("y_nb"))
+    # At the first common mark all of the overlap is still to come: the shorter rest must hold it.
+    rest = F.least(F.col("size") - F.col("at"), F.col("y_size") - F.col("y_at"))
+    return (probe.join(index, "mark").where(F.col("label") != F.col("y_label"))
+                 .where(2 * rest + room + 1e-6 >= F.col("size") + F.col("y_size"))
+                 .where(100 * F.least("nb", "y_nb") >= percent * F.greatest("nb", "y_nb"))
+                 .select(F.least("b", "y_b").alias("a"), F.greatest("b", "y_b").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
@@ -179,49 +229,42 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     src = pick(docs, doc_id=id_col, text=text_col)
     sketch = written(sketch_table(src, width, n_bands, rows), "sketches")
     linked = sketch.where("doc_id is not null and key is not null")
-    # Written, so that the joins below shuffle both sides and a hot class can be split.
+    # Written, like all that is joined below, so that joins shuffle both sides and a hot key can be split.
     classes = written(linked.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
                                                 F.first("bands").alias("bands")), "classes")
-    single = linked.groupBy("doc_id").agg(F.min("key").alias("k0"), F.max("key").alias("k1")).where("k0 <> k1")
-
-    buckets = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    crowded = (buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket"))
-    multi = written(buckets.join(written(crowded, "crowded"), "bucket"), "buckets")
+    buckets = classes.select("key", "n", F.explode("bands").alias("bucket"))
+    crowded = written(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("mates")).where("mates > 1"), "crowded")
+    mates = written(buckets.join(crowded, "bucket"), "mates")
+    fame = written(mates.groupBy("key").agg(F.sum("mates").alias("fame")), "fame")
+    hubs = written(mates.join(fame, "key").groupBy("bucket").agg(F.min(F.struct(
+        (-F.col("fame")).alias("fame"), F.col("key").alias("a"), F.col("n").alias("na"))).alias("h"))
+        .select("bucket", "h.a", "h.na"), "hubs")
+    pairs = written(mates.join(hubs, "bucket").where("key <> a")
+                         .select("a", F.col("key").alias("b"), "na", F.col("n").alias("nb")).distinct(), "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes.select("key", "rep"), "key")
+    sets = written(compared_sets(src, ids.select(F.col("rep").alias("id")), width), "sets")
 
     # Rows that repeat a doc_id with other words tie their classes together.
-    repeated = (linked.select("doc_id", "key").join(written(single.select("doc_id"), "repeated"), "doc_id")
-                      .join(classes.select("key", "rep"), "key").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    links = written(repeated.where("a <> b").distinct(), "links")
-    labels = None
-    for i in range(PIVOT_ROUNDS + 1):
-        if labels is None:
-            state = multi.withColumn("label", F.col("rep"))
-        else:
-            state = multi.join(labels, multi["rep"] == labels["id"], "left").select(
-                multi["bucket"], multi["rep"], multi["n"], F.coalesce("component", "rep").alias("label"))
-            mixed = state.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-            state = written(state.join(written(mixed.select("bucket"), "mixed"), "bucket"), "buckets")
-        if state.isEmpty():
-            break
-        if i < PIVOT_ROUNDS:
-            order = F.xxhash64("bucket", "rep", F.lit(i))
-            pivots = state.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), F.col("rep").alias("a"),
-                                                                F.col("n").alias("na"), F.col("label").alias("la"))).alias("p"))
-            met = (state.join(written(pivots.select("bucket", "p.a", "p.na", "p.la"), "pivots"), "bucket")
-                        .where("label <> la").select("a", F.col("rep").alias("b"), "na", F.col("n").alias("nb")))
-        else:
-            met = across(state)
-        pairs = (met.where(_similar_size(percent))
-                    .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        links = links.unionByName(confirmed(pairs, src, width, percent))
-        nodes = links.select(F.explode(F.array("a", "b")).alias("id"))
-        labels = written(connected_components(nodes, links, src="a", dst="b"), "components")
-    if labels is None:
-        nodes = links.select(F.explode(F.array("a", "b")).alias("id"))
-        labels = written(connected_components(nodes, links, src="a", dst="b"), "components")
-    # Representative -> component, then row -> representative, each a join that can be split.
-    roots = written(classes.join(labels, classes["rep"] == labels["id"], "left")
-                           .select("key", F.coalesce("component", "rep").alias("component_id")), "roots")
+    repeated = written(linked.groupBy("doc_id").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+                             .where("lo <> hi").select("doc_id", F.col("lo").alias("a")), "repeated")
+    tied = linked.select("doc_id", F.col("key").alias("b")).join(repeated, "doc_id").where("a <> b").select("a", "b")
+    compared = written(overlaps(pairs, sets), "compared")
+    links = written(compared.where(_linked(F.col("n"), F.col("na") + F.col("nb"), percent)).select("a", "b")
+                            .unionByName(tied).distinct(), "links")
+    labels = _components(links)
+    more = written(across(compared, labels, sets, percent), "pairs")
+    sized = more.join(classes.select(F.col("key").alias("a"), F.col("n").alias("na")), "a").join(
+        classes.select(F.col("key").alias("b"), F.col("n").alias("nb")), "b")
+    found = written(overlaps(sized, sets).where(_linked(F.col("n"), F.col("na") + F.col("nb"), percent))
+                                         .select("a", "b"), "links")
+    if not found.isEmpty():
+        labels = _components(links.unionByName(found))
+
+    # Class -> component -> its least doc_id, then row -> class: joins that can be split.
+    rooted = written(classes.select("key", "rep").join(labels, classes["key"] == labels["id"], "left")
+                            .select("key", "rep", F.coalesce("component", "key").alias("component")), "rooted")
+    least = written(rooted.groupBy("component").agg(F.min("rep").alias("component_id")), "least")
+    roots = written(rooted.join(least, "component").select("key", "component_id"), "roots")
     out = sketch.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
     done = out.where("key is not null").join(roots, "key").select("doc_id", "n_shingles", "component_id")
     alone = out.where("key is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
@@ -229,11 +272,6 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def across(state: DataFrame) -> DataFrame:
-    """All pairs of a bucket whose members stand in different components."""
-    parts = written(state.select("bucket", "label").distinct(), "parts")
-    couples = (parts.select("bucket", F.col("label").alias("la"))
-                    .join(parts.select("bucket", F.col("label").alias("lb")), "bucket").where("la < lb"))
-    left = state.select("bucket", F.col("label").alias("la"), F.col("rep").alias("a"), F.col("n").alias("na"))
-    right = state.select("bucket", F.col("label").alias("lb"), F.col("rep").alias("b"), F.col("n").alias("nb"))
-    return couples.join(left, ["bucket", "la"]).join(right, ["bucket", "lb"]).select("a", "b", "na", "nb")
+def _components(links: DataFrame) -> DataFrame:
+    nodes = links.select(F.explode(F.array("a", "b")).alias("id"))
+    return written(connected_components(nodes, links, src="a", dst="b"), "components")
