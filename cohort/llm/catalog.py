@@ -10,7 +10,7 @@ from cohort.llm.contamination import contamination
 from cohort.llm.language_id import language_id
 from cohort.llm.near_duplicates import near_duplicates
 from cohort.llm.pseudonyms import KINDS, pseudonymised
-from cohort.llm.secret_scan import named, secret_spans
+from cohort.llm.secret_scan import named, secret_spans, strong_spans
 from cohort.llm.token_counts import token_counts
 from cohort.llm.topk import top_inner_products
 from cohort.llm.toxicity import toxicity
@@ -57,7 +57,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.concat("assign", "access", "hex")
     return secret_spans(read_table(spark, sf_dir, "documents")).select(
         "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
-        F.sha2(named(base), 256).alias("base_sha256"), named(F.concat(base, "entropy")).alias("spans"))
+        F.sha2(named(base), 256).alias("base_sha256"), named(F.concat(base, strong_spans())).alias("spans"))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,10 @@ candidate's character class (hex, one letter case with digits, mixed). The span
 from the first such window to the last. Allow-listed candidates (no digit or no letter, UUIDs,
 marked examples) and candidates that touch a fixed span are dropped.
 
+``parts``, of the same kind, holds what these drops leave: candidates are cut at fixed spans, at UUIDs
+and at marked parts (letters and digits between separators), and what is left of 20+ characters is
+scanned like a candidate of its own. A marked part hides only itself, a fixed span only what it covers.
+
 Everything runs as expressions on one narrow projection: no Python, no shuffle. Cheap
 tests of the whole text go first, and only texts that pass are cut up.
 
@@ -21,6 +25,8 @@ Defined results: null and empty texts have no spans; repeated rows each give a r
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +45,9 @@ THRESHOLDS = {"hex": 3.0, "plain": 3.6, "mixed": 3.8}
 ALLOWED = (r"^[^0-9]*$|^[^A-Za-z]*$"
            r"|^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$"
            r"|(?i:example|placeholder|changeme|dummy|xxxx)")
+# What the allow-list hides of a longer candidate: the marked part, or the UUID, alone.
+HIDDEN = (r"(?<![A-Za-z0-9])(?:[A-Za-z0-9]*?(?i:example|placeholder|changeme|dummy|xxxx)[A-Za-z0-9]*"
+          r"|[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}(?![A-Za-z0-9]))")
 
 
 def _c_log_c(c: Column) -> Column:
@@ -94,7 +103,7 @@ def _spans(kind: int, found: Column) -> Column:
 def secret_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                  thresholds: dict[str, float] | None = None, allowed: str = ALLOWED,
                  carry: str | None = None) -> DataFrame:
-    """``[doc_id, text, assign, access, hex, entropy]``: each kind's spans as ``array<struct<start, kind, end>>``.
+    """``[doc_id, text, assign, access, hex, entropy, parts]``: spans as ``array<struct<start, kind, end>>``.
 
     A column named by ``carry`` goes through as ``row``.
     """
@@ -108,9 +117,7 @@ def secret_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         "access": F.when(text.contains("AKIA"), _spans(1, matches(text, ACCESS))).otherwise(none),
         "hex": F.when(text.rlike(HEX), _spans(2, matches(text, HEX))).otherwise(none)})
 
-    def strong(base: Column) -> Column:
-        free = F.filter(matches(text, CANDIDATE), lambda m: ~m["found"].rlike(allowed) & ~F.exists(
-            base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    def scanned(free: Column) -> Column:
         spans = F.transform(free, lambda m: let(
             strong_windows(m["found"], _threshold(m["found"], thresholds), window),
             lambda w: F.struct((m["start"] + w["first"] - window).alias("start"), F.lit(3).alias("kind"),
@@ -118,9 +125,22 @@ def secret_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         return F.transform(F.filter(spans, lambda s: s["first"] > 0), lambda s: F.struct(
             s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
 
+    def strong(base: Column) -> Column:
+        return scanned(F.filter(matches(text, CANDIDATE), lambda m: ~m["found"].rlike(allowed) & ~F.exists(
+            base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))))
+
+    def strong_parts(cuts: Column) -> Column:
+        blank = replaced(text, cuts, lambda s: F.repeat(F.lit(" "), (s["end"] - s["start"]).cast("int")))
+        return let(blank, lambda t: scanned(F.filter(matches(t, CANDIDATE), lambda m: ~m["found"].rlike(allowed))))
+
     # A candidate needs a digit among its characters, which most prose lacks.
     likely = text.rlike("[0-9]") & text.rlike("(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+")
-    return fixed.withColumn("entropy", F.when(likely, let(F.concat("assign", "access", "hex"), strong)).otherwise(none))
+    base = F.concat("assign", "access", "hex")
+    cuts = F.concat(base, F.when(text.rlike(HIDDEN), _spans(3, matches(text, HIDDEN))).otherwise(none))
+    # Without cuts the parts are the candidates themselves.
+    return fixed.withColumns({
+        "entropy": F.when(likely, let(base, strong)).otherwise(none),
+        "parts": F.when(likely, let(cuts, lambda c: F.when(F.size(c) > 0, strong_parts(c)).otherwise(none))).otherwise(none)})
 
 
 def named(spans: Column) -> Column:
@@ -130,8 +150,8 @@ def named(spans: Column) -> Column:
         ":", F.element_at(kinds, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """``text`` with every span replaced by ``mark``; spans that touch or overlap become one."""
+def merged(spans: Column) -> Column:
+    """``array<struct<start, end>>`` by start; spans that touch or overlap become one."""
     def merge(acc: Column, s: Column) -> Column:
         last = F.element_at(acc, -1)
         joined = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(
@@ -139,14 +159,28 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
         fresh = F.concat(acc, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))
         return F.when(F.size(acc) == 0, fresh).when(s["start"] <= F.element_at(acc, F.lit(-1))["end"], joined).otherwise(fresh)
 
-    empty = F.array().cast("array<struct<start:long,end:long>>")
+    return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<start:long,end:long>>"), merge)
 
+
+def strong_spans() -> Column:
+    """The spans of ``entropy`` and ``parts`` as one array of the kind ``entropy``."""
+    return F.transform(merged(F.concat("entropy", "parts")), lambda m: F.struct(
+        m["start"].alias("start"), F.lit(3).alias("kind"), m["end"].alias("end")))
+
+
+def replaced(text: Column, spans: Column, mark: Callable[[Column], Column]) -> Column:
+    """``text`` with every merged span replaced by what ``mark`` makes of it."""
     def cut(m: Column) -> Column:
         pieces = F.transform(F.sequence(F.lit(0), F.size(m)), lambda i: let(
             F.when(i == 0, F.lit(0)).otherwise(F.element_at(m, F.greatest(i, F.lit(1)))["end"]).cast("int"),
-            lambda a: F.when(i == F.size(m), F.substring(text, a + 1, F.char_length(text))).otherwise(
-                F.substring(text, a + 1, F.element_at(m, F.least(i + 1, F.size(m)))["start"].cast("int") - a))))
-        return F.array_join(pieces, mark)
+            lambda a: F.when(i == F.size(m), F.substring(text, a + 1, F.char_length(text))).otherwise(let(
+                F.element_at(m, F.least(i + 1, F.size(m))),
+                lambda s: F.concat(F.substring(text, a + 1, s["start"].cast("int") - a), mark(s))))))
+        return F.array_join(pieces, "")
+
+    return F.when(F.size(spans) > 0, let(merged(spans), cut)).otherwise(text)
 
-    whole = let(F.aggregate(F.array_sort(spans), empty, merge), cut)
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+
+def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
+    """``text`` with every span replaced by ``mark``; spans that touch or overlap become one."""
+    return replaced(text, spans, lambda s: F.lit(mark))

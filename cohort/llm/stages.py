@@ -44,7 +44,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Replace every secret span in the texts; rows and other columns stay."""
     rows, name = whole_row(docs)
     found = secret_spans(rows, carry=name)
-    clean = found.select("row", redacted(F.col("text"), F.concat("assign", "access", "hex", "entropy")).alias("clean"))
+    clean = found.select("row", redacted(F.col("text"), F.concat("assign", "access", "hex", "entropy", "parts")).alias("clean"))
     at = docs.columns.index("text")
     return clean.select(*[(F.col("clean") if i == at else F.col(f"row._c{i}")).alias(c)
                           for i, c in enumerate(docs.columns)])

@@ -9,7 +9,7 @@ import pytest
 from helpers import empty, frame, messy, messy_rows, prose  # noqa: F401
 from pyspark.sql import functions as F
 
-from cohort.llm import bpe, contamination as con
+from cohort.llm import bpe, contamination as con, stages
 from cohort.llm import secret_scan as sec
 from cohort.llm.catalog import tokenizer_path
 from cohort.llm.common import sections
@@ -165,6 +165,36 @@ def test_secrets_equal_brute_force(spark):
     assert min(kinds[k] for k in range(4)) > 5
 
 
+def random_key(rng, n, alphabet="abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"):
+    return "".join(rng.choice(alphabet) for _ in range(n))
+
+
+def cleaned(spark, texts):
+    """Each text after the pipeline's stage, and its spans of the kind entropy."""
+    rows = frame(spark, list(enumerate(texts)))
+    clean = {r["doc_id"]: r["text"] for r in stages.redact_secrets(spark, rows, "").collect()}
+    found = {r["doc_id"]: [(s["start"], s["end"]) for s in r["s"]]
+             for r in sec.secret_spans(rows).select("doc_id", sec.strong_spans().alias("s")).collect()}
+    return [(clean[i], found[i]) for i in range(len(texts))]
+
+
+def test_secrets_beside_fixed_spans_and_marked_parts_are_found(spark):
+    rng = random.Random(8)
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "0123456789abcdef"
+    texts, keys = [], []
+    for sep in "/=-_+":
+        for before in ("AKIA" + random_key(rng, 16, upper), "a1" + random_key(rng, 30, digits), "my-example-app",
+                       "dummy", "3f2b8c1e-9d4a-4f6b-8a7c-1e2d3f4a5b6c"):
+            keys.append("7Kq" + random_key(rng, 37))
+            texts.append(f"see {before}{sep}{keys[-1]} here")
+    for (clean, spans), text, key in zip(cleaned(spark, texts), texts, keys):
+        at = text.index(key)  # windows below the threshold at either end stay out of the span
+        assert len(spans) == 1 and min(spans[0][1], at + 40) - max(spans[0][0], at) >= 28, (text, spans)
+        assert text[slice(*spans[0])] not in clean and "[SECRET]" in clean and clean.endswith(" here")
+    hidden = ["my-example-app/v1/sample-pages", "exampleKey1234567890ABC", "x/3f2b8c1e-9d4a-4f6b-8a7c-1e2d3f4a5b6c-example"]
+    assert [c for c, _ in cleaned(spark, hidden)] == hidden
+
+
 def test_secrets_stay_native(messy, empty):
     plan = sec.secret_spans(messy)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
