@@ -17,6 +17,9 @@ marked examples) and candidates that touch a fixed span are dropped.
 ``parts``, of the same kind, holds what these drops leave: candidates are cut at fixed spans, at UUIDs
 and at marked parts (letters and digits between separators), and what is left of 20+ characters is
 scanned like a candidate of its own. A marked part hides only itself, a fixed span only what it covers.
+Here a window of digits and letters only, with both, is judged by the class of its own characters, so a
+name or path joined to a hex value does not raise what the value's windows must reach; windows with a
+separator, mostly words and paths, stay with the class of what is scanned.
 
 Everything runs as expressions on one narrow projection: no Python, no shuffle. Cheap
 tests of the whole text go first, and only texts that pass are cut up.
@@ -49,20 +52,26 @@ ALLOWED = (r"^[^0-9]*$|^[^A-Za-z]*$"
 HIDDEN = (r"(?<![A-Za-z0-9])(?:[A-Za-z0-9]*?(?i:example|placeholder|changeme|dummy|xxxx)[A-Za-z0-9]*"
           r"|[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}(?![A-Za-z0-9]))")
 
+# Character groups that tell the class of a window; None takes what is left.
+_GROUPS = {"digit": "09", "low_hex": "af", "low": "gz", "up_hex": "AF", "up": "GZ", "other": None}
+
 
 def _c_log_c(c: Column) -> Column:
     return F.when(c > 0, c * F.log2(c.cast("double"))).otherwise(0.0)
 
 
-def strong_windows(candidate: Column, threshold: Column, window: int = WINDOW) -> Column:
+def strong_windows(candidate: Column, threshold: Column, window: int = WINDOW,
+                   own: dict[str, float] | None = None) -> Column:
     """First and last end (1-based) of the windows at or above ``threshold``; 0 if none.
 
-    State: counts by character code, sum(c log2 c), first, last. Each step adds the entering
-    character and takes the leaving one.
+    With ``own``, windows of digits and letters, with both, must reach the threshold of their own class.
+    State: counts by character code, sum(c log2 c), first, last, with ``own`` also where each
+    character group was last seen. Each step adds the entering character and takes the leaving one.
     """
     def scan(codes: Column) -> Column:
         state = F.struct(F.array_repeat(F.lit(0), 128).alias("n"), F.lit(0.0).alias("s"),
-                         F.lit(0).alias("first"), F.lit(0).alias("last"))
+                         F.lit(0).alias("first"), F.lit(0).alias("last"),
+                         *([F.struct(*[F.lit(0).alias(g) for g in _GROUPS]).alias("seen")] if own else []))
 
         def step(state: Column, i: Column) -> Column:
             enter = F.element_at(codes, i)
@@ -75,14 +84,19 @@ def strong_windows(candidate: Column, threshold: Column, window: int = WINDOW) -
                 - F.when(leave >= 0, _c_log_c(c_out) - _c_log_c(c_out - 1)).otherwise(0.0))
             counts = F.transform(state["n"], lambda c, j: c + (j == enter).cast("int") - (j == leave).cast("int"))
 
-            def judged(s: Column) -> Column:
+            def judged(s: Column, limit: Column, *seen: Column) -> Column:
                 bits = F.log2(F.lit(float(window))) - s / window
-                strong = (i >= window) & (bits >= threshold)
+                strong = (i >= window) & (bits >= limit)
                 return F.struct(counts.alias("n"), s.alias("s"),
                                 F.when(strong & (state["first"] == 0), i).otherwise(state["first"]).alias("first"),
-                                F.when(strong, i).otherwise(state["last"]).alias("last"))
+                                F.when(strong, i).otherwise(state["last"]).alias("last"), *[x.alias("seen") for x in seen])
 
-            return let(s, judged)
+            if not own:
+                return let(s, lambda s: judged(s, threshold))
+            seen = F.struct(*[F.when(enter.between(*map(ord, ends)) if ends else ~enter.between(48, 57) & ~enter.between(65, 90)
+                                     & ~enter.between(97, 122), i).otherwise(state["seen"][g]).alias(g)
+                              for g, ends in _GROUPS.items()])
+            return let(s, lambda s: let(seen, lambda x: judged(s, _own_threshold(x, i - window, threshold, own), x)))
 
         return F.aggregate(F.sequence(F.lit(1), F.size(codes)), state, step,
                            lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last")))
@@ -91,6 +105,15 @@ def strong_windows(candidate: Column, threshold: Column, window: int = WINDOW) -
     return let(F.filter(codes, lambda c: c > 0), scan)
 
 
+def _own_threshold(seen: Column, before: Column, threshold: Column, own: dict[str, float]) -> Column:
+    """Threshold of the window after ``before`` by the groups seen in it; ``threshold`` unless digits and letters, both."""
+    has = {g: seen[g] > before for g in _GROUPS}
+    lower, upper = has["low_hex"] | has["low"], has["up_hex"] | has["up"]
+    return (F.when(~has["digit"] | ~(lower | upper) | has["other"], threshold)
+             .when(~has["low"] & ~has["up"] & ~(lower & upper), own["hex"])
+             .when(~(lower & upper), own["plain"]).otherwise(own["mixed"]))
+
+
 def _threshold(candidate: Column, thresholds: dict[str, float]) -> Column:
     return (F.when(candidate.rlike("^([0-9a-f]+|[0-9A-F]+)$"), thresholds["hex"])
              .when(candidate.rlike("^([^A-Z]+|[^a-z]+)$"), thresholds["plain"]).otherwise(thresholds["mixed"]))
@@ -117,9 +140,9 @@ def secret_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         "access": F.when(text.contains("AKIA"), _spans(1, matches(text, ACCESS))).otherwise(none),
         "hex": F.when(text.rlike(HEX), _spans(2, matches(text, HEX))).otherwise(none)})
 
-    def scanned(free: Column) -> Column:
+    def scanned(free: Column, own: dict[str, float] | None = None) -> Column:
         spans = F.transform(free, lambda m: let(
-            strong_windows(m["found"], _threshold(m["found"], thresholds), window),
+            strong_windows(m["found"], _threshold(m["found"], thresholds), window, own),
             lambda w: F.struct((m["start"] + w["first"] - window).alias("start"), F.lit(3).alias("kind"),
                                (m["start"] + w["last"]).alias("end"), w["first"].alias("first"))))
         return F.transform(F.filter(spans, lambda s: s["first"] > 0), lambda s: F.struct(
@@ -131,16 +154,15 @@ def secret_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     def strong_parts(cuts: Column) -> Column:
         blank = replaced(text, cuts, lambda s: F.repeat(F.lit(" "), (s["end"] - s["start"]).cast("int")))
-        return let(blank, lambda t: scanned(F.filter(matches(t, CANDIDATE), lambda m: ~m["found"].rlike(allowed))))
+        return let(blank, lambda t: scanned(F.filter(matches(t, CANDIDATE), lambda m: ~m["found"].rlike(allowed)), thresholds))
 
     # A candidate needs a digit among its characters, which most prose lacks.
     likely = text.rlike("[0-9]") & text.rlike("(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+")
     base = F.concat("assign", "access", "hex")
     cuts = F.concat(base, F.when(text.rlike(HIDDEN), _spans(3, matches(text, HIDDEN))).otherwise(none))
-    # Without cuts the parts are the candidates themselves.
     return fixed.withColumns({
         "entropy": F.when(likely, let(base, strong)).otherwise(none),
-        "parts": F.when(likely, let(cuts, lambda c: F.when(F.size(c) > 0, strong_parts(c)).otherwise(none))).otherwise(none)})
+        "parts": F.when(likely, let(cuts, strong_parts)).otherwise(none)})
 
 
 def named(spans: Column) -> Column:
