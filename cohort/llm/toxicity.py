@@ -5,7 +5,11 @@ first four and six bytes, its last three. Filters of ``WIDTHS`` words run over t
 maximum of each filter over the whole text goes to one logistic unit (Kim, EMNLP 2014). The model is
 trained in numpy by AdaGrad on a bounded sample of labelled training documents: at most about
 ``POSITIVES`` toxic and ``NEGATIVES`` other texts of up to ``SAMPLE_BYTES`` bytes, chosen by a hash of the
-id. A fifth of the sample stays out and gives each language its threshold on the logit.
+id. A fifth of the sample stays out.
+
+Thresholds on the logit come from every labelled training text the network has not learned from, of any
+length: one pass measures the training fold, and counts by (guessed language, logit bin, label) reach the
+driver. A language with fewer than ``LEAST`` toxic or other texts among them uses the common threshold.
 
 Languages: a text's language is guessed from its own words by naive Bayes learned from the sample, never read
 from a column. The score is sigmoid(logit - threshold of the guessed language), so 0.5 is
@@ -26,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +40,8 @@ HELD_OUT, FOLDS = 0, 5
 BUCKETS, DIM = 1 << 16, 16
 WIDTHS, FILTERS = (1, 2, 3), 12
 POSITIVES, NEGATIVES, SAMPLE_BYTES = 2500, 5000, 20_000
+LEAST = 10
+BINS, BIN_LIMIT = 64, 60  # logit bins a unit, and the logit where they end
 EPOCHS, BATCH, RATE = 6, 32, 0.1
 KNOWN_WORDS = 200_000
 SECTION_WORDS = 1 << 17
@@ -188,6 +195,20 @@ def best_cut(logits: np.ndarray, labels: np.ndarray) -> float:
     return float((edges[i] + edges[i + 1]) / 2)
 
 
+def best_binned_cut(counts: dict[int, list[int]]) -> float:
+    """:func:`best_cut` from [other, toxic] counts by logit bin; cuts are edges between bins."""
+    bins = np.array(sorted(counts))
+    n = np.array([counts[b] for b in bins], np.int64)
+    above = np.concatenate((np.cumsum(n[::-1].sum(1))[::-1], [0]))
+    hit = np.concatenate((np.cumsum(n[::-1, 1])[::-1], [0]))
+    f1 = 2 * hit / np.maximum(above + n[:, 1].sum(), 1)
+    low = np.concatenate(([bins[0] - 2.0 * BINS], bins + 1.0))  # upper edge of the bin below a cut
+    high = np.concatenate((bins, [bins[-1] + 1 + 2.0 * BINS]))
+    top = np.flatnonzero(f1 >= f1.max() - 1e-9)
+    i = top[np.argmax((high - low)[top])]
+    return float((low[i] + high[i]) / 2 / BINS)
+
+
 class Model:
     """The trained network with language thresholds; scores batches of texts."""
 
@@ -287,21 +308,50 @@ class Model:
         self.cuts = np.full(len(self.names), self.cut)
         for l in range(len(self.names)):
             mine = guess == l
-            if labels[mine].sum() >= 10 and (1 - labels[mine]).sum() >= 10:
+            if labels[mine].sum() >= LEAST and (1 - labels[mine]).sum() >= LEAST:
                 self.cuts[l] = best_cut(logits[mine], labels[mine])
 
+    def binned(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(logit bin, guessed language) of every text."""
+        logits, guess = self.measured(texts)
+        return np.floor(np.clip(logits.astype(float), -BIN_LIMIT, BIN_LIMIT) * BINS).astype(np.int32), guess.astype(np.int32)
+
+    def recalibrate(self, counts: list[tuple[int, int, int, int]]) -> None:
+        """Thresholds from (guess, logit bin, label, count); without both labels they stay."""
+        def table(rows: list[tuple[int, int, int, int]]) -> dict[int, list[int]]:
+            out: dict[int, list[int]] = {}
+            for _, b, y, n in rows:
+                out.setdefault(b, [0, 0])[y] += n
+            return out
+
+        totals = lambda t: np.sum(list(t.values()), 0) if t else np.zeros(2)
+        whole = table(counts)
+        if totals(whole).min() == 0:
+            return
+        self.cut = best_binned_cut(whole)
+        self.cuts = np.full(len(self.names), self.cut)
+        for l in range(len(self.names)):
+            mine = table([r for r in counts if r[0] == l])
+            if totals(mine).min() >= LEAST:
+                self.cuts[l] = best_binned_cut(mine)
+
     def score(self, texts: list[str | None]) -> np.ndarray:
         logits, guess = self.measured(texts)
         cuts = np.append(self.cuts, self.cut)  # the last entry serves guess -1
         return sigmoid(logits.astype(float) - cuts[guess])
 
 
+def held_back(n: int) -> np.ndarray:
+    """Which of ``n`` sample rows the network does not learn from."""
+    return np.arange(n) % 5 == 0
+
+
 def fitted(rows: list[tuple[str, int, str | None]]) -> Model | float:
     """A model from (text, toxic, language) rows, or the share of toxic labels if one kind is missing."""
     labels = np.array([t for _, t, _ in rows], np.int64)
     if not len(rows) or labels.min() == labels.max():
         return float(labels.mean()) if len(rows) else 0.0
-    back = np.arange(len(rows)) % 5 == 0
+    back = held_back(len(rows))
     texts = [words(t) for t, _, _ in rows]
     learn = [t for t, b in zip(texts, back) if not b]
     y = labels[~back]
@@ -312,6 +362,29 @@ def fitted(rows: list[tuple[str, int, str | None]]) -> Model | float:
     return model
 
 
+def outside_counts(texts: DataFrame, marked: DataFrame, model: Broadcast, learned: set) -> list[tuple[int, int, int, int]]:
+    """(guess, logit bin, label, count) of all labelled training texts whose id is not in ``learned``.
+
+    Texts are measured where they are; only their ids and bins meet the labels in a join.
+    """
+    ids = texts.sparkSession.sparkContext.broadcast(learned)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, seen = model.value, ids.value
+        for b in batches:
+            for start in range(0, b.num_rows, 256):
+                part = b.slice(start, 256)
+                part = part.filter(pa.array([i not in seen for i in part.column(0).to_pylist()], pa.bool_()))
+                bins, guess = m.binned(part.column(1).to_pylist())
+                yield pa.record_batch({"doc_id": part.column(0), "bin": pa.array(bins), "guess": pa.array(guess)})
+
+    train = (texts.select("doc_id", "text").where("doc_id is not null and text is not null")
+                  .where(fold(F.col("doc_id"), FOLDS) != HELD_OUT))
+    bins = map_arrow(train, measure, f"doc_id {dict(texts.dtypes)['doc_id']}, bin int, guess int")
+    counts = bins.join(marked, "doc_id").groupBy("guess", "bin", "toxic").count()
+    return [tuple(r) for r in counts.collect()]
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | None = None, *, id_col: str = "doc_id",
              text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", carry: str | None = None) -> DataFrame:
     """``[doc_id, held_out, score, predicted]`` for every row of ``docs``.
@@ -331,13 +404,21 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | None =
         min(1.0, most[0] / max(sizes.get(0, 0), 1)))
     chosen = F.broadcast(marked.where(draw < share))  # about POSITIVES + NEGATIVES ids
     texts = pick(docs if train_docs is None else train_docs, doc_id=id_col, text=text_col, lang=lang_col)
-    rows = (texts.where(F.octet_length("text") <= SAMPLE_BYTES).join(chosen, "doc_id")
-                 .select("doc_id", "text", "toxic", "lang").collect())
-    model = spark.sparkContext.broadcast(fitted(
-        [(r["text"], r["toxic"], r["lang"]) for r in sorted(rows, key=lambda r: (str(r["doc_id"]), r["text"]))]))
+    rows = sorted(texts.where(F.octet_length("text") <= SAMPLE_BYTES).join(chosen, "doc_id")
+                       .select("doc_id", "text", "toxic", "lang").collect(), key=lambda r: (str(r["doc_id"]), r["text"]))
+    sample = [(r["text"], r["toxic"], r["lang"]) for r in rows]
+    fit = fitted(sample)
+    model = spark.sparkContext.broadcast(fit)  # one for both passes, so workers hold one set of known words
+    if isinstance(fit, Model):
+        learned = {r["doc_id"] for r, b in zip(rows, held_back(len(rows))) if not b}
+        fit.recalibrate(outside_counts(texts, marked, model, learned))
+    cuts = (fit.cuts, fit.cut) if isinstance(fit, Model) else None
+    del rows, sample, fit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
+        if cuts is not None:
+            m.cuts, m.cut = cuts
         for b in batches:
             for start in range(0, b.num_rows, 256):
                 part = b.slice(start, 256)

@@ -135,6 +135,52 @@ def test_toxicity_learns_and_whole_texts_count(monkeypatch):
     assert np.allclose(m.score([clean, bad, long_bad, "", None, " "]), a, atol=1e-5)
 
 
+def test_toxicity_thresholds_come_from_all_labelled_texts(spark, monkeypatch):
+    """A language with few toxic texts in the sample, many outside it and some above its length, has its own cut."""
+    rng, rows, own = random.Random(4), [], ["der", "hund", "und", "die", "katze", "gehen", "heute", "nach", "haus"]
+    for i in range(1200):
+        de = i % 10 == 0
+        w = [rng.choice(own) for _ in range(30)] if de else prose(i, 30).split()
+        bad = rng.random() < 0.4
+        if bad:
+            w.insert(rng.randrange(30), rng.choice(["scum", "idiotic!", "moron"]))
+        if i % 50 == 0:
+            w += [rng.choice(own) for _ in range(100)]
+        rows.append((i, " ".join(w), "de" if de else "en", int(bad)))
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    monkeypatch.setattr(tox, "POSITIVES", 120)
+    monkeypatch.setattr(tox, "NEGATIVES", 150)
+    monkeypatch.setattr(tox, "SAMPLE_BYTES", 400)
+    calls, outside, set_cuts = [], tox.outside_counts, tox.Model.recalibrate
+    monkeypatch.setattr(tox, "outside_counts", lambda *a: calls.append(len(a[3])) or outside(*a))
+    monkeypatch.setattr(tox.Model, "recalibrate", lambda m, counts: calls.extend((m, counts)) or set_cuts(m, counts))
+    got = {r["doc_id"]: r for r in tox.toxicity(docs, labels).collect()}
+    learned, fit, counts = calls
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % tox.FOLDS != tox.HELD_OUT]
+    assert sum(n for *_, n in counts) == len(train) - learned and any(len(r[1]) > 400 for r in train)
+    de = fit.names.index("de")
+    sums = [sum(n for g, _, y, n in counts if g == de and y == k) for k in (0, 1)]
+    assert min(sums) >= tox.LEAST
+    mine = {}
+    for g, b, y, n in counts:
+        if g == de:
+            mine.setdefault(b, [0, 0])[y] += n
+    assert fit.cuts[de] == tox.best_binned_cut(mine)
+    assert sum(got[r[0]]["predicted"] == r[3] for r in rows) >= 0.95 * len(rows)
+
+
+def test_toxicity_cut_from_bins_equals_the_cut_from_logits():
+    rng = np.random.default_rng(3)
+    y = (rng.random(400) < 0.3).astype(int)
+    x = np.floor((rng.normal(0, 1, 400) + 2.5 * y) * tox.BINS)
+    counts = {}
+    for b, k in zip(x, y):
+        counts.setdefault(int(b), [0, 0])[k] += 1
+    f1 = lambda c: 2 * (y[x >= c * tox.BINS].sum()) / ((x >= c * tox.BINS).sum() + y.sum())
+    assert f1(tox.best_binned_cut(counts)) == max(f1(b / tox.BINS) for b in {*x, x.max() + 1})
+
+
 def test_toxicity_defined_results(spark, messy, empty):
     labels = lambda rows: spark.createDataFrame(rows, "doc_id long, toxic int, TOXIC int")
     for rows, score in (([], 0.0), ([(1, 1, 0), (1, 0, 0), (2, 1, 0), (None, 0, 0), (9, None, 0)], None)):
