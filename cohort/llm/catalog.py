@@ -4,13 +4,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort.llm import bpe
+from cohort.llm import bpe, sentence_pieces
+from cohort.llm.centroid_clustering import cluster_vectors, with_inertia
 from cohort.llm.class_lm import class_lm_scores
 from cohort.llm.contamination import contamination
 from cohort.llm.language_id import language_id
 from cohort.llm.near_duplicates import near_duplicates
 from cohort.llm.pseudonyms import KINDS, pseudonymised
 from cohort.llm.secret_scan import named, secret_spans, strong_spans
+from cohort.llm.token_alignment import align, token_alignment
 from cohort.llm.token_counts import token_counts
 from cohort.llm.topk import top_inner_products
 from cohort.llm.toxicity import toxicity
@@ -84,6 +86,56 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *map(count, KINDS), "text")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after ten rounds from eight hashed starts."""
+    return with_inertia(*cluster_vectors(read_table(spark, sf_dir, "embeddings")))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned token groups and link counts of every document under two tokenizers."""
+    aligned = align(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                    tokenizer_path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return token_alignment(aligned.select("doc_id", "n_a", "n_b", F.col("n_links").alias("n_groups"), "n_links", digest,
+                                          "links"))
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's piece ids and of their decoding."""
+    both = sentence_pieces.encode(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"),
+                                  decoded=True)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def _centroid_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds of the clustering query, one pair of steps each."""
+    nearest = """a{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT v.r, s.c, CAST(list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(v.e, s.e)]) AS BIGINT) AS d
+        FROM v, c{i} s) GROUP BY r)"""
+    moved = """m{i} AS (
+  SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS e
+  FROM (SELECT c, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+        FROM (SELECT a{j}.c, unnest(v.e) AS x, generate_subscripts(v.e, 1) AS pos FROM v JOIN a{j} USING (r)) GROUP BY c, pos)
+  GROUP BY c),
+c{i} AS MATERIALIZED (SELECT c{j}.c, coalesce(m{i}.e, c{j}.e) AS e FROM c{j} LEFT JOIN m{i} ON m{i}.c = c{j}.c)"""
+    steps = ["""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+  FROM embeddings WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)""",
+             f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h NULLS LAST) - 1 AS c, e
+  FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS h, e FROM v ORDER BY h NULLS LAST LIMIT {k}))""",
+             nearest.format(i=0)]
+    for i in range(1, rounds + 1):
+        steps += [moved.format(i=i, j=i - 1), nearest.format(i=i)]
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, a.d AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(s.e, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (r) JOIN c{rounds} s ON s.c = a.c"""
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_near_duplicates": op2_near_duplicates,
@@ -95,6 +147,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_pseudonyms": op10_pseudonyms,
+    "op11_centroids": op11_centroids,
+    "op12_alignment": op12_alignment,
+    "op13_pieces": op13_pieces,
 }
 
 SQL = {
@@ -145,4 +200,5 @@ s AS (
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_centroids": _centroid_sql(),
 }
