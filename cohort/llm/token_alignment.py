@@ -31,7 +31,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -42,16 +42,82 @@ from pyspark.sql import functions as F
 
 from cohort.llm.bpe import _WS, byte_characters
 from cohort.llm.common import groups, map_arrow, pick, written
-from cohort.llm.sentence_pieces import MARK, packed, piece_table
+from cohort.llm.sentence_pieces import MARK, piece_table
 
 BATCH_CHARS = 2 << 20
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 64 << 20
+ENCODED_WORDS = 256  # words encoded in one go
+ROWS = 512  # rows whose texts are Python strings at once
 LANE_WORDS = 256
 FREQUENT = 1 << 19  # pairs whose counts are broadcast, 17 bytes each
 HELD_LINKS = 4 << 20  # links a task counts at once
 _CUT = re.compile(f"(?<=[^{_WS}{MARK}]) (?=[^{_WS}{MARK}])")
 
 
+class Numbers(dict):
+    """Word -> number in order of first look-up; new words are noted."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
+def taken(pool: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Runs of ``pool`` laid end to end."""
+    before = np.cumsum(counts) - counts
+    return pool[np.repeat(starts - before, counts) + np.arange(int(counts.sum()))]
+
+
+class Side:
+    """One tokenizer's ids of all numbered words, end to end."""
+
+    def __init__(self, tokens: list[bytes], encode: Callable[[list[str]], list[list[int]]], together: bool):
+        """``encode`` gives the ids of blank+text; ``together`` if it is faster for words joined to one text."""
+        self.tokens, self.encode, self.together = tokens, encode, together
+        self.length = np.array([len(t) for t in tokens], np.int64)
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    def add(self, words: list[str], spaced: set[str]) -> np.ndarray:
+        """Append the words' ids; returns whether each word's tokens spell it.
+
+        Words in ``spaced`` start or end with white space and are never encoded beside others.
+        """
+        found = [self._encoded(g, self.together and spaced.isdisjoint(g))
+                 for g in (words[i:i + ENCODED_WORDS] for i in range(0, len(words), ENCODED_WORDS))]
+        ids, counts, spelt = zip(*found)
+        self.ids = np.concatenate((self.ids, *ids))
+        self.counts = np.concatenate((self.counts, *counts))
+        self.starts = np.cumsum(self.counts) - self.counts
+        return np.concatenate(spelt)
+
+    def _encoded(self, words: list[str], together: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, tokens of each word, whether they spell it) of a group of words.
+
+        Joined words end where a token does, so byte ends give the words back.
+        """
+        text = " ".join(words)
+        sizes = np.array(list(map(len, words) if text.isascii() else map(len, map(str.encode, words)))) + 1
+        each = self.encode([text] if together else words)
+        ids = np.fromiter(chain.from_iterable(each), np.uint32)
+        ends = np.cumsum(self.length[ids])
+        if b"".join(map(self.tokens.__getitem__, ids.tolist())) == b" " + text.encode():
+            last = np.searchsorted(ends, np.cumsum(sizes))
+            counts = np.diff(last + 1, prepend=0)
+            if together or np.array_equal(counts, list(map(len, each))):
+                return ids, counts, np.ones(len(words), bool)
+        if together:
+            return self._encoded(words, False)
+        spelt = [b"".join(map(self.tokens.__getitem__, x)) == b" " + w.encode() for w, x in zip(words, each)]
+        return ids, np.array(list(map(len, each)), np.int64), np.array(spelt)
+
+
 class WordIds:
     """Ids of blank+word by both tokenizers, each distinct word encoded once per worker process."""
 
@@ -63,70 +129,62 @@ class WordIds:
         split = spec.get("pre_tokenizer") or {}
         plain = (spec.get("normalizer") is None and split.get("type") == "ByteLevel"
                  and not split.get("add_prefix_space") and split.get("use_regex", True))
-        self.a = Tokenizer.from_file(a_path)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
-        self.b = piece_table(b_path)
-        self.separable = plain and self.b.separable
+        tokenizer = Tokenizer.from_file(a_path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        tokenizer.encode_special_tokens = True
         byte_of = {c: b for b, c in enumerate(byte_characters())}
-        self.a_bytes: list[bytes] = [b""] * self.a.get_vocab_size()
-        for token, i in self.a.get_vocab(with_added_tokens=False).items():
-            self.a_bytes[i] = bytes(byte_of[c] for c in token)
-        self.b_bytes = [t or b"" for t in self.b.tokens]
-        lengths = lambda tokens: np.array([len(t) for t in tokens], np.int64)
-        self.a_length, self.b_length = lengths(self.a_bytes), lengths(self.b_bytes)
+        a_tokens: list[bytes] = [b""] * tokenizer.get_vocab_size()
+        for token, i in tokenizer.get_vocab(with_added_tokens=False).items():
+            a_tokens[i] = bytes(byte_of[c] for c in token)
+        pieces = piece_table(b_path)
+        self.separable = plain and pieces.separable
+        self.a = Side(a_tokens, lambda texts: [e.ids for e in tokenizer.encode_batch_fast(
+            [" " + t for t in texts], add_special_tokens=False)], together=True)
+        self.b = Side([t or b"" for t in pieces.tokens], lambda texts: pieces.model.encode(texts, num_threads=1),
+                      together=False)
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, tuple[bytes, bytes]] = {}
-        self.differs: set[str] = set()  # words whose tokens do not spell them
-        self.size = 0
-
-    def learn(self, words: set[str]) -> None:
-        if self.size > CACHE_BYTES:
-            self.clear()
-        new = list(words.difference(self.known))
-        a = packed([e.ids for e in self.a.encode_batch_fast([" " + w for w in new], add_special_tokens=False)])
-        b = self.b.segment(new)
-        data = [b" " + w.encode() for w in new]
-        for ids, tokens, length in ((a, self.a_bytes, self.a_length), (b, self.b_bytes, self.b_length)):
-            if not self._spell_all(ids, tokens, length, data):
-                self.differs.update(w for w, x, d in zip(new, ids, data) if self._spelt(tokens, x) != d)
-        self.known.update(zip(new, zip(a, b)))
-        self.size += sum(map(len, new)) + sum(map(len, a)) + sum(map(len, b)) + 300 * len(new)
-
-    @staticmethod
-    def _spelt(tokens: list[bytes], ids: bytes) -> bytes:
-        return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
-    def _spell_all(self, ids: list[bytes], tokens: list[bytes], length: np.ndarray, data: list[bytes]) -> bool:
-        """Whether every word's tokens spell it: same joined bytes and the same end of each word."""
-        joined = b"".join(ids)
-        ends = np.concatenate(([0], np.cumsum(length[np.frombuffer(joined, "<u4")])))
-        ends = ends[np.cumsum(list(map(len, ids)), dtype=np.int64) // 4]
-        return (np.array_equal(ends, np.cumsum(list(map(len, data)), dtype=np.int64))
-                and self._spelt(tokens, joined) == b"".join(data))
+        self.numbers, self.spelt, self.size = Numbers(), np.empty(0, bool), 0
+        self.a.clear()
+        self.b.clear()
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Encode the words of ``texts`` noted as new. Only a text's first and last word can have outer white space."""
+        new = self.numbers.new
+        if not new:
+            return
+        spaced = {w for t in texts if t for w in (t[0], t[-1]) if w[0].isspace() or w[-1].isspace() or MARK in w[0] + w[-1]
+                  or not self.separable}
+        self.spelt = np.concatenate((self.spelt, self.a.add(new, spaced) & self.b.add(new, spaced)))
+        self.size += sum(map(len, new)) + 220 * len(new)
+        self.numbers.new = []
 
     def lanes(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of A and of B, tokens of A and B per lane, and each lane's text.
 
         Texts whose tokens do not spell them have no lane.
         """
+        if self.size > CACHE_BYTES:
+            self.clear()
         words = [(_CUT.split(t) if self.separable else [t]) if t else [] for t in texts]
-        self.learn(set(chain.from_iterable(words)))
-        a, b, owner = [], [], []
-        for i, w in enumerate(words):
-            if self.differs and not self.differs.isdisjoint(w):
-                continue
-            for at in range(0, len(w), LANE_WORDS):
-                x, y = zip(*map(self.known.__getitem__, w[at:at + LANE_WORDS]))
-                a.append(b"".join(x))
-                b.append(b"".join(y))
-                owner.append(i)
-        count = lambda lanes: np.array([len(x) // 4 for x in lanes], np.int64)
-        return (np.frombuffer(b"".join(a), "<u4"), np.frombuffer(b"".join(b), "<u4"), count(a), count(b),
-                np.array(owner, np.int64))
+        sizes = np.array(list(map(len, words)), np.int64)
+        number = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
+        self.learn(words)
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        wrong = np.unique(owner[~self.spelt[number]])
+        if len(wrong):
+            sizes[wrong] = 0
+            fine = ~np.isin(owner, wrong)
+            number, owner = number[fine], owner[fine]
+        place = np.arange(len(number)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        first = np.flatnonzero(place % LANE_WORDS == 0)  # word that starts a lane
+        a_count, b_count = self.a.counts[number], self.b.counts[number]
+        if not len(first):
+            return (np.empty(0, np.uint32),) * 2 + (np.empty(0, np.int64),) * 3
+        return (taken(self.a.ids, self.a.starts[number], a_count), taken(self.b.ids, self.b.starts[number], b_count),
+                np.add.reduceat(a_count, first), np.add.reduceat(b_count, first), owner[first])
 
 
 def merge(a_ends: np.ndarray, b_ends: np.ndarray, a_count: np.ndarray, b_count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,9 +210,11 @@ def merge(a_ends: np.ndarray, b_ends: np.ndarray, a_count: np.ndarray, b_count:
             p, q, last = p[going], q[going], last[going]
     if not at_a:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    a, b = np.concatenate(at_a), np.concatenate(at_b)
-    order = np.argsort(a, kind="stable")
-    return a[order], b[order]
+    # Links in text order: both positions rise from link to link.
+    a, b = np.zeros(len(a_ends), bool), np.zeros(len(b_ends), bool)
+    a[np.concatenate(at_a)] = True
+    b[np.concatenate(at_b)] = True
+    return np.flatnonzero(a), np.flatnonzero(b)
 
 
 class GroupWriter:
@@ -184,13 +244,13 @@ class GroupWriter:
 @lru_cache(maxsize=1)
 def _tools(a_path: str, b_path: str) -> tuple[WordIds, GroupWriter]:
     ids = WordIds(a_path, b_path)
-    return ids, GroupWriter(len(ids.a_bytes), len(ids.b_bytes))
+    return ids, GroupWriter(len(ids.a.tokens), len(ids.b.tokens))
 
 
 def aligned_batch(texts: list[str | None], ids: WordIds, writer: GroupWriter) -> tuple[list[int], list[int], list[str], list[bytes]]:
     """Per text: tokens of A, tokens of B, groups, links as little-endian ``a << 32 | b``."""
     a, b, a_count, b_count, owner = ids.lanes(texts)
-    at_a, at_b = merge(np.cumsum(ids.a_length[a]), np.cumsum(ids.b_length[b]), a_count, b_count)
+    at_a, at_b = merge(np.cumsum(ids.a.length[a]), np.cumsum(ids.b.length[b]), a_count, b_count)
     links = (a[at_a].astype("<u8") << np.uint64(32)) | b[at_b]
     n_a = np.bincount(owner, a_count, len(texts)).astype(np.int64)
     n_b = np.bincount(owner, b_count, len(texts)).astype(np.int64)
@@ -212,7 +272,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, *, id_col: str = "doc_id",
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, writer = _tools(a_path, b_path)
-        for batch in batches:
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             texts = batch.column(1).to_pylist()
             for start, n in groups(texts, BATCH_CHARS):
                 n_a, n_b, text, links = aligned_batch(texts[start:start + n], ids, writer)
