@@ -44,14 +44,14 @@ from cohort.llm.bpe import _WS, byte_characters
 from cohort.llm.common import groups, map_arrow, pick, written
 from cohort.llm.sentence_pieces import MARK, piece_table
 
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 20
 CACHE_BYTES = 64 << 20
 ENCODED_WORDS = 256  # words encoded in one go
 ROWS = 512  # rows whose texts are Python strings at once
 LANE_WORDS = 256
 FREQUENT = 1 << 19  # pairs whose counts are broadcast, 17 bytes each
-HELD_LINKS = 4 << 20  # links a task counts at once
-_CUT = re.compile(f"(?<=[^{_WS}{MARK}]) (?=[^{_WS}{MARK}])")
+HELD_LINKS = 2 << 20  # links a task counts at once
+_CUT = re.compile(f" (?<=[^{_WS}{MARK}] )(?=[^{_WS}{MARK}])")
 
 
 class Numbers(dict):
@@ -337,7 +337,9 @@ def scored(aligned: DataFrame, counts: DataFrame, *, frequent: int = FREQUENT) -
                 b = batch.slice(i, 256)
                 pairs, sizes = _rows_of_links(b.column(b.num_columns - 1))
                 row = np.repeat(np.arange(b.num_rows), sizes)
-                at = np.minimum(np.searchsorted(known, pairs), max(0, len(known) - 1))
+                order = np.argsort(pairs)  # sorted look-ups stay in the processor's caches
+                at = np.empty(len(pairs), np.int64)
+                at[order] = np.minimum(np.searchsorted(known, pairs[order]), max(0, len(known) - 1))
                 hit = known[at] == pairs if len(known) else np.zeros(len(pairs), bool)
                 at, of = at[hit], row[hit]
                 sums = np.zeros(b.num_rows, np.int64)
