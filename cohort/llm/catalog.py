@@ -185,7 +185,7 @@ dw AS (
 hits AS (SELECT doc_id, i, dw.k, item FROM dw JOIN bw ON dw.k = bw.k AND dw.gram = bw.gram),
 pos AS (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS p FROM hits),
 n AS (SELECT doc_id, count(*) AS n_hit FROM pos GROUP BY 1),
-it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+it AS (SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items
        FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY 1)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256,

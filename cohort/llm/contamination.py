@@ -14,7 +14,8 @@ already found, so any benchmark size works with the same memory.
 
 Defined results: null, empty or word-free texts have no words and no hits; items
 without words (null too) have no windows; a word counts once however many windows
-cover it; repeated rows each give a row; repeated items count once per ``item_id``;
+cover it; repeated rows each give a row; repeated items count once per ``item_id``; windows
+of items without an id hit words but name no item;
 ``items_sha256`` of no item is the hash of the empty string.
 """
 from __future__ import annotations
@@ -74,14 +75,15 @@ def rolled(ids: np.ndarray, width: int) -> np.ndarray:
 class Windows:
     """The windows of one block of test items."""
 
-    def __init__(self, items: list[tuple[str, str | None]], width: int):
+    def __init__(self, items: list[tuple[str | None, str | None]], width: int):
         self.vocabulary: dict[bytes, int] = {}
         by_length: dict[int, dict[tuple, set[str]]] = {}
         for item, text in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words(text)]
             k = min(width, len(ids))
             for i in range(len(ids) - k + 1 if k else 0):
-                by_length.setdefault(k, {}).setdefault(tuple(ids[i:i + k]), set()).add(item)
+                by_length.setdefault(k, {}).setdefault(tuple(ids[i:i + k]), set()).update(
+                    () if item is None else (item,))
         self.lengths = []
         for k, found in sorted(by_length.items()):
             keys = np.array(list(found), dtype=np.int64).reshape(len(found), k)
@@ -172,7 +174,7 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "
     keep = ["doc_id"] + ["row"] * bool(carry)
     src = src.withColumns({"spans": F.lit(None).cast(SPANS), "items": F.lit(None).cast("array<string>")})
     items = (pick(benchmark, item=item_col, text=item_text_col)
-             .where("item is not null and text is not null").withColumn("item", F.col("item").cast("string")))
+             .where("text is not null").withColumn("item", F.col("item").cast("string")))
     size = items.agg(F.sum(F.octet_length("text") + 50)).first()[0] or 0
     blocks = -(-size // block_bytes) or 1
     dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))

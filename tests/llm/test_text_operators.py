@@ -84,13 +84,13 @@ def brute_contamination(docs, items, width=13):
         for item, text in items:
             b = cut(text)
             k = min(width, len(b))
-            if item is None or not k:
+            if not k:
                 continue
             grams = {tuple(b[j:j + k]) for j in range(len(b) - k + 1)}
             for j in range(len(w) - k + 1):
                 if tuple(w[j:j + k]) in grams:
                     hit.update(range(j, j + k))
-                    found.add(str(item))
+                    found.update([] if item is None else [str(item)])
         out.append((i, len(w), len(hit), len(found), sorted(found), bool(hit) and 20 * len(hit) >= len(w)))
     return sorted(out, key=str)
 
@@ -103,6 +103,8 @@ def test_contamination_equals_brute_force(spark, messy, block_bytes):
     got = con.contamination(messy, bench, block_bytes=block_bytes).collect()
     assert sorted((tuple(r) for r in got), key=str) == brute_contamination(messy_rows(), items)
     assert sum(r["contaminated"] for r in got) >= 3
+    unnamed = {r["doc_id"]: r for r in got}[12]  # holds the item without an id
+    assert unnamed["n_hit"] >= 20 and unnamed["contaminated"]
 
 
 def test_contamination_with_nothing_to_do(spark, messy, empty):
