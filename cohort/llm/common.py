@@ -5,12 +5,16 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort.session import ensure_checkpoint_dir
 
+# Size of the bitmaps of hashed ids that tasks filter by, 4 MB whatever the number of ids.
+BITMAP_BITS = 1 << 25
+
 # Bytes of text handled at once inside a task: longer texts are cut between words.
 SECTION_BYTES = 4 << 20
 
@@ -38,11 +42,6 @@ def whole_row(df: DataFrame) -> tuple[DataFrame, str]:
     return plain.withColumn(name, F.struct(*plain.columns)).toDF(*df.columns, name), name
 
 
-def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The original columns from ``row``, in order, whatever their names."""
-    return df.select(*[F.col(f"row._c{i}").alias(c) for i, c in enumerate(columns)])
-
-
 def fold(id_col: Column, modulus: int) -> Column:
     """``crc32(id as text) mod modulus``; a null id falls into fold -1."""
     return F.coalesce(F.crc32(id_col.cast("string")) % modulus, F.lit(-1))
@@ -71,6 +70,44 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` as a written table with one more column that tells all its rows apart, and that column's name."""
+    uid = "uid"
+    while uid in {c.lower() for c in docs.columns}:
+        uid += "_"
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))]).withColumn("_uid", F.monotonically_increasing_id())
+    return written(plain, name).toDF(*docs.columns, uid), uid
+
+
+def without(table: DataFrame, lost: DataFrame) -> DataFrame:
+    """Rows of a :func:`numbered` table whose number is not in ``lost[uid]``, with the columns it had before."""
+    n = len(table.columns) - 1
+    plain = table.toDF(*[f"_c{i}" for i in range(n)], "uid")
+    return plain.join(lost, "uid", "left_anti").select(*[f"_c{i}" for i in range(n)]).toDF(*table.columns[:n])
+
+
+def bit_of(column: Column | str) -> Column:
+    """Place of an id in a bitmap of hashed ids."""
+    return F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS))
+
+
+def id_bitmap(bits: DataFrame) -> bytes:
+    """Bitmap of the places in ``bits[bit]``, built in one aggregation; 4 MB."""
+    # The bitmap functions count positions from 1 within buckets of 32768 bits.
+    parts = (bits.groupBy(F.bitmap_bucket_number(F.col("bit") + 1).alias("bucket"))
+                 .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit") + 1)).alias("bits")).collect())
+    bitmap = bytearray(BITMAP_BITS // 8)
+    for p in parts:
+        at = (p["bucket"] - 1) * 4096
+        bitmap[at:at + 4096] = p["bits"]
+    return bytes(bitmap)
+
+
+def bitmap_bits(bitmap: bytes) -> np.ndarray:
+    """The bitmap as truth values by place."""
+    return np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").view(bool)
+
+
 def groups(texts: list[str | None], limit: int) -> Iterator[tuple[int, int]]:
     """(start, length) of consecutive groups of about ``limit`` characters."""
     start = held = 0

@@ -40,13 +40,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohort.llm.common import groups, map_arrow, pick, written
+from cohort.llm.common import bit_of, bitmap_bits, groups, id_bitmap, map_arrow, pick, written
 from cohort.operators.graph import connected_components
 
 SHINGLE = 4
 BANDS, ROWS = 40, 5
 BATCH_CHARS = 2 << 20
-BITMAP_BITS = 1 << 25
 _U = np.uint64
 
 
@@ -133,24 +132,12 @@ def sketch_table(docs: DataFrame, width: int, n_bands: int, rows: int) -> DataFr
     return map_arrow(docs, run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, key binary, bands array<long>")
 
 
-def _bit(column) -> F.Column:
-    return F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS))
-
-
 def compared_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """``[key, shingles]`` of at least the texts whose id is in ``ids[id]``; other texts are skipped unread."""
-    b = ids.select(_bit("id").alias("bit"))
-    # The bitmap functions count positions from 1 within buckets of 32768 bits.
-    parts = (b.groupBy(F.bitmap_bucket_number(F.col("bit") + 1).alias("bucket"))
-              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit") + 1)).alias("bits")).collect())
-    bitmap = bytearray(BITMAP_BITS // 8)
-    for p in parts:
-        at = (p["bucket"] - 1) * 4096
-        bitmap[at:at + 4096] = p["bits"]
-    shared = docs.sparkSession.sparkContext.broadcast(bytes(bitmap))
+    shared = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids.select(bit_of("id").alias("bit"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little").view(bool)
+        bits = bitmap_bits(shared.value)
         for b in batches:
             for _, tokens in _words(iter([b.filter(pa.array(bits[b.column(2).to_numpy()]))])):
                 tokens = [w for w in tokens if w]
@@ -158,7 +145,7 @@ def compared_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                 yield pa.record_batch({"key": pa.array(map(_key, tokens), pa.binary()),
                                        "shingles": pa.array(found, pa.list_(pa.int64()))})
 
-    src = docs.where("doc_id is not null and text is not null").withColumn("bit", _bit("doc_id"))
+    src = docs.where("doc_id is not null and text is not null").withColumn("bit", bit_of("doc_id"))
     return map_arrow(src, run, "key binary, shingles array<long>").dropDuplicates(["key"])
 
 

@@ -34,7 +34,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohort.llm.common import fold, map_arrow, pick
+from cohort.llm.common import bit_of, bitmap_bits, fold, id_bitmap, map_arrow, pick
 
 HELD_OUT, FOLDS = 0, 5
 BUCKETS, DIM = 1 << 16, 16
@@ -43,7 +43,7 @@ POSITIVES, NEGATIVES, SAMPLE_BYTES = 2500, 5000, 20_000
 LEAST = 10
 BINS, BIN_LIMIT = 64, 60  # logit bins a unit, and the logit where they end
 EPOCHS, BATCH, RATE = 6, 32, 0.1
-KNOWN_WORDS = 200_000
+KNOWN_BYTES, WORD_BYTES = 96 << 20, 480  # word memory, and what a word takes beside its own bytes
 SECTION_WORDS = 1 << 17
 _FEATURES = 4
 _PAD = WIDTHS[-1] - 1
@@ -220,23 +220,26 @@ class Model:
     def reset(self) -> None:
         places = sum(WIDTHS)
         self.number: dict[bytes, int] = {}
+        self.size = 0
         self.proj = np.zeros((1, places, FILTERS), np.float32)
         self.lang = np.zeros((1, self.table.shape[1]), np.float32)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("number", "proj", "lang")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("number", "size", "proj", "lang")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
         self.reset()
 
     def learn(self, seen: set[bytes]) -> None:
-        """Project unseen words; the memory is emptied when it holds ``KNOWN_WORDS``."""
+        """Project unseen words; the memory is emptied before it passes ``KNOWN_BYTES``."""
         new = [w for w in seen if w not in self.number]
-        if len(self.number) + len(new) > KNOWN_WORDS and self.number:
+        cost = lambda words: sum(map(len, words)) + WORD_BYTES * len(words)
+        if self.number and self.size + cost(new) > KNOWN_BYTES:
             self.reset()
             new = list(seen)
         if new:
+            self.size += cost(new)
             rows = np.array([features(w) for w in new], np.int64)
             self.number.update(zip(new, range(len(self.proj), len(self.proj) + len(new))))
             self.proj = np.concatenate((self.proj, self.net.projected(self.net.vectors(rows))))
@@ -365,13 +368,17 @@ def fitted(rows: list[tuple[str, int, str | None]]) -> Model | float:
 def outside_counts(texts: DataFrame, marked: DataFrame, model: Broadcast, learned: set) -> list[tuple[int, int, int, int]]:
     """(guess, logit bin, label, count) of all labelled training texts whose id is not in ``learned``.
 
-    Texts are measured where they are; only their ids and bins meet the labels in a join.
+    Texts are measured where they are; only their ids and bins meet the labels in a join. A bitmap of
+    the labelled ids, of fixed size, lets the scan skip nearly all texts without a label.
     """
-    ids = texts.sparkSession.sparkContext.broadcast(learned)
+    sc = texts.sparkSession.sparkContext
+    ids = sc.broadcast((learned, id_bitmap(marked.select(bit_of("doc_id").alias("bit")))))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, seen = model.value, ids.value
+        m, (seen, bitmap) = model.value, ids.value
+        labelled = bitmap_bits(bitmap)
         for b in batches:
+            b = b.filter(pa.array(labelled[b.column(2).to_numpy()]))
             for start in range(0, b.num_rows, 256):
                 part = b.slice(start, 256)
                 part = part.filter(pa.array([i not in seen for i in part.column(0).to_pylist()], pa.bool_()))
@@ -379,7 +386,7 @@ def outside_counts(texts: DataFrame, marked: DataFrame, model: Broadcast, learne
                 yield pa.record_batch({"doc_id": part.column(0), "bin": pa.array(bins), "guess": pa.array(guess)})
 
     train = (texts.select("doc_id", "text").where("doc_id is not null and text is not null")
-                  .where(fold(F.col("doc_id"), FOLDS) != HELD_OUT))
+                  .where(fold(F.col("doc_id"), FOLDS) != HELD_OUT).withColumn("bit", bit_of("doc_id")))
     bins = map_arrow(train, measure, f"doc_id {dict(texts.dtypes)['doc_id']}, bin int, guess int")
     counts = bins.join(marked, "doc_id").groupBy("guess", "bin", "toxic").count()
     return [tuple(r) for r in counts.collect()]
