@@ -6,10 +6,13 @@ contraction of Kiveris et al. (SoCC 2014). Each round is two
 component diameter instead of the diameter itself (label propagation needs
 one round per hop, so a long chain never finishes in a fixed budget).
 
-Skew: a hub node with a large share of the edges is handled by map-side
-partial aggregation in the per-node ``groupBy`` and by AQE's skew-join
-splitting on the edge side of the join back to the per-node table (one row
-per node). No step collects a node's neighbourhood into one task.
+Skew: a node whose edges are ``1 / HUB_SHARE`` of all edges or more is a hub; by
+that definition there are at most ``2 * HUB_SHARE`` of them, whatever the graph.
+Values of hubs reach their edges by a broadcast of that bounded list, so a hub's
+edges stay where they are; the other edges meet the node table in a shuffle
+where no key can hold more than that share. This does not depend on AQE or its
+thresholds. Minima and degrees per node are summed on the map side first. No step
+collects a node's neighbourhood into one task.
 
 Lineage is cut every round with reliable checkpoints of the node table and
 the edge set (see ``cohort.session.materialize``); only the short-lived
@@ -28,6 +31,9 @@ from pyspark.sql import functions as F
 from cohort.session import materialize
 
 DEFAULT_MAX_ROUNDS = 100
+# A hub has at least one in ``HUB_SHARE`` of all edges, and no fewer than ``HUB_LEAST``.
+HUB_SHARE = 1024
+HUB_LEAST = 512
 
 
 def symmetrize(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -37,17 +43,49 @@ def symmetrize(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     return edges.select(F.explode(pair).alias("e")).select("e.u", "e.v")
 
 
+def hub_limit(n_edges: int) -> int:
+    """Least degree of a hub: at most ``2 * HUB_SHARE`` nodes of ``n_edges`` edges reach it."""
+    return max(HUB_LEAST, -(-n_edges // HUB_SHARE))
+
+
+def at_nodes(rows: DataFrame, key: str, table: DataFrame, limit: int | None) -> DataFrame:
+    """``rows`` joined with the columns of ``table`` (one row per ``key``, with its ``degree`` in rows).
+
+    ``limit`` is None if no key has :func:`hub_limit` rows: a plain join. Otherwise keys of ``limit`` rows or more are looked up in a broadcast of those few table rows, all others
+    in a shuffled join. ``rows`` is read twice and should be a written or cached table.
+    """
+    if limit is None:
+        return rows.join(table.drop("degree"), key)
+    hubs = F.broadcast(table.where(F.col("degree") >= limit).drop("degree"))
+    others = table.where(F.col("degree") < limit).drop("degree")
+    light = rows.join(hubs.select(key), key, "left_anti").join(others, key)
+    return rows.join(hubs, key).unionByName(light)
+
+
+def _endpoints(e: DataFrame, values: DataFrame, a: str, b: str) -> DataFrame:
+    """``[u, degree, ...]`` of every endpoint of ``e``, with the columns of ``values[u, ...]`` (null if absent)."""
+    ends = symmetrize(e, a, b).groupBy("u").agg(F.count(F.lit(1)).alias("degree"))
+    return ends.join(values, "u", "left")
+
+
 def canonical_edges(nodes: DataFrame, edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """Distinct undirected edges as ``[hi, lo]`` (``hi > lo``).
+    """Distinct undirected edges as ``[hi, lo]`` (``hi > lo``), a written table.
 
     Self-loops are dropped, duplicates and reversed copies collapse, and an
     edge with an endpoint that is not a node is dropped (it never bridges).
     """
-    ids = nodes.select(F.col("id"))
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where(F.col("a") != F.col("b"))
-    e = (e.join(ids.withColumnRenamed("id", "a"), "a", "left_semi")
-          .join(ids.withColumnRenamed("id", "b"), "b", "left_semi"))
-    return e.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
+    e = materialize(e.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
+    ids = nodes.select(F.col("id").alias("u")).distinct().withColumn("known", F.lit(True))
+    ends = materialize(_endpoints(e, ids, "hi", "lo"))
+    row = ends.agg(F.sum("degree").alias("n"), F.count_if(F.col("known").isNull()).alias("unknown")).first()
+    if not row["unknown"]:
+        return e
+    limit = hub_limit(row["n"] // 2)
+    for end in ("hi", "lo"):
+        known = ends.select(F.col("u").alias(end), "degree", "known")
+        e = materialize(at_nodes(e, end, known, limit).where("known").select("hi", "lo"))
+    return e
 
 
 def _node_stats(e: DataFrame) -> DataFrame:
@@ -59,25 +97,27 @@ def _node_stats(e: DataFrame) -> DataFrame:
         F.count_if(F.col("v") > F.col("u")).alias("n_gt"))
 
 
-def _large_star(e: DataFrame, stats: DataFrame) -> DataFrame:
+def _large_star(e: DataFrame, stats: DataFrame, limit: int | None) -> DataFrame:
     """Link every neighbour larger than u to min(u, N(u))."""
-    sym = symmetrize(e, "hi", "lo").where(F.col("v") > F.col("u"))
-    mu = stats.select("u", F.least(F.col("u"), F.col("m")).alias("mu"))
-    return (sym.join(mu, "u")
-               .select(F.col("v").alias("hi"), F.col("mu").alias("lo"))
-               .distinct())
+    up = symmetrize(e, "hi", "lo").where(F.col("v") > F.col("u"))
+    mu = stats.select("u", F.least(F.col("u"), F.col("m")).alias("mu"), (F.col("n_lt") + F.col("n_gt")).alias("degree"))
+    return at_nodes(up, "u", mu, limit).select(F.col("v").alias("hi"), F.col("mu").alias("lo")).distinct()
 
 
-def _small_star(e: DataFrame) -> DataFrame:
-    """Link u and every neighbour smaller than u to the minimum of them."""
+def _small_star(e: DataFrame, minima: DataFrame, limit: int | None) -> DataFrame:
+    """Link u and every neighbour smaller than u to the minimum of them, ``minima[u, m, degree]``."""
     down = e.select(F.col("hi").alias("u"), F.col("lo").alias("v"))          # v < u
-    m = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = (down.join(m, "u").where(F.col("v") != F.col("m"))
-                 .select(F.col("v").alias("hi"), F.col("m").alias("lo")))
-    anchor = m.select(F.col("u").alias("hi"), F.col("m").alias("lo"))
+    moved = (at_nodes(down, "u", minima, limit).where(F.col("v") != F.col("m"))
+             .select(F.col("v").alias("hi"), F.col("m").alias("lo")))
+    anchor = minima.select(F.col("u").alias("hi"), F.col("m").alias("lo"))
     return moved.unionByName(anchor).distinct()
 
 
+def _smaller(e: DataFrame) -> DataFrame:
+    """``[u, m, degree]``: least of the smaller neighbours and their number."""
+    return e.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m"), F.count(F.lit(1)).alias("degree"))
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, *, id_col: str = "id",
                          src: str = "src", dst: str = "dst",
                          max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
@@ -89,22 +129,23 @@ def connected_components(nodes: DataFrame, edges: DataFrame, *, id_col: str = "i
     labelling silently).
     """
     ids = nodes.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull()).distinct()
-    e = materialize(canonical_edges(ids, edges, src, dst))
+    e = canonical_edges(ids, edges, src, dst)
     for _ in range(max_rounds):
-        # The node table is written reliably (one row per node, much smaller
-        # than the edges). Read back from files it has no known partitioning,
-        # so the large-star join shuffles *both* sides and AQE can split a
-        # hub node's partition; a cached table would keep its hash
-        # partitioning and pin a hub's edges to one task.
+        # One row per node, written: it is read by the test below and by the large star.
         stats = materialize(_node_stats(e))
         not_star = ((F.col("n_lt") > 0) & (F.col("n_gt") > 0)) | (F.col("n_lt") >= 2)
-        if stats.agg(F.count_if(not_star).alias("n")).first()["n"] == 0:
+        row = stats.agg(F.count_if(not_star).alias("open"), F.sum("n_gt").alias("n"), F.max("n_lt").alias("most_lt"),
+                        F.max("n_gt").alias("most_gt")).first()
+        if row["open"] == 0:
             break
-        # The large-star output lives only until the small-star step reads
-        # it, so it is cached; the new edge set is written reliably, which
-        # bounds recomputation after an executor loss to one round.
-        large = _large_star(e, stats).persist(StorageLevel.MEMORY_AND_DISK)
-        e = materialize(_small_star(large))
+        # The large-star output lives only until the small-star step reads it,
+        # so it is cached; the new edge set is written reliably, which bounds
+        # recomputation after an executor loss to one round. A node has no more
+        # smaller neighbours after the large star than before it.
+        limit = hub_limit(row["n"])
+        hub_up, hub_down = (limit if row[c] >= limit else None for c in ("most_gt", "most_lt"))
+        large = _large_star(e, stats, hub_up).persist(StorageLevel.MEMORY_AND_DISK)
+        e = materialize(_small_star(large, _smaller(large), hub_down))
         large.unpersist()
     else:
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
@@ -127,11 +168,15 @@ def merge_components(labels: DataFrame, edges: DataFrame, src: str = "src", dst:
     components is the minimum member id of the union.
     """
     lab = labels.select("id", "component")
-    cs = lab.select(F.col("id").alias(src), F.col("component").alias("_cs"))
-    cd = lab.select(F.col("id").alias(dst), F.col("component").alias("_cd"))
-    links = (edges.select(src, dst).join(cs, src).join(cd, dst)
-             .where(F.col("_cs") != F.col("_cd"))
-             .select(F.col("_cs").alias("src"), F.col("_cd").alias("dst")))
+    e = materialize(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where(F.col("a") != F.col("b")))
+    ends = materialize(_endpoints(e, lab.withColumnRenamed("id", "u"), "a", "b").where("component is not null"))
+    row = ends.agg(F.sum("degree").alias("n"), F.max("degree").alias("most")).first()
+    limit = hub_limit(row["n"] or 0)
+    limit = limit if (row["most"] or 0) >= limit else None
+    for end, c in (("a", "src"), ("b", "dst")):
+        at = ends.select(F.col("u").alias(end), "degree", F.col("component").alias(c))
+        e = materialize(at_nodes(e, end, at, limit))
+    links = e.where("src != dst").select("src", "dst")
     comps = lab.select(F.col("component").alias("id")).distinct()
     merged = connected_components(comps, links, max_rounds=max_rounds)
     return (lab.join(merged.select(F.col("id").alias("component"), F.col("component").alias("_m")), "component")

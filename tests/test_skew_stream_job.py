@@ -2,6 +2,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohort import job
@@ -59,27 +60,35 @@ def test_campaign_job_writes_tables_and_metrics(spark):
     assert m["p_best"] > 0.5
 
 
-def test_large_star_join_lets_aqe_split_a_hub(spark):
-    """With lowered skew thresholds, the hub's partition must be split by AQE."""
+def _most_in_a_task(df):
+    """(rows, rows of the fullest partition) of a plan's last step before any further exchange."""
+    n = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return sum(n), max(n)
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_hub_edges_stay_spread_with_and_without_aqe(spark, adaptive):
+    """Half of all edges at one node: no task of the look-up joins gets them, with AQE or without."""
     from cohort.session import materialize
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false",
-            "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": adaptive,
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}  # small tables would become one task
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        nodes = spark.range(20000).select("id")
-        edges = spark.range(20000).where("id != 7").select(F.lit(7).cast("long").alias("src"),
-                                                           F.col("id").alias("dst"))
-        e = materialize(graph_mod.canonical_edges(nodes, edges))
+        star = spark.range(20000).where("id != 7").select(F.lit(7).cast("long").alias("src"), F.col("id").alias("dst"))
+        path = spark.range(20000).select((F.col("id") + 20000).alias("src"), (F.col("id") - F.col("id") % 4 + 20000).alias("dst"))
+        edges = star.unionByName(path).repartition(8)
+        e = materialize(graph_mod.canonical_edges(spark.range(40000).select("id"), edges))
         stats = materialize(graph_mod._node_stats(e))
-        plan = graph_mod._large_star(e, stats)._jdf.queryExecution().executedPlan()
-        plan.execute().count()
-        assert "skew=true" in plan.toString().split("== Initial Plan ==")[0]
+        limit = graph_mod.hub_limit(e.count())
+        up = graph_mod.symmetrize(e, "hi", "lo").where("v > u")
+        mu = stats.select("u", F.least("u", "m").alias("mu"), (F.col("n_lt") + F.col("n_gt")).alias("degree"))
+        total, most = _most_in_a_task(graph_mod.at_nodes(up, "u", mu, limit))
+        assert total == up.count() and most < 0.25 * total
+        assert stats.where(F.col("n_lt") + F.col("n_gt") >= limit).count() <= 2 * graph_mod.HUB_SHARE
+        comp = graph_mod.connected_components(spark.range(40000).select("id"), edges)
+        assert comp.where("component != if(id < 20000, 0, id - id % 4)").count() == 0 and comp.count() == 40000
     finally:
         for k, v in old.items():
             if v is None:
@@ -88,6 +97,14 @@ def test_large_star_join_lets_aqe_split_a_hub(spark):
                 spark.conf.set(k, v)
 
 
+def test_look_up_at_nodes_equals_a_join(spark):
+    rows = spark.createDataFrame([(i % 3 if i % 2 else i, i) for i in range(400)], "k long, v long")
+    table = rows.groupBy("k").agg(F.count(F.lit(1)).alias("degree"), F.max("v").alias("m")).where("k != 4")
+    want = sorted(map(tuple, rows.join(table.drop("degree"), "k").collect()))
+    for limit in (1, 2, 50, 1000):
+        assert sorted(map(tuple, graph_mod.at_nodes(rows, "k", table, limit).collect())) == want
+
+
 def _hot_ip(spark, n=30000):
     return spark.range(n).select(F.col("id").alias("device_id"), F.lit("ip").alias("signal_type"),
                                  F.when(F.col("id") % 3 == 0, F.lit("hot"))
