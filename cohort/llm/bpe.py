@@ -36,8 +36,8 @@ from pyspark.sql import DataFrame
 from cohort.llm.common import groups, map_arrow, pick
 
 BATCH_CHARS = 6 << 20
-CACHE_BYTES = 128 << 20
-PAIRS = 1 << 20
+CACHE_BYTES = 64 << 20
+PAIRS = 1 << 18
 # White space as the split pattern of the vocabulary counts it (Unicode White_Space).
 _WS = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _CHUNKS = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")

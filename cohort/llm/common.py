@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 from cohort.session import ensure_checkpoint_dir
 
+# Bytes of an Arrow batch, and the session's setting for it.
+BATCH_BYTES = 8 << 20
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 # Size of the bitmaps of hashed ids that tasks filter by, 4 MB whatever the number of ids.
 BITMAP_BITS = 1 << 25
 
@@ -54,7 +58,14 @@ def fold_of(doc_id: int | None, modulus: int) -> int:
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
-    """``mapInArrow`` under a short name."""
+    """``mapInArrow`` with batches bounded by bytes.
+
+    Spark counts rows only (10,000 by default), which for texts is any number of bytes, held by the JVM
+    and by the worker. The bound is a setting of the session; one that the user has set stays.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(ARROW_BYTES, None) is None:
+        conf.set(ARROW_BYTES, str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 
