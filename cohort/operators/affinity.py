@@ -5,10 +5,13 @@ Events are summed per (device, category) first, so what meets the device
 table afterwards is cells, not events. That join both gates (devices without
 consent are not in it) and brings the owner.
 
-Vectors are positional: a device's vector is one ``array<double>`` over the
-category list, built in one ``groupBy``. The list comes from the data when none
-is given. Cosines are unrolled sums over the positions, which stay inside
-generated code.
+Vectors over a short category list are positional: one ``array<double>`` over
+the list, built in one ``groupBy``; cosines are unrolled sums over the positions,
+which stay inside generated code. Beyond ``MAX_POSITIONS`` categories a device's
+vector is the sparse list of its own categories, and a cosine merges two such
+lists in one expression, so any number of categories works with memory by what a
+device has, and no category list is collected. Both forms add up in the order
+of the categories and give the same cosines.
 """
 from __future__ import annotations
 
@@ -21,8 +24,8 @@ from pyspark.sql import functions as F
 
 from cohort.constants import CATS, CLICK_WEIGHT
 
-# More categories than this are not unrolled into one vector column.
-MAX_POSITIONS = 1024
+# More categories than this are not unrolled into one vector column but kept as sparse lists.
+MAX_POSITIONS = 64
 
 
 def weight_expr(clicks, impressions) -> F.Column:
@@ -84,14 +87,12 @@ def person_affinity(events: DataFrame, devices: DataFrame, cats: Sequence[str] =
     return owners.join(wide, "person_id", "left").na.fill(0.0, subset=list(cats))
 
 
-def categories(events: DataFrame) -> list[str]:
-    """The observed categories in order. Positional vectors need a short list: more than
-    ``MAX_POSITIONS`` raise (one row over the limit is read, never the whole list)."""
+def categories(events: DataFrame) -> list[str] | None:
+    """The observed categories in order, or None if there are more than ``MAX_POSITIONS``
+    (one row over the limit is read, never the whole list)."""
     rows = (events.where(F.col("content_cat").isNotNull()).select("content_cat").distinct()
                   .limit(MAX_POSITIONS + 1).collect())
-    if len(rows) > MAX_POSITIONS:
-        raise ValueError(f"more than {MAX_POSITIONS} content categories; use the long form")
-    return sorted(r["content_cat"] for r in rows)
+    return sorted(r["content_cat"] for r in rows) if len(rows) <= MAX_POSITIONS else None
 
 
 def unit_vectors_long(events: DataFrame, key: str = "device_id") -> DataFrame:
@@ -107,9 +108,12 @@ def unit_vectors_long(events: DataFrame, key: str = "device_id") -> DataFrame:
 def unit_vectors(events: DataFrame, key: str = "device_id", cats: Sequence[str] | None = None) -> DataFrame:
     """``[key, u array<double>]``: L2-normalised weight vector over ``cats``.
 
-    Without ``cats`` the positions are the observed categories.
+    Without ``cats`` the positions are the observed categories; too many of them raise
+    (use :func:`sparse_vectors`).
     """
     cats = categories(events) if cats is None else list(cats)
+    if cats is None or len(cats) > MAX_POSITIONS:
+        raise ValueError(f"more than {MAX_POSITIONS} content categories; use sparse_vectors")
     position = F.create_map(*[x for i, c in enumerate(cats) for x in (F.lit(c), F.lit(i))]) if cats else None
     at = position[F.col("content_cat")] if cats else F.lit(None).cast("int")
     e = events.select(key, at.alias("_at"), "click")
@@ -129,29 +133,57 @@ def dot(a: str, b: str, positions: int) -> F.Column:
     return F.coalesce(reduce(add, products, F.lit(0.0)), F.lit(0.0))
 
 
+def sparse_vectors(events: DataFrame, key: str = "device_id") -> DataFrame:
+    """``[key, u array<struct<k, u>>]``: the L2-normalised weights of a key's own categories, in their order."""
+    long = unit_vectors_long(events.where(F.col("content_cat").isNotNull()), key).where(F.col("u").isNotNull())
+    cell = F.struct(F.col("content_cat").alias("k"), "u")
+    return long.groupBy(key).agg(F.sort_array(F.collect_list(cell)).alias("u"))
+
+
+def sparse_dot(a: str, b: str) -> F.Column:
+    """Dot product of two sparse vectors; 0.0 when either is null or nothing is shared.
+
+    Both lists are laid together and sorted, so cells of the same category stand side by side: time
+    n log n in the cells of the two, whatever the number of categories.
+    """
+    cells_of = F.array_sort(F.concat(F.col(a), F.col(b)))
+    pairs = F.transform(F.array(cells_of), lambda c: F.zip_with(
+        F.slice(c, F.lit(1), F.greatest(F.size(c) - 1, F.lit(0))), F.slice(c, F.lit(2), F.size(c)),
+        lambda x, y: F.when(x["k"] == y["k"], x["u"] * y["u"]).otherwise(0.0)))[0]
+    return F.coalesce(F.aggregate(pairs, F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0))), F.lit(0.0))
+
+
 def device_profiles(devices: DataFrame, events: DataFrame, cats: Sequence[str] | None = None) -> DataFrame:
-    """``[device_id, device_type, person_id, u]``; devices without events keep ``u = null``."""
+    """``[device_id, device_type, person_id, u]``; devices without events keep ``u = null``.
+
+    Without ``cats``, or with more than ``MAX_POSITIONS`` of them in the events, vectors are sparse as needed.
+    """
     known = devices.select("device_id", "device_type", "person_id")
-    return known.join(unit_vectors(events, "device_id", cats), "device_id", "left")
+    cats = categories(events) if cats is None else list(cats)
+    vectors = sparse_vectors(events) if cats is None else unit_vectors(events, "device_id", cats)
+    return known.join(vectors, "device_id", "left")
 
 
-def pair_features(cands: DataFrame, profiles: DataFrame, positions: int) -> DataFrame:
+def pair_features(cands: DataFrame, profiles: DataFrame, positions: int | None = None) -> DataFrame:
     """Candidate pairs with ``cosine``, ``same_type`` and the truth ``label``.
 
     Each endpoint's profile is attached as one struct, then compared. ``positions`` is the length of
-    ``u``. ``label`` is for training and evaluation only.
+    a positional ``u`` and not needed for sparse ones. ``label`` is for training and evaluation only.
     """
+    sparse = "struct" in dict(profiles.dtypes)["u"]
+
     def attach(pairs: DataFrame, end: str) -> DataFrame:
         side = profiles.select(F.col("device_id").alias(end),
                                F.struct("device_type", "person_id", "u").alias(f"{end}_profile"))
         return pairs.join(side, end)
 
     both = attach(attach(cands.select("src", "dst"), "src"), "dst")
+    ends = ("src_profile.u", "dst_profile.u")
 
     def equal(field: str) -> F.Column:
         return (F.col(f"src_profile.{field}") == F.col(f"dst_profile.{field}")).cast("double")
 
-    return both.select("src", "dst", dot("src_profile.u", "dst_profile.u", positions).alias("cosine"),
+    return both.select("src", "dst", (sparse_dot(*ends) if sparse else dot(*ends, positions)).alias("cosine"),
                        equal("device_type").alias("same_type"), equal("person_id").alias("label"))
 
 

@@ -67,14 +67,17 @@ def candidates_from(pairs: DataFrame) -> DataFrame:
 
 
 def candidate_features(g: Gated, pairs: DataFrame | None = None, max_block: int | dict = blocking.MAX_BLOCK,
-                       profiles: DataFrame | None = None) -> DataFrame:
-    """IP-blocked pairs not already linked, with behavioural features."""
+                       profiles: DataFrame | None = None, cats: list[str] | None = None) -> DataFrame:
+    """IP-blocked pairs not already linked, with behavioural features.
+
+    Positional ``profiles`` come with the ``cats`` they were built from.
+    """
     if pairs is None:
         pairs = linked_pairs(g, max_block)
-    cats = affinity.categories(g.all_events)
     if profiles is None:
+        cats = affinity.categories(g.all_events)
         profiles = affinity.device_profiles(g.devices, g.all_events, cats)
-    return affinity.pair_features(candidates_from(pairs), profiles, len(cats))
+    return affinity.pair_features(candidates_from(pairs), profiles, None if cats is None else len(cats))
 
 
 @dataclass
@@ -107,8 +110,9 @@ def resolve_identities(persons: DataFrame, devices: DataFrame, signals: DataFram
     g = Gated(materialize(g0.devices), g0.signals, g0.events, events)
     pairs = materialize(linked_pairs(g, max_block))
     det = deterministic_from(pairs)
-    profiles = materialize(affinity.device_profiles(g.devices, g.all_events))
-    feat = candidate_features(g, pairs, max_block, profiles)
+    cats = affinity.categories(g.all_events)  # listed once, for the vectors and for their comparison
+    profiles = materialize(affinity.device_profiles(g.devices, g.all_events, cats))
+    feat = candidate_features(g, pairs, max_block, profiles, cats)
     m = matcher.train_matcher(feat)
     prob = materialize(matcher.accepted_edges(m))
     det_labels = materialize(graph.connected_components(g.nodes, blocking.star_edges(g.signals)))

@@ -121,3 +121,43 @@ def test_pseudonym_of_a_null_part_is_null(spark):
     n = spark.createDataFrame([(4_000_000_000,), (3_999_999_999,), (0,), (1,)], "n long").select(choose2("n")).collect()
     assert [r[0] for r in n] == [k * (k - 1) // 2 for k in (4_000_000_000, 3_999_999_999, 0, 1)]
 
+
+
+def test_sparse_cosines_equal_brute_force_for_any_number_of_categories(spark, monkeypatch):
+    import random
+    rng = random.Random(3)
+    rows = [(d, f"c{rng.randrange(5000 if d % 2 else 40):04d}", rng.randrange(2)) for d in range(30) for _ in range(400)]
+    rows += [(100, f"c{i:05d}", 1) for i in range(5000)] + [(101, None, 1)]
+    ev = spark.createDataFrame(rows, "device_id long, content_cat string, click int")
+    ids = [*range(30), 100, 101, 102]
+    dev = spark.createDataFrame([(i, i // 2, "tv") for i in ids], "device_id long, person_id long, device_type string")
+    pairs = spark.createDataFrame([(a, b) for a in ids for b in ids if a < b], "src long, dst long")
+    assert affinity.categories(ev) is None
+    profiles = affinity.device_profiles(dev, ev)
+    weight = {}
+    for d, c, k in rows:
+        if c is not None:
+            weight.setdefault(d, {}).setdefault(c, 0)
+            weight[d][c] += 3 * k + 1
+    norm = {d: sum(x * x for x in w.values()) ** 0.5 for d, w in weight.items()}
+    want = {(a, b): sum(weight[a][c] * weight[b].get(c, 0) for c in weight[a]) / norm[a] / norm[b]
+            if a in weight and b in weight else 0.0 for a in ids for b in ids if a < b}
+    assert {(r.src, r.dst): r.cosine for r in affinity.pair_features(pairs, profiles).collect()} == pytest.approx(want)
+
+
+def test_sparse_and_positional_resolutions_agree(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from cohort.plans import identity
+    from cohort.plans.catalog import _gated
+    from conftest import SF001
+    g = _gated(spark, SF001)
+    many = g.all_events.withColumn("content_cat", F.concat_ws("_", "content_cat", F.pmod(F.xxhash64("device_id"), F.lit(500))))
+    assert affinity.categories(many) is None and many.select("content_cat").distinct().count() > 400
+    same = identity.Gated(g.devices, g.signals, g.events, many)
+    dense = {(r.src, r.dst): r.cosine for r in identity.candidate_features(g).collect()}
+    wide = {(r.src, r.dst): r.cosine for r in identity.candidate_features(same).collect()}
+    assert dense.keys() == wide.keys() and len(identity.fixed_resolution(same)) == 3
+    monkeypatch.setattr(affinity, "MAX_POSITIONS", 3)
+    sparse = {(r.src, r.dst): r.cosine for r in identity.candidate_features(g).collect()}
+    assert sparse == pytest.approx(dense)
