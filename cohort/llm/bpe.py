@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame
 
 from cohort.llm.common import groups, map_arrow, pick
 
-BATCH_CHARS = 6 << 20
-CACHE_BYTES = 64 << 20
+BATCH_CHARS = 3 << 20
+CACHE_BYTES = 24 << 20
 PAIRS = 1 << 18
 # White space as the split pattern of the vocabulary counts it (Unicode White_Space).
 _WS = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -193,6 +193,11 @@ class TrieEncoder:
         flush()
         return [b"".join(x) for x in out]
 
+    def forget(self) -> None:
+        """Empty the memory, as at the end of a task: the worker process may serve other stages next."""
+        self.known, self.size = {}, 0
+        self.fits.clear()
+
     def decode(self, ids: bytes) -> str:
         tokens = self.vocabulary.tokens
         return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
@@ -233,6 +238,7 @@ def encode(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text
                 if decoded:
                     out["decoded"] = pa.array(map(enc.decode, ids), pa.string())
                 yield pa.record_batch(out)
+        enc.forget()
 
     src = pick(docs, doc_id=id_col, text=text_col)
     more = ", decoded string" if decoded else ""

@@ -43,7 +43,7 @@ POSITIVES, NEGATIVES, SAMPLE_BYTES = 2500, 5000, 20_000
 LEAST = 10
 BINS, BIN_LIMIT = 64, 60  # logit bins a unit, and the logit where they end
 EPOCHS, BATCH, RATE = 6, 32, 0.1
-KNOWN_BYTES, WORD_BYTES = 64 << 20, 480  # word memory, and what a word takes beside its own bytes
+KNOWN_BYTES, WORD_BYTES = 40 << 20, 480  # word memory, and what a word takes beside its own bytes
 SECTION_WORDS = 1 << 17
 _FEATURES = 4
 _PAD = WIDTHS[-1] - 1
