@@ -8,7 +8,9 @@ rounded the same way on both sides, last.
 """
 from __future__ import annotations
 
-from cohort.constants import CATS, MAX_BLOCK
+from cohort.constants import CATS, FALLBACK_THRESHOLD, MATCHER_FEATURES, MAX_BLOCK, PRECISION_TARGET
+from cohort.operators.logistic import DIGITS, PLACES
+from cohort.operators.propensity import FEATURES as PROPENSITY
 from cohort.plans.identity import FIXED_COEFFICIENTS, FIXED_THRESHOLD
 from cohort.sources.fixtures import fx_cte
 
@@ -205,14 +207,16 @@ feat AS (select c.src, c.dst, coalesce(v.cosine, 0.0) as cosine,
 FIXED = f"""
 acc AS (select src, dst from feat
         where 1 / (1 + exp(-({FIXED_COEFFICIENTS['intercept']} + {FIXED_COEFFICIENTS['cosine']} * round(cosine, 9)
-                             + {FIXED_COEFFICIENTS['same_type']} * same_type))) >= {FIXED_THRESHOLD}),
+                             + {FIXED_COEFFICIENTS['same_type']} * same_type))) >= {FIXED_THRESHOLD})"""
+
+FULL = """
 fsym AS (select a, b from sym union all select src, dst from acc union all select dst, src from acc),
 freach(id, comp) AS (select device_id, device_id from gdev
                      union
                      select s.b, r.comp from freach r join fsym s on s.a = r.id),
 fcc AS (select id, min(comp) as component from freach group by id)"""
 
-SQL["resolve_identities_fixed"] = _with(FX_ID, GATE, DET, IP, NEW, CC, UV, FEAT, FIXED) + "select id, component from fcc"
+SQL["resolve_identities_fixed"] = _with(FX_ID, GATE, DET, IP, NEW, CC, UV, FEAT, FIXED, FULL) + "select id, component from fcc"
 
 
 def _prf_of(labels: str, variant: str) -> str:
@@ -227,7 +231,7 @@ from (select *, case when predicted_pairs > 0 then tp / predicted_pairs else 0.0
                    (select sum({c2('n')}) from (select count(*) as n from gdev group by person_id))::BIGINT as true_pairs))"""
 
 
-SQL["identity_ablation_fixed"] = (_with(FX_ID, GATE, DET, IP, NEW, CC, UV, FEAT, FIXED) + _prf_of("cc", "deterministic_only")
+SQL["identity_ablation_fixed"] = (_with(FX_ID, GATE, DET, IP, NEW, CC, UV, FEAT, FIXED, FULL) + _prf_of("cc", "deterministic_only")
                                   + " union all " + _prf_of("fcc", "deterministic_plus_probabilistic"))
 
 SQL["affinity_long"] = _with(FX_ID, GATE, PEV) + "select person_id, content_cat, w from paff"
@@ -291,6 +295,82 @@ select count(*) as n,
                    + (1 - label) * ln(1 - least(greatest(cosine, 1e-15), 1 - 1e-15)))), 6) as log_loss
 from feat"""
 
+# ----------------------------- logistic regression ------------------------ #
+
+NEWTON_STEPS = 12
+
+
+def newton_ctes(name: str, rows: str, features: list[str], steps: int = NEWTON_STEPS) -> str:
+    """CTEs that fit ``label`` in ``rows``; the last, ``{name}``, holds ``b``: intercept, then coefficients.
+
+    Each step sums gradient and Hessian and reduces the system by Gauss-Jordan in a recursive CTE.
+    """
+    x = ["1.0"] + [f"{f}::DOUBLE" for f in features]
+    d = len(x)
+    ctes = [f"{name}0 AS (select [{', '.join(['0.0::DOUBLE'] * d)}] as b)"]
+    for t in range(steps):
+        z = " + ".join(f"b[{i + 1}] * {c}" for i, c in enumerate(x))
+        matrix = ", ".join("[" + ", ".join([f"sum(p * (1 - p) * {a} * {c})" for c in x] + [f"sum((label - p) * {a})"]) + "]"
+                           for a in x)
+        ctes += [
+            f"{name}p{t} AS (select r.*, 1 / (1 + exp(-({z}))) as p from {rows} r, {name}{t})",
+            f"{name}h{t} AS (select [{matrix}] as m from {name}p{t})",
+            f"""{name}g{t}(k, m) AS (select 0, m from {name}h{t} union all
+  select k + 1, list_transform(range(1, {d + 1}), lambda i: case when i = k + 1
+    then list_transform(m[k + 1], lambda v: v / m[k + 1][k + 1])
+    else list_transform(range(1, {d + 2}), lambda j: m[i][j] - m[i][k + 1] / m[k + 1][k + 1] * m[k + 1][j]) end)
+  from {name}g{t} where k < {d})""",
+            f"{name}{t + 1} AS (select list_transform(range(1, {d + 1}), lambda i: b[i] + m[i][{d + 1}]) as b "
+            f"from {name}g{t}, {name}{t} where k = {d})"]
+    stated = f"list_transform(b, lambda v: format('{{:.{DIGITS}g}}', v)::DOUBLE)"
+    ctes.append(f"{name} AS (select {stated} as b from {name}{steps})")
+    return ",\n".join(ctes)
+
+
+def _probability(features: list[str]) -> str:
+    z = " + ".join([f"b[{i + 2}] * {f}" for i, f in enumerate(features)])
+    return f"round(1 / (1 + exp(-(b[1] + {z}))), {PLACES})"
+
+
+MATCH = f"""
+pairs AS (select src, dst, round(cosine, {PLACES}) as cosine, same_type, label,
+                 case when {bucket_sql('split', "concat(src, ':', dst)")} < 70 then 'train' else 'test' end as split
+          from feat),
+mtrain AS (select * from pairs where split = 'train'),
+""" + newton_ctes("mfit", "mtrain", MATCHER_FEATURES) + f""",
+mscored AS (select src, dst, {_probability(MATCHER_FEATURES)} as p, label, split from pairs, mfit),
+mgroups AS (select p, count_if(label = 1) as pos, count(*) as n from mscored where split = 'test' group by 1),
+mcum AS (select p, sum(pos) over (order by p desc) / sum(n) over (order by p desc) as prec from mgroups),
+mthr AS (select coalesce(min(p), {FALLBACK_THRESHOLD}) as threshold from mcum where prec >= {PRECISION_TARGET})"""
+
+SQL["matcher_scores"] = _with(*FEAT_ALL, MATCH) + "select src, dst, p, label, split from mscored"
+
+SQL["matcher_report"] = _with(*FEAT_ALL, MATCH) + "".join(
+    f"select 'coef_{f}' as metric, b[{i + 2}] as value from mfit union all " for i, f in enumerate(MATCHER_FEATURES)) + """
+select 'intercept', b[1] from mfit union all
+select 'operating_threshold', threshold from mthr union all
+select 'n_pairs', count(*)::DOUBLE from pairs union all
+select 'auc', round((select sum(case when a.p > c.p then 1.0 when a.p = c.p then 0.5 else 0.0 end)
+                     from mscored a join mscored c on a.label = 1 and c.label <> 1 and a.split = 'test' and c.split = 'test')
+                    / (count_if(label = 1) * count_if(label <> 1)), 6) from mscored where split = 'test'"""
+
+LEARNED = "acc AS (select src, dst from mscored, mthr where p >= threshold)"
+
+SQL["resolve_identities"] = _with(FX_ID, GATE, DET, IP, NEW, CC, UV, FEAT, MATCH, LEARNED, FULL) + "select id, component from fcc"
+
+SQL["identity_ablation"] = (_with(FX_ID, GATE, DET, IP, NEW, CC, UV, FEAT, MATCH, LEARNED, FULL) + _prf_of("cc", "deterministic_only")
+                            + " union all " + _prf_of("fcc", "deterministic_plus_probabilistic"))
+
+SQL["propensity_lr"] = _with(FX_ID, GATE, PEV, WIDE, f"""
+pfeat AS (select w.*, p.age, p.income_z, p.recency_days, p.converted_true::DOUBLE as label,
+                 case when {bucket_sql('split', 'w.person_id')} < 70 then 'train' else 'test' end as split
+          from wide w join fx_persons p using (person_id)
+          where coalesce(p.gdpr_consent, false) and not coalesce(p.ccpa_opt_out, true)),
+ptrain AS (select * from pfeat where split = 'train'),
+""" + newton_ctes("pfit", "ptrain", PROPENSITY)) + f"""
+select person_id, 'logistic_regression' as model, {_probability(PROPENSITY)} as score, label
+from pfeat, pfit where split = 'test'"""
+
 SQL["ctr_baseline"] = _with(FX_ID, GATE, f"""
 tr AS (select e.click::DOUBLE as label from gev e join gdev d using (device_id)
        where {bucket_sql('split', 'e.event_id')} < 70),
@@ -358,8 +438,8 @@ ranked AS (select *, row_number() over (order by score desc, person_id) as rank,
                   greatest(1, floor(count(*) over () * 0.2))::BIGINT as k from pool)"""
 
 SQL["ratings"] = _with(FX_ID, GATE, PEV, LK) + """
-select person_id::INTEGER as user, cast(substr(content_cat, 5) as integer) as item, weight::FLOAT as rating
-from inter"""
+select person_id::INTEGER as user, (dense_rank() over (order by content_cat) - 1)::INTEGER as item, weight::FLOAT as rating
+from inter where content_cat is not null"""
 
 SQL["seed_holdout"] = _with(FX_ID, GATE, PEV, LK) + "select person_id, role from roles"
 
