@@ -17,8 +17,9 @@ thresholds) and the d x d moment matrix pass through the driver. Which blocks me
 out on block summaries; payloads then follow in two equi-joins.
 
 Defined results: vectors that are null or hold a null or non-finite component, and rows without an
-id, take no part; shorter vectors are padded with zeros; of rows that repeat an id the
-one with the least vector counts; an empty table gives no rows; scores beyond 64 bits raise.
+id, take no part; shorter vectors are padded with zeros; rows that repeat an id all stay: each is
+a candidate of its own for other ids, and rows of one query id share its ranks; an empty table gives no
+rows; scores beyond 64 bits raise.
 """
 from __future__ import annotations
 
@@ -40,14 +41,13 @@ _BLOCK = "block long, ids binary, vectors binary, longest double"
 
 
 def cleaned(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """``[id, v, norm2]``: whole-number components as doubles (exact), one row per id."""
+    """``[id, v, norm2]``: whole-number components as doubles (exact)."""
     src = pick(vectors, id=id_col, v=vector_col)
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     ok = src.where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(F.forall("v", finite))
     # rint of floor keeps doubles: floor() itself would cut to 64 bits.
     whole = lambda x: F.rint(x.cast("double") * scale - F.pmod(x.cast("double") * scale, F.lit(1.0)))
-    one = ok.groupBy("id").agg(F.min("v").alias("v"))
-    return (one.select("id", F.transform("v", whole).alias("v"))
+    return (ok.select("id", F.transform("v", whole).alias("v"))
                .withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
 
 

@@ -13,18 +13,13 @@ from cohort.llm.pseudonyms import WRITERS, pseudonymised
 
 def brute_topk(rows, k=5, every=50):
     import math
-    table = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        if i not in table or v < table[i]:
-            table[i] = v
-    whole = {i: [math.floor(256 * x) for x in v] for i, v in table.items()}
+    table = [(i, [math.floor(256 * x) for x in v]) for i, v in rows
+             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in whole:
-        if q % every == 0:
-            s = sorted((-sum(a * b for a, b in zip(whole[q], w)), i) for i, w in whole.items() if i != q)[:k]
-            out += [(q, r + 1, i, -x) for r, (x, i) in enumerate(s)]
+    for q in {i for i, _ in table if i % every == 0}:
+        # Rows of one query id share its ranks; every row of another id is a candidate.
+        s = sorted((-sum(a * b for a, b in zip(v, w)), i) for p, v in table if p == q for i, w in table if i != q)[:k]
+        out += [(q, r + 1, i, -x) for r, (x, i) in enumerate(s)]
     return sorted(out)
 
 
@@ -37,7 +32,8 @@ def test_topk_equals_brute_force(spark, monkeypatch, block):
     rows = [(i, [rng.gauss(0, 1) * s for _ in range(6)]) for i in range(-50, 260) for s in [rng.choice([0.1, 1, 3])]]
     rows += [(500 + i, [0.5, 0.25, 0.0, 0.0, 1.0, -1.0]) for i in range(30)]  # ties
     rows += [(600, None), (601, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (602, [float("nan")] * 6), (603, [float("inf")] * 6), (None, [1.0] * 6),
-             (700, []), (750, [0.0] * 6), (100, [9.0] * 6), (100, [9.0] * 6), (800, [1.5, 2.0]), (850, [100000.0] * 6)]
+             (700, []), (750, [0.0] * 6), (100, [9.0] * 6), (100, [9.0] * 6), (800, [1.5, 2.0]), (850, [100000.0] * 6),
+             (801, [90000.0] * 6), (801, [90000.0] * 6), (801, [80000.0] * 6), (150, [-3.0] * 6)]  # ids that repeat
     df = spark.createDataFrame([(i, v, [0.0]) for i, v in rows], "vec_id long, embedding array<float>, EMBEDDING array<double>")
     got = sorted(map(tuple, topk.top_inner_products(df).collect()))
     import numpy as np
