@@ -25,6 +25,8 @@ Everything runs as expressions on one narrow projection: no Python, no shuffle.
 tests of the whole text go first, and only texts that pass are cut up.
 
 Defined results: null and empty texts have no spans; repeated rows each give a row; offsets are code points.
+Very long texts with very many spans take time in proportion: spans are merged by a running maximum and texts rebuilt
+from blocks, never from their beginning; only sorting the spans adds a logarithm.
 """
 from __future__ import annotations
 
@@ -34,12 +36,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohort.llm.common import pick
-from cohort.llm.native import let, matches
+from cohort.llm.native import between, blocks, let, matches, running
 
 ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
 CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
+# A candidate in a text whose fixed spans are filled, none of it cut off by a fill.
+FILL = "\x01"
+UNTOUCHED = r"(?<![A-Za-z0-9+/_=\x01-])[A-Za-z0-9+/_=-]{20,}+(?!\x01)"
 KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 # Bits a window must reach, by class of its candidate. A random window of 20 has about 3.4 bits in
@@ -67,9 +72,20 @@ def strong_windows(candidate: Column, threshold: Column, window: int = WINDOW,
     With ``own``, windows of digits and letters, with both, must reach the threshold of their own class.
     State: counts by character code, sum(c log2 c), first, last, with ``own`` also where each
     character group was last seen. Each step adds the entering character and takes the leaving one.
+    Counts are packed, some bits each, into a few whole numbers, as a step writes the array anew.
     """
+    bits = window.bit_length()
+    held = 63 // bits  # counts in one number
+
+    def unit(code: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(code, F.lit(held)) * bits)
+
+    def count(n: Column, code: Column) -> Column:
+        packed = F.get(n, F.floor(code / held).cast("int"))
+        return F.call_function("shiftright", packed, F.pmod(code, F.lit(held)) * bits).bitwiseAND((1 << bits) - 1).cast("int")
+
     def scan(codes: Column) -> Column:
-        state = F.struct(F.array_repeat(F.lit(0), 128).alias("n"), F.lit(0.0).alias("s"),
+        state = F.struct(F.array_repeat(F.lit(0).cast("long"), -(-128 // held)).alias("n"), F.lit(0.0).alias("s"),
                          F.lit(0).alias("first"), F.lit(0).alias("last"),
                          *([F.struct(*[F.lit(0).alias(g) for g in _GROUPS]).alias("seen")] if own else []))
 
@@ -77,12 +93,14 @@ def strong_windows(candidate: Column, threshold: Column, window: int = WINDOW,
             enter = F.element_at(codes, i)
             leave = F.when(i > window, F.element_at(codes, F.greatest(i - window, F.lit(1)))).otherwise(F.lit(-1))
             same = enter == leave
-            c_in = F.element_at(state["n"], enter + 1)
-            c_out = F.when(leave >= 0, F.element_at(state["n"], F.greatest(leave, F.lit(0)) + 1)).otherwise(F.lit(0))
+            c_in = count(state["n"], enter)
+            c_out = F.when(leave >= 0, count(state["n"], F.greatest(leave, F.lit(0)))).otherwise(F.lit(0))
             s = F.when(same, state["s"]).otherwise(
                 state["s"] - _c_log_c(c_in) + _c_log_c(c_in + 1)
                 - F.when(leave >= 0, _c_log_c(c_out) - _c_log_c(c_out - 1)).otherwise(0.0))
-            counts = F.transform(state["n"], lambda c, j: c + (j == enter).cast("int") - (j == leave).cast("int"))
+            zero = F.lit(0).cast("long")
+            counts = F.transform(state["n"], lambda c, j: c + F.when(j == F.floor(enter / held), unit(enter)).otherwise(zero)
+                                 - F.when((leave >= 0) & (j == F.floor(leave / held)), unit(leave)).otherwise(zero))
 
             def judged(s: Column, limit: Column, *seen: Column) -> Column:
                 bits = F.log2(F.lit(float(window))) - s / window
@@ -148,21 +166,24 @@ def secret_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         return F.transform(F.filter(spans, lambda s: s["first"] > 0), lambda s: F.struct(
             s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
 
-    def strong(base: Column) -> Column:
-        return scanned(F.filter(matches(text, CANDIDATE), lambda m: ~m["found"].rlike(allowed) & ~F.exists(
-            base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))))
+    def blanked(source: Column, cuts: Column, fill: str) -> Column:
+        return replaced(source, cuts, lambda s: F.repeat(F.lit(fill), (s["end"] - s["start"]).cast("int")))
 
-    def strong_parts(cuts: Column) -> Column:
-        blank = replaced(text, cuts, lambda s: F.repeat(F.lit(" "), (s["end"] - s["start"]).cast("int")))
-        return let(blank, lambda t: scanned(F.filter(matches(t, CANDIDATE), lambda m: ~m["found"].rlike(allowed)), thresholds))
+    def runs(source: str, pattern: str, own: dict[str, float] | None = None) -> Column:
+        found = scanned(F.filter(matches(F.col(source), pattern), lambda m: ~m["found"].rlike(allowed)), own)
+        return F.when(F.col(source).isNotNull(), found).otherwise(none)
 
     # A candidate needs a digit among its characters, which most prose lacks.
     likely = text.rlike("[0-9]") & text.rlike("(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+")
     base = F.concat("assign", "access", "hex")
     cuts = F.concat(base, F.when(text.rlike(HIDDEN), _spans(3, matches(text, HIDDEN))).otherwise(none))
-    return fixed.withColumns({
-        "entropy": F.when(likely, let(base, strong)).otherwise(none),
-        "parts": F.when(likely, let(cuts, strong_parts)).otherwise(none)})
+    # What touches a fixed span lies beside its fill in the first text; no candidate holds the fill or a blank.
+    # The texts are columns of their own, as expressions nested any deeper are not resolved.
+    cut_up = fixed.withColumn("_cuts", F.when(likely, cuts)).withColumns({
+        "_whole": F.when(likely, blanked(F.translate(text, FILL, " "), base, FILL)),
+        "_parts": F.when(likely, blanked(text, F.col("_cuts"), " "))})
+    return cut_up.withColumns({
+        "entropy": runs("_whole", UNTOUCHED), "parts": runs("_parts", CANDIDATE, thresholds)}).drop("_cuts", "_whole", "_parts")
 
 
 def named(spans: Column) -> Column:
@@ -174,14 +195,17 @@ def named(spans: Column) -> Column:
 
 def merged(spans: Column) -> Column:
     """``array<struct<start, end>>`` by start; spans that touch or overlap become one."""
-    def merge(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        joined = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(
-            last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))))
-        fresh = F.concat(acc, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-        return F.when(F.size(acc) == 0, fresh).when(s["start"] <= F.element_at(acc, F.lit(-1))["end"], joined).otherwise(fresh)
+    def merge(s: Column, top: Column) -> Column:
+        # A span that starts beyond every end before it is the head of a merged one.
+        heads = F.filter(F.sequence(F.lit(0), F.size(s) - 1),
+                         lambda i: (i == 0) | (F.get(s, i)["start"] > F.get(top, i - 1)))
+        return let(heads, lambda h: F.zip_with(
+            h, F.concat(F.slice(h, F.lit(2), F.size(h)), F.array(F.size(s))),
+            lambda i, after: F.struct(F.get(s, i)["start"].alias("start"), F.get(top, after - 1).alias("end"))))
 
-    return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<start:long,end:long>>"), merge)
+    ends = lambda s: running(F.transform(s, lambda x: x["end"]), lambda a, b: F.greatest(a, b))
+    none = F.array().cast("array<struct<start:long,end:long>>")
+    return F.when(F.size(spans) > 0, let(F.array_sort(spans), lambda s: let(ends(s), lambda top: merge(s, top)))).otherwise(none)
 
 
 def strong_spans() -> Column:
@@ -192,15 +216,13 @@ def strong_spans() -> Column:
 
 def replaced(text: Column, spans: Column, mark: Callable[[Column], Column]) -> Column:
     """``text`` with every merged span replaced by what ``mark`` makes of it."""
-    def cut(m: Column) -> Column:
-        pieces = F.transform(F.sequence(F.lit(0), F.size(m)), lambda i: let(
-            F.when(i == 0, F.lit(0)).otherwise(F.element_at(m, F.greatest(i, F.lit(1)))["end"]).cast("int"),
-            lambda a: F.when(i == F.size(m), F.substring(text, a + 1, F.char_length(text))).otherwise(let(
-                F.element_at(m, F.least(i + 1, F.size(m))),
-                lambda s: F.concat(F.substring(text, a + 1, s["start"].cast("int") - a), mark(s))))))
-        return F.array_join(pieces, "")
-
-    return F.when(F.size(spans) > 0, let(merged(spans), cut)).otherwise(text)
+    def rebuilt(m: Column, cut: Column) -> Column:
+        pieces = F.transform(m, lambda s, i: F.concat(
+            between(cut, F.coalesce(F.get(m, i - 1)["end"], F.lit(0)), s["start"]), mark(s)))
+        rest = between(cut, F.element_at(m, -1)["end"], F.char_length(text))
+        return F.concat(F.array_join(pieces, ""), rest)
+
+    return F.when(F.size(spans) > 0, let(merged(spans), lambda m: let(blocks(text), lambda cut: rebuilt(m, cut)))).otherwise(text)
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:

@@ -171,6 +171,58 @@ def random_key(rng, n, alphabet="abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTU
     return "".join(rng.choice(alphabet) for _ in range(n))
 
 
+def limit_of(s, wide):
+    """Bits a window must reach: by its own class if it holds digits and letters only, both of them."""
+    def by_class(x):
+        return sec.THRESHOLDS["hex" if re.fullmatch("[0-9a-f]+|[0-9A-F]+", x) else
+                              "plain" if re.fullmatch("[^A-Z]+|[^a-z]+", x) else "mixed"]
+    own = re.fullmatch("[A-Za-z0-9]+", s) and re.search("[0-9]", s) and re.search("[A-Za-z]", s)
+    return by_class(s if own else wide)
+
+
+def brute_parts(text):
+    """Brute force of the kind found in what fixed spans and marked parts leave."""
+    text = text or ""
+    blank = list(text)
+    for a, e in [(a, e) for a, _, e in brute_spans(text)[0]] + [m.span() for m in re.finditer(sec.HIDDEN, text)]:
+        blank[a:e] = " " * (e - a)
+    out, blank = [], "".join(blank)
+    for m in re.finditer(sec.CANDIDATE, blank):
+        s = m.group()
+        strong = [i for i in range(sec.WINDOW, len(s) + 1) for w in [s[i - sec.WINDOW:i]] if -sum(
+            c / sec.WINDOW * math.log2(c / sec.WINDOW) for c in Counter(w).values()) >= limit_of(w, s) - 1e-12]
+        if strong and not re.search(sec.ALLOWED, s):
+            out.append((m.start() + strong[0] - sec.WINDOW, 3, m.start() + strong[-1]))
+    return out
+
+
+def test_secret_parts_equal_brute_force(spark):
+    rng = random.Random(6)
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "0123456789abcdef"
+
+    def bit():
+        return rng.choice(["secret=" + random_key(rng, 8), "AKIA" + random_key(rng, 16, upper), random_key(rng, 32, digits),
+                           random_key(rng, 22), random_key(rng, 12), random_key(rng, 20, digits.upper()), "example", "dummy",
+                           "3f2b8c1e-9d4a-4f6b-8a7c-1e2d3f4a5b6c", "word", ".", "\x01", "😀", " "]) + rng.choice(["", "/", "-", "=", " "])
+
+    rows = [(i, "".join(bit() for _ in range(rng.randint(0, 14)))) for i in range(300)]
+    # Many spans, over several blocks of the rebuilt text.
+    rows += [(1000, None), (1001, ""), (1002, "".join(bit() for _ in range(1500))), (1002, rows[5][1]), (1003, "é😀" * 5000)]
+    base = F.concat("assign", "access", "hex")
+    got = sec.secret_spans(frame(spark, rows)).select(
+        "text", sec.named("parts").alias("parts"), sec.named(F.concat(base, "entropy")).alias("all"),
+        sec.redacted(F.col("text"), F.concat(base, "parts")).alias("clean")).collect()
+    for r in got:
+        parts = brute_parts(r["text"])
+        assert (r["parts"], r["all"]) == (text_of(parts), text_of(brute_spans(r["text"])[1])), r["text"]
+        if r["text"] is not None:
+            want, at = "", 0
+            for a, e in con.merge([(a, e) for a, _, e in brute_spans(r["text"])[0] + parts]):
+                want, at = want + r["text"][at:a] + "[SECRET]", e
+            assert r["clean"] == want + r["text"][at:]
+    assert len(got) == len(rows) and sum(bool(r["parts"]) for r in got) > 50
+
+
 def cleaned(spark, texts):
     """Each text after the pipeline's stage, and its spans of the kind entropy."""
     rows = frame(spark, list(enumerate(texts)))
