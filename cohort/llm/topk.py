@@ -182,7 +182,8 @@ def top_inner_products(vectors: DataFrame, *, id_col: str = "vec_id", vector_col
     spark = vectors.sparkSession
     sc = spark.sparkContext
     out = "query_id long, vec_id long, score long"
-    table = written(cleaned(vectors, id_col, vector_col, scale), "vectors")
+    # Rebalanced, so that many small input splits become few tasks and one large split several.
+    table = written(cleaned(vectors, id_col, vector_col, scale).hint("rebalance"), "vectors")
     row = table.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim"),
                     F.count_if(F.col("id") % every == 0).alias("queries")).first()
     if not row["queries"] or row["n"] < 2:
