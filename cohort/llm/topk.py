@@ -12,7 +12,7 @@ reaches the query's k-th best so far are multiplied out, in exact integer arithm
 threshold rises from run to run. Bounds get a slack far above rounding error, and ties pass,
 so the result is exact.
 
-Memory: a block pair holds ``BLOCK`` + ``QUERY_BLOCK`` vectors. Only one block (for the first
+Memory: a block pair holds less than 2 * (``BLOCK`` + ``QUERY_BLOCK``) vectors. Only one block (for the first
 thresholds) and the d x d moment matrix pass through the driver. Which blocks meet is worked
 out on block summaries; payloads then follow in two equi-joins.
 
@@ -77,33 +77,53 @@ def moments(table: DataFrame, dim: int) -> np.ndarray:
 
 
 def blocks(table: DataFrame, dim: int, size: int, count: int) -> DataFrame:
-    """Blocks of ``size`` vectors in falling length; ties by id, so equal vectors spread too."""
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of vectors in falling length; ties by id, so equal vectors spread too.
+
+    Range partitions are cut into chunks of at most ``size`` vectors. A block is all chunks whose first
+    vector falls into the same ``size`` places of the whole order: less than 2 * ``size`` vectors and at most
+    ``count / size`` + 1 blocks, however many partitions there are. One row a partition is collected.
+    """
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        block = TaskContext.get().partitionId() << 32
+        part, place = TaskContext.get().partitionId(), 0
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def out(ids: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
-            longest = float(np.sqrt((m * m).sum(1).max()))
-            return pa.record_batch({"block": pa.array([block], pa.int64()), "ids": pa.array([ids.tobytes()], pa.binary()),
-                                    "vectors": pa.array([m.tobytes()], pa.binary()), "longest": pa.array([longest])})
+            return pa.record_batch({"part": pa.array([part], pa.int32()), "place": pa.array([place], pa.int64()),
+                                    "n": pa.array([len(ids)], pa.int64()), "ids": pa.array([ids.tobytes()], pa.binary()),
+                                    "vectors": pa.array([m.tobytes()], pa.binary()),
+                                    "longest": pa.array([float(np.sqrt((m * m).sum(1).max()))])})
 
         for b in batches:
             held.append((b.column(0).to_numpy(), _matrix(b.column(1), dim)))
             ids, m = (np.concatenate(x) for x in zip(*held))
             while len(ids) >= size:
                 yield out(ids[:size], m[:size])
-                block += 1
+                place += size
                 ids, m = ids[size:], m[size:]
             held = [(ids, m)]
         if held and len(held[0][0]):
             yield out(*held[0])
 
+    def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["part", "place"])
+        return pd.DataFrame({"block": pdf["block"].iloc[:1].to_numpy(), "ids": [b"".join(pdf["ids"])],
+                             "vectors": [b"".join(pdf["vectors"])], "longest": [pdf["longest"].max()]})
+
     parts = max(1, -(-count // (16 * size)))
     src = table.withColumn("id", F.col("id").cast("long"))
     ordered = (src.repartitionByRange(parts, F.col("norm2").desc(), F.col("id"))
                   .sortWithinPartitions(F.col("norm2").desc(), F.col("id")))
-    return map_arrow(ordered.select("id", "v"), pack, _BLOCK)
+    chunks = written(map_arrow(ordered.select("id", "v"), cut,
+                               "part int, place long, n long, ids binary, vectors binary, longest double"), "chunks")
+    before, offsets = 0, []
+    for r in sorted(chunks.groupBy("part").agg(F.sum("n").alias("n")).collect(), key=lambda r: r["part"]):
+        offsets.append((r["part"], before))
+        before += r["n"]
+    starts = F.broadcast(table.sparkSession.createDataFrame(offsets, "part int, start long"))
+    block = F.floor((F.col("start") + F.col("place")) / size).cast("long")
+    return (chunks.join(starts, "part").select(block.alias("block"), "part", "place", "ids", "vectors", "longest")
+                  .groupBy("block").applyInPandas(join, _BLOCK))
 
 
 def _unpack(ids: bytes, vectors: bytes, dim: int) -> tuple[np.ndarray, np.ndarray]:
