@@ -33,48 +33,138 @@ def test_lm_counts_and_baseline(messy, empty):
     assert class_lm_scores(empty).count() == 0
 
 
-def test_lm_probabilities_sum_to_one():
-    rng = random.Random(1)
+def test_lm_probabilities_sum_to_one(monkeypatch):
+    monkeypatch.setattr(class_lm, "UNITS", 64)
+    rng, nrng = random.Random(1), np.random.default_rng(2)
     words = [b"%s%d" % (rng.choice([b"ab", b"cd", b"ef"]), i) for i in range(300)]
     counts = sorted(((w, rng.choice([1, 1, 2, 9, 50])) for w in words), key=lambda x: (-x[1], x[0]))
-    class_lm.UNITS, units = 64, class_lm.UNITS
-    try:
-        lex = class_lm.Lexicon(counts[:150])
+    d = 0.4
+    for held in (100, 150, 250):  # words in the lexicon, the last time some that are seen once
+        lex, rare = class_lm.Lexicon(counts[:held]), counts[held:]
         classes = class_lm.first_classes(lex.size)
-        nrng = np.random.default_rng(2)
         classes[1:] = nrng.integers(1, class_lm.CLASSES, lex.size - 1)
-        n_of = np.zeros(lex.size, np.int64)
-        n_of[0] = 20
-        np.add.at(n_of, lex.unit, lex.counts)
-        rare = [(w, c) for w, c in counts[150:]]
-        for w, c in rare:
-            n_of[1 + lex.n_units + class_lm.bucket_of(w)] += c
-        after = np.zeros((lex.size, class_lm.CLASSES), np.int64)
-        for u, k in enumerate(n_of):
-            np.add.at(after[u], nrng.integers(0, class_lm.CLASSES, k), 1)
-        types = np.zeros(class_lm.BUCKETS)
-        for w in lex.words[lex.n_units:] + [w for w, _ in rare]:
+        own = {w: int(nrng.integers(1, class_lm.CLASSES)) for w, c in counts[lex.n_units:] if c > 1}
+        of_bucket = lambda w: int(classes[1 + lex.n_units + class_lm.bucket_of(w)])
+        head_class = np.array([classes[1 + i] if i < lex.n_units else own.get(w, of_bucket(w)) for i, w in enumerate(lex.words)])
+        wide, once, types = np.zeros((2, class_lm.CLASSES)), np.zeros(class_lm.BUCKETS), np.zeros(class_lm.BUCKETS)
+        for w, c in counts[lex.n_units:]:
             types[class_lm.bucket_of(w)] += 1
-        d = 0.4
-        m = class_lm.Scorer(lex, classes, after, int(n_of.sum()), 301, 20, types, d)
-        unit_class = classes[lex.units(np.arange(150))]
+            once[class_lm.bucket_of(w)] += c == 1
+            if c > 1:
+                wide[:, own[w]] += 1, c
+        m = class_lm.Scorer(lex, classes, head_class, wide, once, types, sum(c for _, c in counts), 301, 20, d)
+        move = class_lm.transitions(nrng.integers(0, 50, (class_lm.CLASSES, class_lm.CLASSES)))
+        # Classes without any word keep the mass that moves to them.
+        used = {0, *classes.tolist(), *own.values()}
         for context in (0, 5, 40):
-            p = 10 ** (m.move[context, unit_class] + m.head)
-            total = p.sum() + 10 ** (m.move[context, 0] + m.end)
+            p = 10 ** move[context]
+            total = p[0] * 10 ** m.end + (p[head_class] * 10 ** m.head).sum()
             for w, c in rare:
-                b = class_lm.bucket_of(w)
-                total += 10 ** (m.move[context, classes[1 + lex.n_units + b]] + m.bucket[b]) * (c - d)
-            b = np.arange(class_lm.BUCKETS)
-            total += (10 ** (m.move[context, classes[1 + lex.n_units + b]] + m.bucket[b] + m.unknown[b])).sum()
-            assert abs(total - 1) < 1e-6
-    finally:
-        class_lm.UNITS = units
+                total += (p[own[w]] * (c - d) / 10 ** m.total[own[w]] if c > 1 else p[of_bucket(w)] * 10 ** m.once[class_lm.bucket_of(w)])
+            total += (p[classes[1 + lex.n_units:]] * 10 ** m.unknown).sum()
+            assert abs(total - sum(p[c] for c in used)) < 1e-9
+
+
+def brute_likelihood(texts, of):
+    n2 = np.zeros((class_lm.CLASSES, class_lm.CLASSES))
+    for t in texts:
+        c = [0, *(of[w] for w in t), 0]
+        np.add.at(n2, (c[:-1], c[1:]), 1)
+    return n2, class_lm.likelihood(n2)
+
+
+def test_lm_words_move_where_the_likelihood_rises_most():
+    rng = random.Random(3)
+    texts = [[rng.choice("abcdefghij") for _ in range(rng.randint(0, 12))] for _ in range(60)]
+    of = {w: 1 + i % 5 for i, w in enumerate("abcdefghij")}
+    n2, _ = brute_likelihood(texts, of)
+    for w in "abcdefghij":
+        # Neighbours that are the word itself count with its present class, so hide them.
+        rest = [t for t in texts if all(x != w or y != w for x, y in zip(t, t[1:]))]
+        n2, now = brute_likelihood(rest, of)
+        beside = Counter()
+        for t in rest:
+            for i, x in enumerate(t):
+                if x == w:
+                    beside[of[t[i + 1]] if i + 1 < len(t) else 0] += 1
+                    beside[class_lm.CLASSES + (of[t[i - 1]] if i else 0)] += 1
+        k, n = (np.array(x) for x in zip(*sorted(beside.items())))
+        got = int(class_lm.moved(n2, np.zeros(len(k), int), k, n, np.array([of[w]]))[0])
+        value = {c: brute_likelihood(rest, of | {w: c})[1] for c in range(1, class_lm.CLASSES)}
+        assert value[got] > max(value.values()) - 1e-6 and value[got] >= now - 1e-6
+
+
+@pytest.mark.parametrize("head,units", [(1 << 18, 1 << 14), (40, 8), (1 << 18, 8)])
+def test_lm_score_equals_brute_force(spark, monkeypatch, head, units):
+    """The model's classes, read back from its own tables, give the same score by plain counting."""
+    monkeypatch.setattr(class_lm, "HEAD", head)
+    monkeypatch.setattr(class_lm, "UNITS", units)
+    rng, seen = random.Random(5), {}
+    vocab = [f"w{i}x{i % 7}" for i in range(120)]
+    rows = [(i, " ".join(rng.choices(vocab, [1 / (j + 1) for j in range(120)], k=rng.randint(0, 30)))) for i in range(80)]
+    rows += [(80, None), (81, ""), (82, "w1x1 never-seen Never-Seen w2x2")]
+
+    def keep(df, name, write=class_lm.written):
+        out = seen[name] = write(df, name)
+        return out
+
+    monkeypatch.setattr(class_lm, "written", keep)
+    found = {}
+    monkeypatch.setattr(class_lm, "clustered", lambda *a, f=class_lm.clustered: found.setdefault("units", f(*a)))
+    got = {r["doc_id"]: r for r in class_lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = {i: (t or "").lower().encode().split() for i, t in rows}
+    train = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    n = Counter(w for t in train for w in t)
+    classes = found["units"][0]
+    order = sorted(n, key=lambda w: (-n[w], w))
+    inside = [w for w in order if n[w] > 1][:len(classes) - 1 - class_lm.BUCKETS]
+    groups = classes[1 + len(inside):]
+    wide = {bytes(r["word"]): r["class"] for r in seen["word-classes"].collect()}
+    assert set(wide) == {w for w in n if n[w] > 1} - set(inside)  # every repeated word was exchanged
+    of = {w: int(classes[1 + i]) for i, w in enumerate(inside)} | wide
+    cls = lambda w: of.get(w, int(groups[class_lm.bucket_of(w)]))
+    n2 = np.zeros((class_lm.CLASSES, class_lm.CLASSES))
+    for t in train:
+        c = [0, *map(cls, t), 0]
+        np.add.at(n2, (c[:-1], c[1:]), 1)
+    once, twice = (sum(x == k for x in n.values()) for k in (1, 2))
+    d = once / (once + 2 * twice) if once and twice else 0.5
+    mass = Counter()
+    for w in n:
+        if w not in inside:
+            mass[class_lm.bucket_of(w)] += 1 if n[w] == 1 else d
+    size = Counter({0: len(train) + 0.5})
+    for w in inside:
+        size[of[w]] += n[w] + 0.5
+    for w in wide:
+        size[of[w]] += n[w] - d
+    for b in range(class_lm.BUCKETS):
+        size[int(groups[b])] += mass[b] + 0.5
+    types = Counter(class_lm.bucket_of(w) for w in n if w not in inside)
+
+    def word(w):
+        if w in inside:
+            return (n[w] + 0.5) / size[of[w]]
+        if w in wide:
+            return (n[w] - d) / size[of[w]]
+        b = class_lm.bucket_of(w)
+        share = (1 - d if w in n else d * types[b]) / mass[b] if mass[b] else 1.0
+        return share * (mass[b] + 0.5) / size[int(groups[b])]
+
+    share = (n2.sum(0) + 1) / (n2.sum() + class_lm.CLASSES)
+    move = (n2 + class_lm.PRIOR * share) / (n2.sum(1, keepdims=True) + class_lm.PRIOR)
+    for i, t in texts.items():
+        c = [0, *map(cls, t), 0]
+        want = sum(math.log10(move[a, b]) for a, b in zip(c, c[1:])) + sum(math.log10(word(w)) for w in t)
+        want += math.log10((len(train) + 0.5) / size[0])
+        assert math.isclose(got[i]["score"], want, rel_tol=1e-9)
 
 
 def test_lm_beats_the_unigram_on_held_out_texts(spark):
     r = class_lm_scores(spark.read.parquet(f"{SF01}/documents.parquet")).where("held_out").selectExpr(
         "sum(base_score) / sum(n_tokens) AS base", "sum(score) / sum(n_tokens) AS score").first()
     assert r["score"] > r["base"] + 0.3
+    print("held-out log10 per token", r["base"], r["score"])
 
 
 def test_exchange_finds_the_two_halves_of_a_vocabulary():
