@@ -3,7 +3,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from cohort.operators import affinity, blocking
+from cohort.operators import affinity, blocking, logistic
 from cohort.plans import catalog, identity, models, segmentation
 
 SF001 = "/root/testdata/sf0.001"
@@ -82,3 +82,56 @@ def test_summary_sums_the_impressions_once(spark, monkeypatch):
     # The segmentation joins its own.
     assert len(taken) == 1 and given[0] is None and len(given) == 3
     assert all("Join" not in _plan(s) for s in given[1:])
+
+
+def _signals(spark):
+    # Repeated rows, a null device, a null value, a value of two types, and a hot value above a cap of 3.
+    rows = [(1, "ip", "a"), (1, "ip", "a"), (2, "ip", "a"), (None, "ip", "a"), (2, "maid", "a"), (3, "maid", "a"),
+            (3, "hashed_email", "e"), (4, "hashed_email", "e"), (5, "ip", None), (5, "cookie", "a"),
+            *[(d, "ip", "hot") for d in range(10, 16)], *[(d, "maid", "m") for d in (1, 2, 3, 4)]]
+    return spark.createDataFrame(rows, "device_id long, signal_type string, signal_value string")
+
+
+def test_members_give_the_rows_of_the_separate_ways(spark, monkeypatch):
+    s = _signals(spark)
+    members = blocking.block_members(s)
+    oversized = blocking.oversized_blocks(members, 3)
+    assert _rows(blocking.suppressed_of(oversized)) == _rows(blocking.suppressed_blocks(s, max_block=3))
+    det = members.where(F.col("block_type").isin(list(blocking.DETERMINISTIC_TYPES)))
+    assert _rows(blocking.star_edges_of(det)) == _rows(blocking.star_edges(s))
+    want = _rows(blocking.typed_pairs(s, max_block=3))
+    assert want == Counter({(1, 2, False, True): 1, (2, 3, True, False): 1, (3, 4, True, False): 1})
+    # The blocks above the cap are few enough for a broadcast, or not.
+    assert _rows(blocking.typed_pairs_of(members, max_block=3, oversized=oversized)) == want
+    monkeypatch.setattr(blocking, "OVERSIZED_ROWS", 0)
+    assert _rows(blocking.typed_pairs_of(members, max_block=3, oversized=oversized)) == want
+
+
+def test_resolution_counts_its_blocks_once_and_writes_its_labels(spark, monkeypatch):
+    fx = catalog._fx(spark, SF001)
+    listed = []
+    whole = blocking._members
+    monkeypatch.setattr(blocking, "_members", lambda *a: listed.append(a) or whole(*a))
+    res = identity.resolve_identities(fx.persons(), fx.devices(), fx.signals(), fx.events())
+    assert len(listed) == 1
+    assert "Join" not in _plan(res.full_labels) and "Aggregate" not in _plan(res.suppressed)
+
+
+def test_newton_steps_read_the_rows_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for r in rows:
+            reads.add(1)
+            yield r
+
+    rows = [(float(i % 7), float(i % 3 == 0)) for i in range(60)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).mapPartitions(counted), "a double, label double")
+    assert logistic.fit_newton(df, ["a"]).steps > 2 and reads.value == 60
+
+
+def test_scores_and_factors_are_written(spark):
+    g, persons = catalog._gp(spark, SF001)
+    assert "UDF" not in _plan(models.ctr_model(g).scored)
+    look = models.als_lookalike(g, persons)
+    assert "Join" not in _plan(look.user_factors)
